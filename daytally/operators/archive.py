@@ -14,23 +14,20 @@ from daytally.functions.periods import Period
 LOCAL_MIDNIGHT = "T15"
 
 
-def _local_days(targets: Period) -> Column:
-    """Every local day a stamp belongs to: day `d` holds the text range from `(d-1)T15` to `dT15`, ends included.
-
-    The bare text `dT15` therefore belongs to two days. A stamp that starts with a proper date names its day by
-    itself; any other text is compared with each target day.
-    """
-    ftime, cut = F.col("ftime"), F.lit(LOCAL_MIDNIGHT)
-    day_text, time_text = F.substring(ftime, 1, 10), F.expr("substring(ftime, 11)")
-    day = day_text.try_cast("date")
-    by_date = F.array_compact(
-        F.array(F.when(time_text <= cut, day), F.when(time_text >= cut, F.date_add(day, 1)))
-    )
-    by_text = F.filter(
-        F.sequence(F.lit(targets.first), F.lit(targets.last)),
-        lambda d: ftime.between(F.concat(F.date_sub(d, 1).cast("string"), cut), F.concat(d.cast("string"), cut)),
+def _holds(local_day: Column, ftime: Column) -> Column:
+    """Day `d` holds the text range from `(d-1)T15` to `dT15`, ends included: the bare text `dT15` is in two days."""
+    cut = F.lit(LOCAL_MIDNIGHT)
+    return ftime.between(
+        F.concat(F.date_sub(local_day, 1).cast("string"), cut), F.concat(local_day.cast("string"), cut)
     )
-    return F.when(day.cast("string") == day_text, by_date).otherwise(by_text)
+
+
+def _candidates(targets: Period, ftime: Column) -> Column:
+    """The local days a stamp can belong to: two for one that starts with a date, any for other text."""
+    text = F.substring(ftime, 1, 10)
+    day = text.try_cast("date")
+    any_day = F.sequence(F.lit(targets.first), F.lit(targets.last))
+    return F.when(day.cast("string") == text, F.array(day, F.date_add(day, 1))).otherwise(any_day)
 
 
 def local_archive(log: DataFrame, targets: Period, late_days: int = 0) -> DataFrame:
@@ -41,11 +38,11 @@ def local_archive(log: DataFrame, targets: Period, late_days: int = 0) -> DataFr
     """
     start = f"{targets.first - timedelta(days=1)}{LOCAL_MIDNIGHT}"
     end = f"{targets.last}{LOCAL_MIDNIGHT}"
-    kr_date = F.col("kr_date")
+    ftime, kr_date = F.col("ftime"), F.col("kr_date")
     return (
-        log.where(targets.widen(1, late_days).contains(F.col("log_date")) & F.col("ftime").between(start, end))
-        .withColumn("kr_date", F.explode(_local_days(targets)))
-        .where(targets.contains(kr_date))
+        log.where(targets.widen(1, late_days).contains(F.col("log_date")) & ftime.between(start, end))
+        .withColumn("kr_date", F.explode(_candidates(targets, ftime)))
+        .where(targets.contains(kr_date) & _holds(kr_date, ftime))
         .where(F.col("log_date").between(F.date_sub(kr_date, 1), F.date_add(kr_date, late_days)))
         .withColumns({"grade": normalize.grade(F.col("grade")), "code": normalize.code(F.col("code"))})
     )

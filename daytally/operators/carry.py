@@ -37,7 +37,7 @@ def carry_forward(
         .select(*partition, "_run", F.last("_last", ignorenulls=True).over(earlier_runs).alias("_before"))
     )
     # One row per sorted run and partition value, whatever the number of rows.
-    same_run = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*partition, "_run"]]
+    same_run = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in partition] + [F.col("r._run") == F.col("s._run")]
     joined = rows.alias("r").join(F.broadcast(run_starts.alias("s")), same_run, "left").select("r.*", "s._before")
 
     so_far = Window.partitionBy(*partition, "_run").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,11 +31,8 @@ def write_partitioned(
     partitions are. Without it, every task writes its own files: right when each task holds few partitions.
     """
     spark = df.sparkSession
-    before = _partitions(spark, path, df.schema, partition_by, replaces)
-    written = Observation()
-    rows = df.observe(written, F.collect_set(F.struct(*partition_by)).alias("partitions"))
-    if rebalance:
-        rows = rows.hint("rebalance", *partition_by)
+    before = _marks(spark, path, df.schema, partition_by, replaces)
+    rows = df.hint("rebalance", *partition_by) if rebalance else df
     (
         rows.write.mode("overwrite")
         .partitionBy(*partition_by)
@@ -44,9 +41,11 @@ def write_partitioned(
         .option("maxRecordsPerFile", max_records_per_file)
         .parquet(path)
     )
-    data_schema = T.StructType([f for f in df.schema.fields if f.name not in partition_by])
-    nothing = spark.createDataFrame([], data_schema)
-    for stale in before - {tuple(p) for p in written.get["partitions"]}:
+    if not before:
+        return
+    after = _marks(spark, path, df.schema, partition_by, replaces)
+    nothing = spark.createDataFrame([], T.StructType([f for f in df.schema.fields if f.name not in partition_by]))
+    for stale in [partition for partition, file in before.items() if after.get(partition) == file]:
         folder = "/".join(f"{name}={value}" for name, value in zip(partition_by, stale, strict=True))
         nothing.write.mode("overwrite").option("compression", compression).parquet(f"{path}/{folder}")
 
@@ -61,9 +60,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         raise
 
 
-def _partitions(
+def _marks(
     spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str], where: Column
-) -> set[tuple]:
-    """The partitions that hold rows. Reads no column data; the result has one row per partition."""
-    found = read_table(spark, path, schema).where(where).select(*partition_by).distinct()
-    return {tuple(row) for row in found.collect()}
+) -> dict[tuple, str]:
+    """One file name for each partition that holds rows, which tells whether it was written since.
+
+    Reads no column data; the result has one row per partition.
+    """
+    try:
+        table = spark.read.schema(schema).parquet(path).where(where)
+    except AnalysisException as error:
+        if path_missing(error):
+            return {}
+        raise
+    files = table.groupBy(*partition_by).agg(F.min("_metadata.file_path"))
+    return {tuple(row)[:-1]: row[-1] for row in files.collect()}

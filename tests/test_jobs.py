@@ -1,0 +1,154 @@
+"""The jobs from raw JSON to stored records."""
+
+import json
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from daytally.functions.periods import Period, run_period, span
+from daytally.operators import activity
+from daytally.operators.lifecycle import lifecycle
+from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats
+from daytally.operators.retention import cohort_by_day
+from daytally.plans import jobs
+from daytally.schema import ACCUM_SCHEMA, COHORT_SCHEMA, LOG_SCHEMA, RAW_SCHEMA, UNIQUE_SCHEMA
+from daytally.sources.events_table import log_from_events
+from daytally.sources.tables import read_table
+
+MONTH = run_period("20240130", 30)
+
+
+@pytest.fixture(scope="module")
+def log(spark, small):
+    return log_from_events(spark, small).cache()
+
+
+@pytest.fixture(scope="module")
+def raw(spark, log, tmp_path_factory):
+    """The log as gzip JSON lines in day directories."""
+    root = tmp_path_factory.mktemp("raw")
+    for day in MONTH.days():
+        (
+            log.where(F.col("log_date") == F.lit(day))
+            .select("event_id", *RAW_SCHEMA.names, F.lit("kept").alias("extra"))
+            .write.option("compression", "gzip")
+            .json(str(root / f"logs_{day:%Y%m%d}"))
+        )
+    return str(root)
+
+
+def settings(raw, out, **more):
+    return jobs.Settings(logs=raw, out=str(out), **more)
+
+
+def stored(spark, path, schema):
+    return Counter(read_table(spark, str(path), schema).select(*schema.names).collect())
+
+
+def expected_unique(log, subject, targets):
+    counts = activity.rolling_counts(activity.daily_rollup(log, subject), targets)
+    return Counter(as_unique_stats(counts, subject).collect())
+
+
+@pytest.mark.parametrize("subject", ["user", "class"])
+def test_unique_job(spark, log, raw, tmp_path, subject):
+    run = getattr(jobs, f"unique_{subject}")
+    for targets in (run_period("20240128", 3), run_period("20240129", 1)):
+        run(spark, settings(raw, tmp_path), targets)
+    both = Period(date(2024, 1, 26), date(2024, 1, 29))
+    assert stored(spark, tmp_path / "unique-stats", UNIQUE_SCHEMA) == expected_unique(log, subject, both)
+
+
+def test_subjects_share_a_table(spark, log, raw, tmp_path):
+    day = run_period("20240130", 1)
+    for _ in range(2):
+        jobs.unique_user(spark, settings(raw, tmp_path), day)
+        jobs.unique_class(spark, settings(raw, tmp_path), day)
+    expected = expected_unique(log, "user", day) + expected_unique(log, "class", day)
+    assert stored(spark, tmp_path / "unique-stats", UNIQUE_SCHEMA) == expected
+
+
+def test_stored_rollup_gives_the_same_and_rereads_only_new_days(spark, log, raw, tmp_path, monkeypatch):
+    own = settings(raw, tmp_path / "out", rollup=str(tmp_path / "rollup"))
+    read = []
+    plain = jobs.read_logs
+    monkeypatch.setattr(jobs, "read_logs", lambda s, r, period, **kw: read.append(period) or plain(s, r, period, **kw))
+    jobs.unique_user(spark, own, run_period("20240129", 29))
+    jobs.unique_user(spark, own, run_period("20240130", 1))
+    assert read[-1] == run_period("20240130", 1)
+    assert stored(spark, tmp_path / "out" / "unique-stats", UNIQUE_SCHEMA) == expected_unique(log, "user", MONTH)
+
+
+def test_accum_jobs(spark, log, raw, tmp_path):
+    expected = Counter(as_accum_stats(lifecycle(log)).collect())
+    jobs.accum_user(spark, settings(raw, tmp_path / "two"), MONTH)
+    jobs.accum_class(spark, settings(raw, tmp_path / "two"), MONTH)
+    jobs.accum_all(spark, settings(raw, tmp_path / "one"), MONTH)
+    for folder in ("one", "two"):
+        # The log numbers its lines, so the order, and with it the carried role, is the same as in the table.
+        assert stored(spark, tmp_path / folder / "accum-stats", ACCUM_SCHEMA) == expected
+
+
+def test_cohort_job(spark, log, raw, tmp_path):
+    targets = run_period("20240130", 3)
+    for name, days in (("same", (30, 1)), ("prior", (60, 31))):
+        own = settings(raw, tmp_path / name, prior_signups=name == "prior")
+        jobs.cohort(spark, own, targets)
+        jobs.cohort(spark, own, run_period("20240129", 1))
+        expected = Counter(as_cohort(cohort_by_day(log, targets, days, (30, 1))).collect())
+        assert stored(spark, tmp_path / name / "cohort", COHORT_SCHEMA) == expected
+
+
+def test_archive_job(spark, log, raw, tmp_path):
+    targets = span("20240114", "20240116")
+    jobs.archive(spark, settings(raw, tmp_path), targets)
+    days = spark.read.parquet(str(tmp_path / "utc9"))
+    assert {r.kr_date for r in days.select("kr_date").distinct().collect()} == set(targets.days())
+    assert dict(days.dtypes)["grade"] == "bigint"
+    assert days.where("extra = 'kept'").count() == days.count()
+    assert "log_date" not in days.columns
+    assert days.where("kr_date = '2024-01-15'").count() == 27
+    assert days.where("code is null").count() == 0
+    lines = days.count()
+    jobs.archive(spark, settings(raw, tmp_path), run_period("20240115", 1))
+    assert spark.read.parquet(str(tmp_path / "utc9")).count() == lines
+
+
+def test_columnar_log_serves_the_other_jobs(spark, log, raw, tmp_path):
+    jobs.columnar_log(spark, settings(raw, tmp_path / "log"), MONTH)
+    own = settings(str(tmp_path / "log"), tmp_path / "out", log_format="parquet", require_complete=True)
+    targets = run_period("20240130", 1)
+    jobs.unique_user(spark, settings(str(tmp_path / "log"), tmp_path / "out", log_format="parquet"), targets)
+    assert stored(spark, tmp_path / "out" / "unique-stats", UNIQUE_SCHEMA) == expected_unique(log, "user", targets)
+    jobs.accum_all(spark, own, MONTH)
+    assert stored(spark, tmp_path / "out" / "accum-stats", ACCUM_SCHEMA) == Counter(
+        as_accum_stats(lifecycle(log)).collect()
+    )
+    stored_log = spark.read.schema(LOG_SCHEMA).parquet(str(tmp_path / "log"))
+    assert stored_log.count() == log.count()
+
+
+def test_command_line(spark, log, raw, tmp_path):
+    jobs.main(["accum-user", "20240130", "2.9", "--logs", raw, "--out", str(tmp_path)])
+    dates = read_table(spark, str(tmp_path / "accum-stats"), ACCUM_SCHEMA).select("date").distinct().collect()
+    assert {r.date for r in dates} == {"20240129", "20240130"}
+    jobs.main(["cohort", "20240130", "--to", "20240127", "--logs", raw, "--out", str(tmp_path)])
+    assert read_table(spark, str(tmp_path / "cohort"), COHORT_SCHEMA).count() == 4
+    jobs.main(["accum-user", "20240130", "0", "--logs", raw, "--out", str(tmp_path / "none")])
+    assert not (tmp_path / "none").exists()
+
+
+def test_own_hosts(spark, tmp_path):
+    folder = tmp_path / "raw" / "logs_20240130"
+    folder.mkdir(parents=True)
+    line = {"ftime": "2024-01-30T01", "api": "https://a.test/api/users", "method": "POST", "code": 200, "role": "parent"}
+    (folder / "20240130-01_0.json").write_text(json.dumps(line) + "\n")
+    out = tmp_path / "out"
+    jobs.main(
+        ["accum-user", "20240130", "--logs", str(tmp_path / "raw"), "--out", str(out)]
+        + ["--www", "https://a.test", "--oauth", "https://b.test"]
+    )
+    row = read_table(spark, str(out / "accum-stats"), ACCUM_SCHEMA).first()
+    assert (row.role, row.device, row.grade, row.date) == ("parent", "null", -999, "20240130")
