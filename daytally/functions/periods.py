@@ -60,14 +60,3 @@ def calendar(spark: SparkSession, period: Period) -> DataFrame:
     """One row per day: `date` and the day before it, which a local day also reads."""
     day = F.date_add(F.lit(period.first), F.col("id").cast("int"))
     return spark.range(len(period)).select(day.alias("date"), F.date_sub(day, 1).alias("previous_date"))
-
-
-def spread(df: DataFrame, first_offset: Column, last_offset: Column, targets: Period, into: str = "date") -> DataFrame:
-    """Repeat each row for the target days that lie `first_offset` to `last_offset` days after its `log_date`."""
-    return (
-        df.withColumn("_first", F.greatest(F.date_add("log_date", first_offset), F.lit(targets.first)))
-        .withColumn("_last", F.least(F.date_add("log_date", last_offset), F.lit(targets.last)))
-        .where("_first <= _last")
-        .withColumn(into, F.explode(F.sequence("_first", "_last")))
-        .drop("_first", "_last")
-    )

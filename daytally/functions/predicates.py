@@ -20,11 +20,12 @@ def status_is(code: str) -> Column:
 
 
 def real_call() -> Column:
-    return F.col("api").isNotNull() & ~F.col("api").isin(*API_MARKERS)
+    """NULL, and so not selected, where `api` is missing."""
+    return ~F.col("api").isin(*API_MARKERS)
 
 
 def user_activity() -> Column:
-    return real_call() & F.col("id").isNotNull() & (F.col("id") != "") & not_status("400")
+    return real_call() & (F.col("id") != "") & not_status("400")
 
 
 def class_activity() -> Column:

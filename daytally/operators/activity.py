@@ -6,13 +6,13 @@ Counts add up, so one rollup per day serves every window of every target day, an
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally.functions import normalize, predicates
-from daytally.functions.periods import Period, parse_day, spread, trailing
+from daytally.functions.periods import Period, parse_day, trailing
 
 WINDOWS = (1, 7, 30)
 DIMENSIONS = ("id", "role", "device", "country", "lang", "grade")
@@ -51,38 +51,58 @@ def without_device(daily: DataFrame) -> DataFrame:
     )
 
 
-def unique_counts(log: DataFrame, subject: str, day: date | str, windows: Sequence[int] = WINDOWS) -> DataFrame:
-    """Counts for one target day straight from the log: one conditional sum per window, one shuffle for all."""
-    day = parse_day(day)
-    events = active_events(log, subject).where(trailing(day, max(windows)).contains(F.col("log_date")))
-    sums = events.groupBy(*DIMENSIONS).agg(
-        *[F.count_if(F.col("log_date") >= F.lit(day - timedelta(days=w - 1))).alias(f"_{w}") for w in windows]
-    )
-    per_window = F.array(
-        *[F.struct(F.lit(w).alias("window_days"), F.col(f"_{w}").alias("unique_cnt")) for w in windows]
+def _per_window(totals: DataFrame, windows: Sequence[int]) -> DataFrame:
+    """From one column per window, named by its length, to one row per window that has events."""
+    rows = F.array(
+        *[F.struct(F.lit(w).alias("window_days"), F.col(f"last_{w}").alias("unique_cnt")) for w in windows]
     )
     return (
-        sums.select(*DIMENSIONS, F.inline(per_window))
+        totals.select("date", *DIMENSIONS, F.inline(rows))
         .where("unique_cnt > 0")
-        .select(F.lit(day).alias("date"), "window_days", *DIMENSIONS, "unique_cnt")
+        .select("date", "window_days", *DIMENSIONS, "unique_cnt")
     )
 
 
+def unique_counts(log: DataFrame, subject: str, day: date | str, windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """Counts for one target day straight from the log, in one shuffle for all windows."""
+    day, age = parse_day(day), F.datediff(F.lit(parse_day(day)), F.col("log_date"))
+    events = active_events(log, subject).where(trailing(day, max(windows)).contains(F.col("log_date")))
+    totals = events.groupBy(*DIMENSIONS).agg(*[F.count_if(age < w).alias(f"last_{w}") for w in windows])
+    return _per_window(totals.withColumn("date", F.lit(day)), windows)
+
+
 def rolling_counts(daily: DataFrame, targets: Period, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """Counts for every target day and window from a daily rollup.
 
-    The rollup is shuffled once by its dimensions, at most one row per day each. Repeating rows for their target days
-    and adding them up then happens inside the tasks, so the repeats never cross the network.
+    The count of a day enters each window on that day and leaves it when the window has passed. Running totals of these
+    few changes give the counts, which hold until the next change. The rollup crosses the network once, with at most
+    one row per day and combination; everything after that happens inside the tasks.
     """
-    window = F.col("window_days")
-    placed = (
+    count, names = F.col("unique_cnt"), [f"last_{w}" for w in windows]
+    enter = F.struct(F.lit(0).alias("after"), *[count.alias(name) for name in names])
+    leave = [
+        F.struct(F.lit(w).alias("after"), *[(-count if v == w else F.lit(0).cast("bigint")).alias(f"last_{v}") for v in windows])
+        for w in windows
+    ]
+    changes = (
         daily.where(targets.widen(before=max(windows) - 1).contains(F.col("log_date")))
         .repartition(*DIMENSIONS)
-        .withColumn("window_days", F.explode(F.array(*[F.lit(w) for w in windows])))
+        .select("log_date", *DIMENSIONS, F.inline(F.array(enter, *leave)))
+        .select(F.date_add("log_date", F.col("after")).alias("from"), *DIMENSIONS, *names)
+        .where(F.col("from") <= F.lit(targets.last))
     )
-    return (
-        spread(placed, F.lit(0), window - 1, targets)
-        .groupBy(*DIMENSIONS, "date", "window_days")
-        .agg(F.sum("unique_cnt").alias("unique_cnt"))
-        .select("date", "window_days", *DIMENSIONS, "unique_cnt")
+    in_order = Window.partitionBy(*DIMENSIONS).orderBy("from")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.greatest("from", F.lit(targets.first))
+    last = F.coalesce(F.date_sub("next", 1), F.lit(targets.last))
+    totals = (
+        changes.select(
+            "from",
+            F.lead("from").over(in_order).alias("next"),
+            *DIMENSIONS,
+            *[F.sum(name).over(so_far).alias(name) for name in names],
+        )
+        .where((F.col(f"last_{max(windows)}") > 0) & (first <= last))
+        .withColumn("date", F.explode(F.sequence(first, last)))
     )
+    return _per_window(totals, windows)

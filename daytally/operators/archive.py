@@ -14,22 +14,34 @@ from daytally.functions.periods import Period
 LOCAL_MIDNIGHT = "T15"
 
 
+def _starts_with_date(ftime: Column) -> Column:
+    text = F.substring(ftime, 1, 10)
+    return F.coalesce(text.try_cast("date").cast("string") == text, F.lit(False))
+
+
+def _candidates(targets: Period, ftime: Column) -> Column:
+    """The local days of a stamp that starts with a date; for other text, every target day.
+
+    Day `d` holds the text range from `(d-1)T15` to `dT15`, ends included, so the bare text `dT15` is in two days.
+    """
+    day, time = F.substring(ftime, 1, 10).try_cast("date"), F.expr("substring(ftime, 11)")
+    next_day = F.date_add(day, 1)
+    any_day = F.sequence(F.lit(targets.first), F.lit(targets.last))
+    return (
+        F.when(~_starts_with_date(ftime), any_day)
+        .when(time < LOCAL_MIDNIGHT, F.array(day))
+        .when(time > LOCAL_MIDNIGHT, F.array(next_day))
+        .otherwise(F.array(day, next_day))
+    )
+
+
 def _holds(local_day: Column, ftime: Column) -> Column:
-    """Day `d` holds the text range from `(d-1)T15` to `dT15`, ends included: the bare text `dT15` is in two days."""
     cut = F.lit(LOCAL_MIDNIGHT)
     return ftime.between(
         F.concat(F.date_sub(local_day, 1).cast("string"), cut), F.concat(local_day.cast("string"), cut)
     )
 
 
-def _candidates(targets: Period, ftime: Column) -> Column:
-    """The local days a stamp can belong to: two for one that starts with a date, any for other text."""
-    text = F.substring(ftime, 1, 10)
-    day = text.try_cast("date")
-    any_day = F.sequence(F.lit(targets.first), F.lit(targets.last))
-    return F.when(day.cast("string") == text, F.array(day, F.date_add(day, 1))).otherwise(any_day)
-
-
 def local_archive(log: DataFrame, targets: Period, late_days: int = 0) -> DataFrame:
     """The log lines of the local days in `targets`, all columns kept, with clean `grade` and `code` and `kr_date`.
 
@@ -42,7 +54,7 @@ def local_archive(log: DataFrame, targets: Period, late_days: int = 0) -> DataFr
     return (
         log.where(targets.widen(1, late_days).contains(F.col("log_date")) & ftime.between(start, end))
         .withColumn("kr_date", F.explode(_candidates(targets, ftime)))
-        .where(targets.contains(kr_date) & _holds(kr_date, ftime))
+        .where(targets.contains(kr_date) & (_starts_with_date(ftime) | _holds(kr_date, ftime)))
         .where(F.col("log_date").between(F.date_sub(kr_date, 1), F.date_add(kr_date, late_days)))
         .withColumns({"grade": normalize.grade(F.col("grade")), "code": normalize.code(F.col("code"))})
     )

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.functions import predicates
-from daytally.functions.periods import Period, calendar, spread
+from daytally.functions.periods import Period, calendar
 from daytally.schema import Endpoints
 
+_WORD = 64
+
 
 def _is_signup(endpoints: Endpoints) -> Column:
     return F.coalesce(F.col("id").isNotNull() & predicates.signup(endpoints), F.lit(False))
@@ -33,17 +38,14 @@ def active_ids(log: DataFrame) -> DataFrame:
 def id_flags(log: DataFrame, signup: Period, activity: Sequence[Period], endpoints: Endpoints) -> DataFrame:
     """Per id: whether it signed up, and whether it was active in each activity period. One scan, one shuffle."""
     day = F.col("log_date")
-    marks = {"signed_up": _is_signup(endpoints) & signup.contains(day)}
+    marks = {"signed_up": signup.contains(day) & _is_signup(endpoints)}
     for number, period in enumerate(activity):
-        marks[f"active_{number}"] = _is_active() & period.contains(day)
-    anything = F.lit(False)
-    for mark in marks.values():
-        anything = anything | mark
+        marks[f"active_{number}"] = period.contains(day) & _is_active()
+    reach = Period(min(p.first for p in [signup, *activity]), max(p.last for p in [signup, *activity]))
     return (
-        log.where(F.col("id").isNotNull() & anything)
-        .select("id", *[mark.alias(name) for name, mark in marks.items()])
+        log.where(reach.contains(day) & F.col("id").isNotNull())
         .groupBy("id")
-        .agg(*[F.max(name).alias(name) for name in marks])
+        .agg(*[F.max(mark).alias(name) for name, mark in marks.items()])
     )
 
 
@@ -86,53 +88,62 @@ def cohort_by_day(
     activity_days: tuple[int, int],
     endpoints: Endpoints = Endpoints(),
 ) -> DataFrame:
-    """Retention for every target day in one scan.
+    """Retention for every target day in one scan and one shuffle by id.
 
     The day tuples say how many days before the target day each window starts and ends, as in `(60, 31)` and
-    `(30, 1)`. Ids are reduced to one row per day first; those rows are then shuffled by id alone, repeated for their
-    target days and reduced inside the tasks.
+    `(30, 1)`. Each id is reduced to two sets of days, on which it signed up and was active, held as bits of 64-day
+    words; a window is then a bit mask.
     """
-    reach = targets.widen(
-        before=max(signup_days[0], activity_days[0]), after=-min(signup_days[1], activity_days[1])
-    )
-    marked = log.where(reach.contains(F.col("log_date")) & F.col("id").isNotNull()).select(
-        "id", "log_date", _is_signup(endpoints).alias("signed_up"), _is_active().alias("active")
-    )
-    daily = (
-        marked.where("signed_up or active")
-        .groupBy("id", "log_date")
-        .agg(F.max("signed_up").alias("signed_up"), F.max("active").alias("active"))
-        .repartition("id")
-    )
-    # Each day counts in its role as sign-up day and in its role as activity day, at different distances.
-    roles = F.array(
-        F.struct(
-            F.col("signed_up").alias("signed_up_then"),
-            F.lit(False).alias("active_then"),
-            F.lit(signup_days[1]).alias("nearest"),
-            F.lit(signup_days[0]).alias("farthest"),
-        ),
-        F.struct(
-            F.lit(False).alias("signed_up_then"),
-            F.col("active").alias("active_then"),
-            F.lit(activity_days[1]).alias("nearest"),
-            F.lit(activity_days[0]).alias("farthest"),
-        ),
-    )
-    placed = daily.select("id", "log_date", F.inline(roles)).where("signed_up_then or active_then")
-    per_id = (
-        spread(placed, F.col("nearest"), F.col("farthest"), targets)
-        .groupBy("id", "date")
-        .agg(F.max("signed_up_then").alias("signed_up"), F.max("active_then").alias("active"))
+    reach = targets.widen(before=max(signup_days[0], activity_days[0]), after=-min(signup_days[1], activity_days[1]))
+    words = range(-(-len(reach) // _WORD))
+    number = F.datediff(F.col("log_date"), F.lit(reach.first))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number % _WORD)
+
+    def day_bits(mark: Column, word: int) -> Column:
+        in_word = number.between(word * _WORD, (word + 1) * _WORD - 1)
+        return F.coalesce(F.bit_or(F.when(mark & in_word, bit)), F.lit(0).cast("bigint"))
+
+    days_per_id = (
+        log.where(reach.contains(F.col("log_date")) & F.col("id").isNotNull())
+        .groupBy("id")
+        .agg(
+            *[day_bits(_is_signup(endpoints), word).alias(f"signup_{word}") for word in words],
+            *[day_bits(_is_active(), word).alias(f"active_{word}") for word in words],
+        )
+        .where(_any([F.col(f"signup_{word}") != 0 for word in words]))
     )
-    totals = per_id.groupBy("date").agg(
-        F.count_if(F.col("signed_up")).alias("signup"),
-        F.count_if(F.col("signed_up") & F.col("active")).alias("retained"),
+
+    masks = {"offset": np.arange(len(targets))}
+    for name, (farthest, nearest) in {"signup": signup_days, "active": activity_days}.items():
+        for word in words:
+            first_days = [(day - reach.first).days - farthest for day in targets.days()]
+            masks[f"{name}_mask_{word}"] = _window_masks(first_days, farthest - nearest + 1, word)
+    zipped = F.arrays_zip(*[F.lit(values).alias(name) for name, values in masks.items()])
+
+    def in_window(name: str) -> Column:
+        return _any([F.col(f"{name}_{word}").bitwiseAND(F.col(f"{name}_mask_{word}")) != 0 for word in words])
+
+    totals = (
+        days_per_id.select("*", F.inline(zipped).alias(*masks))
+        .where(in_window("signup"))
+        .groupBy(F.date_add(F.lit(targets.first), F.col("offset").cast("int")).alias("date"))
+        .agg(F.count("*").alias("signup"), F.count_if(in_window("active")).alias("retained"))
     )
     days = calendar(log.sparkSession, targets).select("date")
+    # One row per target day on both sides.
     return days.join(F.broadcast(totals), "date", "left").select(
         "date",
         F.coalesce("signup", F.lit(0)).alias("signup"),
         F.coalesce("retained", F.lit(0)).alias("retained"),
         _percent(F.col("retained"), F.col("signup")).alias("retained_pct"),
     )
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(or_, conditions)
+
+
+def _window_masks(first_days: Sequence[int], length: int, word: int) -> np.ndarray:
+    """For each window, the bits of `word` that stand for its days."""
+    every = [((1 << length) - 1) << first for first in first_days]
+    return np.array([(bits >> (word * _WORD)) & ((1 << _WORD) - 1) for bits in every], dtype=np.uint64).view(np.int64)

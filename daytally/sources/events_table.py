@@ -1,64 +1,82 @@
 """View a plain `events` table (event_id, ts, user_id, event_type) as a client log.
 
 The table has no URLs, roles or devices. They are derived from its columns such that every rule of the operators
-meets each of its cases. The expressions are plain SQL.
+meets each of its cases.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-_WWW = "https://www.example.com/api"
-_OAUTH = "https://oauth.example.com"
-
-# Column name and its SQL definition.
-LOG_COLUMNS = {
-    "event_id": "event_id",
-    "log_date": "cast(ts AS date)",
-    "ftime": "concat(substr(replace(cast(ts AS string), ' ', 'T'), 1, 19), 'Z')",
-    "api": f"""CASE
-        WHEN event_type = 'signup' AND event_id % 3 = 0 THEN '{_WWW}/users'
-        WHEN event_type = 'signup' AND event_id % 3 = 1 THEN '{_OAUTH}/v1/oauth2/sign_up'
-        WHEN event_type = 'signup' THEN '{_OAUTH}/api/users'
-        WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN '{_WWW}/classes'
-        WHEN event_type = 'purchase' AND event_id % 5 = 0 THEN concat('{_WWW}/classes/', cast(user_id AS string), '/')
-        WHEN event_type = 'purchase' THEN concat('{_WWW}/classes/', cast(user_id AS string))
-        WHEN event_type = 'error' AND event_id % 7 = 0 THEN concat('{_WWW}/users/', cast(user_id AS string), '/photo')
-        WHEN event_type = 'error' THEN concat('{_WWW}/users/', cast(user_id AS string))
-        WHEN event_type = 'view' AND event_id % 4 = 0 THEN 'page_move'
-        WHEN event_type = 'view' AND event_id % 4 = 1 THEN '_null'
-        WHEN event_type = 'view' AND event_id % 4 = 2 THEN NULL
-        WHEN event_type IN ('view', 'click') THEN '{_WWW}/feed'
-        END""",
-    "method": """CASE
-        WHEN event_type IN ('signup', 'click') THEN 'POST'
-        WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN 'POST'
-        WHEN event_type IN ('purchase', 'error') THEN 'DELETE'
-        WHEN event_type = 'view' THEN 'GET'
-        END""",
-    "code": """CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 10 = 0 THEN '400'
-        WHEN event_id % 13 = 0 THEN '500' ELSE '200' END""",
-    "id": """CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 41 = 0 THEN ''
-        ELSE concat(cast(user_id AS string), '-', cast(event_id % 20 AS string)) END""",
-    "role": """CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'teacher' WHEN 3 THEN 'student'
-        WHEN 4 THEN 'parent' ELSE 'student' END""",
-    "device": """CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'web.event' WHEN 2 THEN 'ios'
-        WHEN 3 THEN 'pageevent' ELSE 'android' END""",
-    "tag": """CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'ios.event' WHEN 2 THEN 'android.event'
-        ELSE 'web' END""",
-    "country": "CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'US' WHEN 2 THEN 'JP' ELSE 'KR' END",
-    "language": "CASE event_id % 7 WHEN 1 THEN NULL WHEN 2 THEN 'en' ELSE 'ko' END",
-    "grade": """CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 9 = 1 THEN 'n/a'
-        ELSE cast(event_id % 12 AS string) END""",
-    "target_type": "CASE event_type WHEN 'click' THEN 'class' WHEN 'view' THEN 'user' END",
-    "target_id": """CASE WHEN event_type = 'click' AND event_id % 29 <> 0
-        THEN concat('c', cast(user_id % 50 AS string)) END""",
-    "resource_type": """CASE WHEN event_type = 'click' THEN CASE event_id % 9
-        WHEN 0 THEN 'texthome' WHEN 1 THEN 'filehome' WHEN 2 THEN 'photohome' WHEN 3 THEN 'videohome'
-        WHEN 4 THEN 'sharehome' WHEN 5 THEN 'photos' WHEN 6 THEN 'notice' WHEN 7 THEN 'comment' END END""",
-}
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from daytally.schema import WRITING_TYPES, Endpoints
+
+
+def _remainder(n: int) -> Column:
+    return F.col("event_id") % n
+
+
+def _divides(n: int) -> Column:
+    return _remainder(n) == 0
+
+
+def _user() -> Column:
+    return F.col("user_id").cast("string")
+
+
+def _pick(values: Sequence[str | None]) -> Column:
+    """One of the values, by the remainder of the event number. A constant array keeps the generated code short."""
+    return F.get(F.array(*[F.lit(v) for v in values]), _remainder(len(values)).cast("int"))
+
+
+def _by_type(**values: Column) -> Column:
+    (first, value), *rest = values.items()
+    chosen = F.when(F.col("event_type") == first, value)
+    for name, value in rest:
+        chosen = chosen.when(F.col("event_type") == name, value)
+    return chosen
+
+
+def _api(endpoints: Endpoints) -> Column:
+    feed = f"{endpoints.www}/api/feed"
+    one_class = F.concat(F.lit(f"{endpoints.classes}/"), _user(), F.when(_divides(5), "/").otherwise(""))
+    one_user = F.concat(F.lit(f"{endpoints.users}/"), _user(), F.when(_divides(7), "/photo").otherwise(""))
+    return _by_type(
+        signup=_pick(endpoints.signup_urls),
+        purchase=F.when(_divides(2), endpoints.classes).otherwise(one_class),
+        error=one_user,
+        view=_pick(["page_move", "_null", None, feed]),
+        click=F.lit(feed),
+    )
 
 
 def log_from_events(spark: SparkSession, table_dir: str) -> DataFrame:
+    purchase = F.when(_divides(2), "POST").otherwise("DELETE")
+    columns = {
+        "event_id": F.col("event_id"),
+        "log_date": F.col("ts").cast("date"),
+        "ftime": F.concat(F.replace(F.substring(F.col("ts").cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("Z")),
+        "api": _api(Endpoints()),
+        "method": _by_type(
+            signup=F.lit("POST"), purchase=purchase, error=F.lit("DELETE"), view=F.lit("GET"), click=F.lit("POST")
+        ),
+        "code": F.when(_divides(17), None).when(_divides(10), "400").when(_divides(13), "500").otherwise("200"),
+        "id": F.when(_divides(37), None)
+        .when(_divides(41), "")
+        .otherwise(F.concat(_user(), F.lit("-"), _remainder(20).cast("string"))),
+        "role": _pick([None, "", "teacher", "student", "parent", "student"]),
+        "device": _pick([None, "web.event", "ios", "pageevent", "android"]),
+        "tag": _pick([None, "ios.event", "android.event", "web"]),
+        "country": _pick([None, "US", "JP", "KR", "KR", "KR", "KR", "KR"]),
+        "language": _pick(["ko", None, "en", "ko", "ko", "ko", "ko"]),
+        "grade": F.when(_divides(9), None).when(_remainder(9) == 1, "n/a").otherwise(_remainder(12).cast("string")),
+        "target_type": _by_type(click=F.lit("class"), view=F.lit("user")),
+        "target_id": F.when(
+            (F.col("event_type") == "click") & ~_divides(29), F.concat(F.lit("c"), (F.col("user_id") % 50).cast("string"))
+        ),
+        "resource_type": _by_type(click=_pick([*WRITING_TYPES, "comment", None])),
+    }
     events = spark.read.parquet(f"{table_dir}/events.parquet")
-    return events.selectExpr(*[f"{sql} AS {name}" for name, sql in LOG_COLUMNS.items()])
+    return events.select(*[value.alias(name) for name, value in columns.items()])
