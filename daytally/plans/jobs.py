@@ -20,7 +20,7 @@ from daytally.operators.activity import DIMENSIONS, WINDOWS, daily_rollup, rolli
 from daytally.operators.archive import local_archive
 from daytally.operators.lifecycle import KINDS, lifecycle
 from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats
-from daytally.operators.retention import cohort_by_day, cohort_retention
+from daytally.operators.retention import cohort_by_day
 from daytally.schema import RAW_SCHEMA, UNIQUE_SCHEMA, Endpoints
 from daytally.sources.logs import archive_schema, present_days, read_logs
 from daytally.sources.tables import read_table, write_partitioned
@@ -38,7 +38,7 @@ MONTH_BEFORE = (60, 31)
 
 @dataclass(frozen=True)
 class Settings:
-    """Where a job reads and writes."""
+    """What a job reads and where it writes. `main` explains the options."""
 
     logs: str
     out: str
@@ -47,6 +47,7 @@ class Settings:
     require_complete: bool = False
     rollup: str | None = None
     late_days: int = 0
+    schema_files: str | None = None
     prior_signups: bool = False
     endpoints: Endpoints = field(default_factory=Endpoints)
 
@@ -63,12 +64,13 @@ def _log(spark: SparkSession, settings: Settings, period: Period, schema: T.Stru
     )
 
 
-def _write_records(records: DataFrame, path: str, partition_by: list[str], targets: Period, *kinds: str) -> None:
-    """Write records whose last partition column is `date` as text, and the one before it the kind of record."""
+def _write_records(records: DataFrame, path: str, targets: Period, kinds: tuple[str, ...] = ()) -> None:
+    """Write records by `kind`, if there are several, and by `date`."""
     in_period = F.col("date").between(f"{targets.first:%Y%m%d}", f"{targets.last:%Y%m%d}")
     if kinds:
-        in_period = in_period & F.col(partition_by[-2]).isin(*kinds)
-    write_partitioned(records, path, partition_by, in_period)
+        write_partitioned(records, path, ["kind", "date"], in_period & F.col("kind").isin(*kinds))
+    else:
+        write_partitioned(records, path, ["date"], in_period)
 
 
 def columnar_log(spark: SparkSession, settings: Settings, targets: Period) -> None:
@@ -85,7 +87,7 @@ def archive(spark: SparkSession, settings: Settings, targets: Period) -> None:
     reads = targets.widen(1, settings.late_days)
     schema = RAW_SCHEMA
     if settings.log_format == "json" and present_days(spark, settings.logs, reads):
-        schema = archive_schema(spark, settings.logs, reads)
+        schema = archive_schema(spark, settings.logs, reads, settings.schema_files)
     days = local_archive(_log(spark, settings, reads, schema), targets, settings.late_days)
     # A file of the log spans at most a few local days, so each task writes few files: nothing to shuffle.
     write_partitioned(
@@ -136,9 +138,8 @@ def _activity(spark: SparkSession, settings: Settings, targets: Period, subject:
         counts = unique_counts(_log(spark, settings, reads), subject, targets.last)
     else:
         counts = rolling_counts(daily_rollup(_log(spark, settings, reads), subject), targets)
-    kinds = [f"{subject}{w}d-nodev" for w in WINDOWS]
-    records = as_unique_stats(counts, subject)
-    _write_records(records, f"{settings.out}/unique-stats", ["_index", "_type", "date"], targets, *kinds)
+    records = as_unique_stats(counts, subject).withColumn("kind", F.col("_type"))
+    _write_records(records, f"{settings.out}/unique-stats", targets, tuple(f"{subject}{w}d-nodev" for w in WINDOWS))
 
 
 def unique_user(spark: SparkSession, settings: Settings, targets: Period) -> None:
@@ -153,7 +154,7 @@ def unique_class(spark: SparkSession, settings: Settings, targets: Period) -> No
 
 def _lifecycle(spark: SparkSession, settings: Settings, targets: Period, kinds: tuple[str, ...]) -> None:
     records = as_accum_stats(lifecycle(_log(spark, settings, targets), kinds, settings.endpoints))
-    _write_records(records, f"{settings.out}/accum-stats", ["_index", "kind", "date"], targets, *kinds)
+    _write_records(records, f"{settings.out}/accum-stats", targets, kinds)
 
 
 def accum_user(spark: SparkSession, settings: Settings, targets: Period) -> None:
@@ -175,12 +176,8 @@ def cohort(spark: SparkSession, settings: Settings, targets: Period) -> None:
     """Retention of sign-ups. By default sign-ups and activity come from the same 30 days."""
     signup_days = MONTH_BEFORE if settings.prior_signups else LAST_MONTH
     log = _log(spark, settings, targets.widen(before=signup_days[0], after=-LAST_MONTH[1]))
-    if len(targets) == 1:
-        signup, activity = (targets.widen(before=far, after=-near) for far, near in (signup_days, LAST_MONTH))
-        retention = cohort_retention(log, signup, activity, settings.endpoints).withColumn("date", F.lit(targets.last))
-    else:
-        retention = cohort_by_day(log, targets, signup_days, LAST_MONTH, settings.endpoints)
-    _write_records(as_cohort(retention), f"{settings.out}/cohort", ["_index", "_type", "date"], targets)
+    records = as_cohort(cohort_by_day(log, targets, signup_days, LAST_MONTH, settings.endpoints))
+    _write_records(records, f"{settings.out}/cohort", targets)
 
 
 JOBS = {
@@ -213,6 +210,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--require-complete", action="store_true", help="fail if the log lacks a day")
     parser.add_argument("--rollup", help="keep daily counts here, so that later runs scan new days only")
     parser.add_argument("--late-days", type=int, default=0, help="archive: also read this many later days")
+    parser.add_argument("--schema-files", help="archive: find columns in matching files only; others may lose some")
     parser.add_argument("--prior-signups", action="store_true", help="cohort: sign-ups from the month before")
     parser.add_argument("--www", default=Endpoints.www)
     parser.add_argument("--oauth", default=Endpoints.oauth)
@@ -225,6 +223,7 @@ def main(argv: list[str] | None = None) -> None:
         require_complete=args.require_complete,
         rollup=args.rollup,
         late_days=args.late_days,
+        schema_files=args.schema_files,
         prior_signups=args.prior_signups,
         endpoints=Endpoints(args.www, args.oauth),
     )
