@@ -8,75 +8,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from daytally.schema import WRITING_TYPES, Endpoints
 
 
-def _remainder(n: int) -> Column:
-    return F.col("event_id") % n
+def _text(value: str | None) -> str:
+    return "NULL" if value is None else f"'{value}'"
 
 
-def _divides(n: int) -> Column:
-    return _remainder(n) == 0
-
-
-def _user() -> Column:
-    return F.col("user_id").cast("string")
-
-
-def _pick(values: Sequence[str | None]) -> Column:
+def _pick(*values: str | None) -> str:
     """One of the values, by the remainder of the event number. A constant array keeps the generated code short."""
-    return F.get(F.array(*[F.lit(v) for v in values]), _remainder(len(values)).cast("int"))
+    return f"get(array({', '.join(map(_text, values))}), cast(event_id % {len(values)} AS int))"
 
 
-def _by_type(**values: Column) -> Column:
-    (first, value), *rest = values.items()
-    chosen = F.when(F.col("event_type") == first, value)
-    for name, value in rest:
-        chosen = chosen.when(F.col("event_type") == name, value)
-    return chosen
-
-
-def _api(endpoints: Endpoints) -> Column:
+def _columns(endpoints: Endpoints, writing_types: Sequence[str]) -> dict[str, str]:
     feed = f"{endpoints.www}/api/feed"
-    one_class = F.concat(F.lit(f"{endpoints.classes}/"), _user(), F.when(_divides(5), "/").otherwise(""))
-    one_user = F.concat(F.lit(f"{endpoints.users}/"), _user(), F.when(_divides(7), "/photo").otherwise(""))
-    return _by_type(
-        signup=_pick(endpoints.signup_urls),
-        purchase=F.when(_divides(2), endpoints.classes).otherwise(one_class),
-        error=one_user,
-        view=_pick(["page_move", "_null", None, feed]),
-        click=F.lit(feed),
-    )
+    return {
+        "event_id": "event_id",
+        "log_date": "cast(ts AS date)",
+        "ftime": "concat(replace(substr(cast(ts AS string), 1, 19), ' ', 'T'), 'Z')",
+        "api": f"""CASE event_type
+            WHEN 'signup' THEN {_pick(*endpoints.signup_urls)}
+            WHEN 'purchase' THEN if(event_id % 2 = 0, '{endpoints.classes}',
+                concat('{endpoints.classes}/', user_id, if(event_id % 5 = 0, '/', '')))
+            WHEN 'error' THEN concat('{endpoints.users}/', user_id, if(event_id % 7 = 0, '/photo', ''))
+            WHEN 'view' THEN {_pick("page_move", "_null", None, feed)}
+            WHEN 'click' THEN '{feed}' END""",
+        "method": """CASE event_type WHEN 'signup' THEN 'POST' WHEN 'click' THEN 'POST' WHEN 'view' THEN 'GET'
+            WHEN 'error' THEN 'DELETE' WHEN 'purchase' THEN if(event_id % 2 = 0, 'POST', 'DELETE') END""",
+        "code": """CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 10 = 0 THEN '400'
+            WHEN event_id % 13 = 0 THEN '500' ELSE '200' END""",
+        "id": """CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 41 = 0 THEN ''
+            ELSE concat(user_id, '-', event_id % 20) END""",
+        "role": _pick(None, "", "teacher", "student", "parent", "student"),
+        "device": _pick(None, "web.event", "ios", "pageevent", "android"),
+        "tag": _pick(None, "ios.event", "android.event", "web"),
+        "country": _pick(None, "US", "JP", "KR", "KR", "KR", "KR", "KR"),
+        "language": _pick("ko", None, "en", "ko", "ko", "ko", "ko"),
+        "grade": """CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 9 = 1 THEN 'n/a'
+            ELSE cast(event_id % 12 AS string) END""",
+        "target_type": "CASE event_type WHEN 'click' THEN 'class' WHEN 'view' THEN 'user' END",
+        "target_id": "if(event_type = 'click' AND event_id % 29 <> 0, concat('c', user_id % 50), NULL)",
+        "resource_type": f"if(event_type = 'click', {_pick(*writing_types, 'comment', None)}, NULL)",
+    }
 
 
 def log_from_events(spark: SparkSession, table_dir: str) -> DataFrame:
-    purchase = F.when(_divides(2), "POST").otherwise("DELETE")
-    columns = {
-        "event_id": F.col("event_id"),
-        "log_date": F.col("ts").cast("date"),
-        "ftime": F.concat(F.replace(F.substring(F.col("ts").cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("Z")),
-        "api": _api(Endpoints()),
-        "method": _by_type(
-            signup=F.lit("POST"), purchase=purchase, error=F.lit("DELETE"), view=F.lit("GET"), click=F.lit("POST")
-        ),
-        "code": F.when(_divides(17), None).when(_divides(10), "400").when(_divides(13), "500").otherwise("200"),
-        "id": F.when(_divides(37), None)
-        .when(_divides(41), "")
-        .otherwise(F.concat(_user(), F.lit("-"), _remainder(20).cast("string"))),
-        "role": _pick([None, "", "teacher", "student", "parent", "student"]),
-        "device": _pick([None, "web.event", "ios", "pageevent", "android"]),
-        "tag": _pick([None, "ios.event", "android.event", "web"]),
-        "country": _pick([None, "US", "JP", "KR", "KR", "KR", "KR", "KR"]),
-        "language": _pick(["ko", None, "en", "ko", "ko", "ko", "ko"]),
-        "grade": F.when(_divides(9), None).when(_remainder(9) == 1, "n/a").otherwise(_remainder(12).cast("string")),
-        "target_type": _by_type(click=F.lit("class"), view=F.lit("user")),
-        "target_id": F.when(
-            (F.col("event_type") == "click") & ~_divides(29), F.concat(F.lit("c"), (F.col("user_id") % 50).cast("string"))
-        ),
-        "resource_type": _by_type(click=_pick([*WRITING_TYPES, "comment", None])),
-    }
+    columns = _columns(Endpoints(), WRITING_TYPES)
     events = spark.read.parquet(f"{table_dir}/events.parquet")
-    return events.select(*[value.alias(name) for name, value in columns.items()])
+    return events.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
