@@ -10,25 +10,30 @@ from pyspark.sql import functions as F
 from daytally.functions.lineage import cut_lineage
 
 
+def sorted_runs(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Sort over the whole cluster and number the rows: `_row` grows along the order, `_run` is the sorted partition.
+
+    Equal rows, however many, still fall into several runs, because a row number breaks ties. The sorted rows are
+    checkpointed, so that every later step sees the same runs; the input is checkpointed too, because sorting reads it
+    twice and it may be a scan of raw logs.
+    """
+    rows = cut_lineage(df.withColumn("_tie", F.monotonically_increasing_id()))
+    numbered = rows.orderBy(*order, "_tie").drop("_tie").withColumn("_row", F.monotonically_increasing_id())
+    # The upper bits of such a number are the number of the partition.
+    return cut_lineage(numbered).withColumn("_run", F.shiftright("_row", 33))
+
+
 def carry_forward(
     df: DataFrame, column: str, partition: Sequence[str], order: Sequence[str], initial: str
 ) -> DataFrame:
     """Replace an empty `column` by the last non-empty one before it; NULL counts as a value and is carried too.
 
-    The rows are sorted over the whole cluster, which splits a partition of any size, or a stamp shared by any
-    number of rows, into many sorted runs. Values travel within a run by a window, and between runs by a
-    table of one row per run. The sorted rows are checkpointed, so that both steps see the same runs; the input is
-    checkpointed too, because sorting reads it twice and it may be a scan of raw logs.
+    Within a sorted run a window carries the value; from run to run a table with one row per run does. So a
+    partition may be of any size.
     """
     # A struct around the value tells a carried NULL from "nothing to carry".
     known = F.when(F.col(column).isNull() | (F.col(column) != ""), F.struct(F.col(column).alias("value")))
-    rows = (
-        cut_lineage(df.withColumn("_known", known))
-        .orderBy(*partition, *order)
-        .withColumn("_row", F.monotonically_increasing_id())
-    )
-    # The upper bits of the row number are the number of the sorted run.
-    rows = cut_lineage(rows).withColumn("_run", F.shiftright("_row", 33))
+    rows = sorted_runs(df.withColumn("_known", known), [*partition, *order])
 
     earlier_runs = Window.partitionBy(*partition).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     run_starts = (

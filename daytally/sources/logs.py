@@ -89,7 +89,8 @@ def read_logs(
     """The log lines of `period`, with `log_date` and `event_id`.
 
     JSON (`fmt="json"`) is read from `root/logs_yyyyMMdd/` under a declared schema, so there is no inference pass;
-    malformed lines are dropped. `file_glob` limits the file names, e.g. `*-10_*.gz` for one hour of each day.
+    malformed lines are dropped. (With a schema that is not all text, a line may also fail by its types. Such a line
+    keeps its other columns, and a malformed one has no values at all, which no job counts.) `file_glob` limits the file names, e.g. `*-10_*.gz` for one hour of each day.
     JSON lines have no number of their own: they get a hash of their content, which orders lines that share
     a stamp in the same way on every run.
 
@@ -105,7 +106,8 @@ def read_logs(
         return spark.read.schema(LOG_SCHEMA).parquet(root).where(period.contains(F.col("log_date")))
     rest = [c for c in schema.names if c not in ("event_id", "log_date")]
     try:
-        raw = _read_json(spark, root, period, file_glob, schema, "DROPMALFORMED")
+        all_text = all(isinstance(f.dataType, T.StringType) for f in schema.fields)
+        raw = _read_json(spark, root, period, file_glob, schema, "DROPMALFORMED" if all_text else "PERMISSIVE")
     except AnalysisException as error:
         if not path_missing(error):
             raise

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daytally.functions.periods import Period, run_period
 from daytally.operators import activity, retention
-from daytally.operators.carry import carry_forward
+from daytally.operators.carry import carry_forward, sorted_runs
 from daytally.operators.lifecycle import KINDS, lifecycle
 from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats
 from daytally.schema import ACCUM_SCHEMA, COHORT_SCHEMA, UNIQUE_SCHEMA, Endpoints
@@ -80,6 +80,20 @@ def test_carry_forward_across_many_runs(spark, known_share):
     assert {r.n: r.role for r in result} == expected
 
 
+def test_equal_rows_fall_into_several_runs(spark):
+    """Copies of one line share even their number; a third of the rows are such copies."""
+    rows = [(1, "t", 5, "")] * 10_000 + [(1, f"{n:05d}", n, "a") for n in range(20_000)]
+    df = spark.createDataFrame(rows, ROLES).repartition(16)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in sorted_runs(df, ["day", "at", "n"]).groupBy("_run").count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * len(rows) / 8
+        assert {r.role for r in carry(df).where("at = 't'").collect()} == {"a"}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_carry_is_separate_for_each_kind(spark):
     create, delete = SIGNUP, {"api": Endpoints().users + "/1", "method": "DELETE", "code": "200"}
     df = log(

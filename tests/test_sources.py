@@ -98,6 +98,19 @@ def test_archive_schema_finds_other_columns(spark, root):
     assert "extra" not in sampled.names and "level" in sampled.names
 
 
+def test_value_of_another_type_than_sampled_keeps_its_line(spark, tmp_path):
+    write_lines(tmp_path, FIRST, "09_0", [{"ftime": "a", "level": 7}])
+    write_lines(tmp_path, FIRST, "10_0", [{"ftime": "b", "api": "x", "level": "high"}, '{"ftime": "c", '])
+    period = Period(FIRST, FIRST)
+    sampled = archive_schema(spark, str(tmp_path), period, file_glob="*-09_*.gz")
+    assert sampled["level"].dataType.typeName() == "long"
+    rows = read_logs(spark, str(tmp_path), period, schema=sampled).where("ftime is not null").collect()
+    assert sorted((r.ftime, r.api, r.level) for r in rows) == [("a", None, 7), ("b", "x", None)]
+    full = archive_schema(spark, str(tmp_path), period)
+    rows = read_logs(spark, str(tmp_path), period, schema=full).where("ftime is not null").collect()
+    assert sorted((r.ftime, r.level) for r in rows) == [("a", "7"), ("b", "high")]
+
+
 def test_line_quality(spark, root):
     rows = [tuple(r) for r in line_quality(spark, root, ALL).orderBy("log_date").collect()]
     assert rows == [(FIRST, 4, 1, 1), (THIRD, 1, 0, 0)]
