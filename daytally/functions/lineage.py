@@ -12,9 +12,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Only a local session may go without that setting; it gets a temporary folder.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="daytally-"))
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="daytally-"))
     return df.checkpoint()

@@ -28,27 +28,26 @@ def carry_forward(
 ) -> DataFrame:
     """Replace an empty `column` by the last non-empty one before it; NULL counts as a value and is carried too.
 
-    Within a sorted run a window carries the value; from run to run a table with one row per run does. So a
-    partition may be of any size.
+    Within a sorted run a window carries the value. What comes before a run is put in front of it as one more row, so a
+    partition may be of any size and have any number of runs.
     """
     # A struct around the value tells a carried NULL from "nothing to carry".
     known = F.when(F.col(column).isNull() | (F.col(column) != ""), F.struct(F.col(column).alias("value")))
     rows = sorted_runs(df.withColumn("_known", known), [*partition, *order])
 
     earlier_runs = Window.partitionBy(*partition).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    run_starts = (
+    before_runs = (
         rows.groupBy(*partition, "_run")
         .agg(F.max_by("_known", F.when(F.col("_known").isNotNull(), F.col("_row"))).alias("_last"))
-        .select(*partition, "_run", F.last("_last", ignorenulls=True).over(earlier_runs).alias("_before"))
+        .select(*partition, "_run", F.last("_last", ignorenulls=True).over(earlier_runs).alias("_known"))
+        .withColumn("_row", F.lit(-1).cast("bigint"))
     )
-    # One row per sorted run and partition value, whatever the number of rows.
-    same_run = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in partition] + [F.col("r._run") == F.col("s._run")]
-    joined = rows.alias("r").join(F.broadcast(run_starts.alias("s")), same_run, "left").select("r.*", "s._before")
-
     so_far = Window.partitionBy(*partition, "_run").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    carried = F.coalesce(
-        F.last("_known", ignorenulls=True).over(so_far),
-        F.col("_before"),
-        F.struct(F.lit(initial).alias("value")),
+    nothing = F.struct(F.lit(initial).alias("value"))
+    carried = F.coalesce(F.last("_known", ignorenulls=True).over(so_far), nothing)
+    return (
+        rows.unionByName(before_runs, allowMissingColumns=True)
+        .withColumn(column, carried["value"])
+        .where("_row >= 0")
+        .select(*df.columns)
     )
-    return joined.withColumn(column, carried["value"]).drop("_known", "_row", "_run", "_before")

@@ -1,6 +1,6 @@
 """The daily jobs. Each covers its whole run period with one plan.
 
-    spark-submit -m daytally.plans.jobs JOB START NUM_DAYS --logs ROOT --out ROOT
+    spark-submit run_job.py JOB START NUM_DAYS --logs ROOT --out ROOT
 
 `START` is the last target day (yyyyMMdd); the run goes back `NUM_DAYS` days from it.
 """
@@ -228,9 +228,10 @@ def main(argv: list[str] | None = None) -> None:
         endpoints=Endpoints(args.www, args.oauth),
     )
     targets = span(args.start, args.to) if args.to else run_period(args.start, args.num_days)
-    spark = SparkSession.builder.appName(f"daytally-{args.job}").getOrCreate()
+    spark = (
+        SparkSession.builder.appName(f"daytally-{args.job}")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
     run(spark, args.job, targets, settings)
 
-
-if __name__ == "__main__":
-    main()

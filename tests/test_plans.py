@@ -8,7 +8,7 @@ from __spark_entry__ import queries
 from daytally.functions.periods import Period, run_period
 from daytally.operators import activity, retention
 from daytally.operators.archive import local_archive
-from daytally.operators.lifecycle import lifecycle_events
+from daytally.operators.lifecycle import lifecycle, lifecycle_events
 from daytally.sources.events_table import log_from_events
 from daytally.sources.logs import read_logs
 
@@ -89,6 +89,12 @@ def test_filters_and_columns_reach_the_scan(spark, stored):
         assert "log_date" in re.search(r"PartitionFilters: \[(.*)\]", text).group(1)
 
 
+def test_carried_roles_need_no_join_and_no_single_task(spark, stored):
+    text = plan(lifecycle(read_logs(spark, stored, MONTH, fmt="parquet")))
+    assert "Join" not in text and "SinglePartition" not in text
+    assert set(exchanges(text)) == {"hashpartitioning"}
+
+
 def test_look_back_reads_only_its_days(spark, stored):
     log = read_logs(spark, stored, MONTH, fmt="parquet")
     text = plan(activity.unique_counts(log, "user", "20240130", windows=[1, 3]))
