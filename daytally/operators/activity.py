@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,36 +17,46 @@ from daytally.functions import normalize, predicates
 from daytally.functions.periods import Period, parse_day, trailing
 
 WINDOWS = (1, 7, 30)
-DIMENSIONS = ("id", "role", "device", "country", "lang", "grade")
-
-_SUBJECTS = {
-    "user": (predicates.user_activity, "id"),
-    "class": (predicates.class_activity, "target_id"),
-}
-
-
-def active_events(log: DataFrame, subject: str) -> DataFrame:
-    """One row per counted event: `log_date` and the cleaned dimensions."""
-    is_active, id_column = _SUBJECTS[subject]
-    return log.where(is_active()).select(
-        "log_date",
-        F.col(id_column).alias("id"),
-        "role",
-        normalize.device_regex(F.col("device"), F.col("tag")).alias("device"),
-        "country",
-        normalize.language(F.col("language"), fill=True).alias("lang"),
-        normalize.grade(F.col("grade")).alias("grade"),
+SUBJECTS = ("user", "class")
+DIMENSIONS = ("subject", "id", "role", "device", "country", "lang", "grade")
+
+_ID_COLUMNS = {"user": "id", "class": "target_id"}
+
+
+def active_events(log: DataFrame, subjects: Sequence[str] = SUBJECTS) -> DataFrame:
+    """One row per counted event: `log_date` and the cleaned dimensions. An event may count for several subjects."""
+    is_active = {"user": predicates.user_activity(), "class": predicates.class_activity()}
+    hits = F.array(
+        *[
+            F.struct(F.lit(s).alias("subject"), F.col(_ID_COLUMNS[s]).alias("subject_id"), is_active[s].alias("active"))
+            for s in subjects
+        ]
+    )
+    return (
+        log.where(reduce(or_, [is_active[s] for s in subjects]))
+        .select("*", F.inline(hits))
+        .where("active")
+        .select(
+            "log_date",
+            "subject",
+            F.col("subject_id").alias("id"),
+            "role",
+            normalize.device_regex(F.col("device"), F.col("tag")).alias("device"),
+            "country",
+            normalize.language(F.col("language"), fill=True).alias("lang"),
+            normalize.grade(F.col("grade")).alias("grade"),
+        )
     )
 
 
-def daily_rollup(log: DataFrame, subject: str) -> DataFrame:
+def daily_rollup(log: DataFrame, subjects: Sequence[str] = SUBJECTS) -> DataFrame:
     """Events per day and combination of dimensions."""
-    return active_events(log, subject).groupBy("log_date", *DIMENSIONS).agg(F.count("*").alias("unique_cnt"))
+    return active_events(log, subjects).groupBy("log_date", *DIMENSIONS).agg(F.count("*").alias("unique_cnt"))
 
 
 def without_device(daily: DataFrame) -> DataFrame:
     """Collapse device to `_all` and grade to 0 in a daily rollup."""
-    kept = ["log_date", "id", "role", "country", "lang"]
+    kept = ["log_date", "subject", "id", "role", "country", "lang"]
     totals = daily.groupBy(*kept).agg(F.sum("unique_cnt").alias("unique_cnt"))
     return totals.withColumns({"device": F.lit("_all"), "grade": F.lit(0).cast("bigint")}).select(
         "log_date", *DIMENSIONS, "unique_cnt"
@@ -63,10 +75,12 @@ def _per_window(totals: DataFrame, windows: Sequence[int]) -> DataFrame:
     )
 
 
-def unique_counts(log: DataFrame, subject: str, day: date | str, windows: Sequence[int] = WINDOWS) -> DataFrame:
+def unique_counts(
+    log: DataFrame, day: date | str, subjects: Sequence[str] = SUBJECTS, windows: Sequence[int] = WINDOWS
+) -> DataFrame:
     """Counts for one target day straight from the log, in one shuffle for all windows."""
     day, age = parse_day(day), F.datediff(F.lit(parse_day(day)), F.col("log_date"))
-    events = active_events(log, subject).where(trailing(day, max(windows)).contains(F.col("log_date")))
+    events = active_events(log, subjects).where(trailing(day, max(windows)).contains(F.col("log_date")))
     totals = events.groupBy(*DIMENSIONS).agg(*[F.count_if(age < w).alias(f"last_{w}") for w in windows])
     return _per_window(totals.withColumn("date", F.lit(day)), windows)
 

@@ -26,8 +26,8 @@ def _record(df: DataFrame, schema, values: dict[str, Column]) -> DataFrame:
     return df.select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def as_unique_stats(counts: DataFrame, subject: str) -> DataFrame:
-    """Records for `subject` (`user` or `class`) from trailing-window counts."""
+def as_unique_stats(counts: DataFrame) -> DataFrame:
+    """Records from trailing-window counts."""
     day = F.col("date")
     return _record(
         counts,
@@ -36,7 +36,7 @@ def as_unique_stats(counts: DataFrame, subject: str) -> DataFrame:
             "date": day_text(day),
             "timeStamp": run_stamp(day),
             "_index": index_name("unique-stats", day),
-            "_type": F.concat(F.lit(subject), F.col("window_days").cast("string"), F.lit("d-nodev")),
+            "_type": F.concat(F.col("subject"), F.col("window_days").cast("string"), F.lit("d-nodev")),
         },
     )
 

@@ -16,18 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.functions.periods import Period, run_period, span
-from daytally.operators.activity import DIMENSIONS, WINDOWS, daily_rollup, rolling_counts, unique_counts
+from daytally.operators.activity import DIMENSIONS, SUBJECTS, WINDOWS, daily_rollup, rolling_counts, unique_counts
 from daytally.operators.archive import local_archive
 from daytally.operators.lifecycle import KINDS, lifecycle
 from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats
 from daytally.operators.retention import cohort_by_day
-from daytally.schema import RAW_SCHEMA, UNIQUE_SCHEMA, Endpoints
+from daytally.schema import RAW_SCHEMA, Endpoints
 from daytally.sources.logs import archive_schema, present_days, read_logs
 from daytally.sources.tables import read_table, write_partitioned
 
 ROLLUP_SCHEMA = T.StructType(
     [T.StructField("log_date", T.DateType())]
-    + [UNIQUE_SCHEMA[name] for name in DIMENSIONS]
+    + [T.StructField(name, T.LongType() if name == "grade" else T.StringType()) for name in DIMENSIONS]
     + [T.StructField("unique_cnt", T.LongType())]
 )
 
@@ -100,23 +100,26 @@ def archive(spark: SparkSession, settings: Settings, targets: Period) -> None:
     )
 
 
-def _refresh_rollup(spark: SparkSession, settings: Settings, subject: str, targets: Period) -> DataFrame:
+def _refresh_rollup(spark: SparkSession, settings: Settings, targets: Period, subjects: tuple[str, ...]) -> DataFrame:
     """Bring the stored rollup up to date and return it: target days anew, look-back days only if missing."""
-    path = f"{settings.rollup}/{subject}"
     needed = targets.widen(before=max(WINDOWS) - 1)
     look_back = Period(needed.first, targets.first - timedelta(days=1))
-    stored = {
-        row.log_date
-        for row in read_table(spark, path, ROLLUP_SCHEMA)
-        .where(look_back.contains(F.col("log_date")))
-        .select("log_date")
+    is_subject = F.col("subject").isin(*subjects)
+    stored = (
+        read_table(spark, settings.rollup, ROLLUP_SCHEMA)
+        .where(is_subject & look_back.contains(F.col("log_date")))
+        .select("subject", "log_date")
         .distinct()
-        .collect()
-    }
-    for period in _stretches([d for d in needed.days() if d not in stored]):
-        rollup = daily_rollup(_log(spark, settings, period), subject)
-        write_partitioned(rollup, path, ["log_date"], period.contains(F.col("log_date")), compression="zstd")
-    return read_table(spark, path, ROLLUP_SCHEMA)
+        .groupBy("log_date")
+        .count()
+        .where(F.col("count") == len(subjects))
+    )
+    done = {row.log_date for row in stored.collect()}
+    for period in _stretches([day for day in needed.days() if day not in done]):
+        rollup = daily_rollup(_log(spark, settings, period), subjects)
+        replaces = is_subject & period.contains(F.col("log_date"))
+        write_partitioned(rollup, settings.rollup, ["subject", "log_date"], replaces, compression="zstd")
+    return read_table(spark, settings.rollup, ROLLUP_SCHEMA).where(is_subject)
 
 
 def _stretches(days: list[date]) -> list[Period]:
@@ -130,26 +133,32 @@ def _stretches(days: list[date]) -> list[Period]:
     return periods
 
 
-def _activity(spark: SparkSession, settings: Settings, targets: Period, subject: str) -> None:
+def _activity(spark: SparkSession, settings: Settings, targets: Period, subjects: tuple[str, ...]) -> None:
     reads = targets.widen(before=max(WINDOWS) - 1)
     if settings.rollup:
-        counts = rolling_counts(_refresh_rollup(spark, settings, subject, targets), targets)
+        counts = rolling_counts(_refresh_rollup(spark, settings, targets, subjects), targets)
     elif len(targets) == 1:
-        counts = unique_counts(_log(spark, settings, reads), subject, targets.last)
+        counts = unique_counts(_log(spark, settings, reads), targets.last, subjects)
     else:
-        counts = rolling_counts(daily_rollup(_log(spark, settings, reads), subject), targets)
-    records = as_unique_stats(counts, subject).withColumn("kind", F.col("_type"))
-    _write_records(records, f"{settings.out}/unique-stats", targets, tuple(f"{subject}{w}d-nodev" for w in WINDOWS))
+        counts = rolling_counts(daily_rollup(_log(spark, settings, reads), subjects), targets)
+    records = as_unique_stats(counts).withColumn("kind", F.col("_type"))
+    kinds = tuple(f"{subject}{w}d-nodev" for subject in subjects for w in WINDOWS)
+    _write_records(records, f"{settings.out}/unique-stats", targets, kinds)
 
 
 def unique_user(spark: SparkSession, settings: Settings, targets: Period) -> None:
     """Active users over trailing windows."""
-    _activity(spark, settings, targets, "user")
+    _activity(spark, settings, targets, ("user",))
 
 
 def unique_class(spark: SparkSession, settings: Settings, targets: Period) -> None:
     """Active classes over trailing windows."""
-    _activity(spark, settings, targets, "class")
+    _activity(spark, settings, targets, ("class",))
+
+
+def unique_all(spark: SparkSession, settings: Settings, targets: Period) -> None:
+    """Active users and active classes from one scan."""
+    _activity(spark, settings, targets, SUBJECTS)
 
 
 def _lifecycle(spark: SparkSession, settings: Settings, targets: Period, kinds: tuple[str, ...]) -> None:
@@ -185,6 +194,7 @@ JOBS = {
     "archive": archive,
     "unique-user": unique_user,
     "unique-class": unique_class,
+    "unique-all": unique_all,
     "accum-user": accum_user,
     "accum-class": accum_class,
     "accum-all": accum_all,

@@ -86,12 +86,12 @@ _ACTIVE = {
     ),
 }
 
-_DIMS = "id, role, device, country, lang, grade"
+_DIMS = "subject, id, role, device, country, lang, grade"
 
 
 def _active(subject: str) -> str:
     condition, id_column = _ACTIVE[subject]
-    return f"""active AS (SELECT log_date, {id_column} AS id, role, {_DEVICE_REGEX} AS device, country,
+    return f"""active AS (SELECT log_date, '{subject}' AS subject, {id_column} AS id, role, {_DEVICE_REGEX} AS device, country,
         coalesce(language, '_null') AS lang, {_GRADE} AS grade FROM log WHERE {condition})"""
 
 
@@ -126,9 +126,9 @@ def _one_window(subject: str, window: int) -> str:
 
 
 def _without_device(subject: str) -> str:
-    return f"""WITH {_counts(subject, '(7)')} SELECT date, window_days, id, role, '_all' AS device, country, lang,
+    return f"""WITH {_counts(subject, '(7)')} SELECT date, window_days, subject, id, role, '_all' AS device, country, lang,
         CAST(0 AS BIGINT) AS grade, CAST(sum(unique_cnt) AS BIGINT) AS unique_cnt
-        FROM counts GROUP BY date, window_days, id, role, country, lang"""
+        FROM counts GROUP BY date, window_days, subject, id, role, country, lang"""
 
 
 def _unique_stats(subject: str) -> str:
@@ -231,6 +231,7 @@ ORACLES: dict[str, str] = {
     "unique_class_last_day": _last_day("class"),
     "rolling_user_counts": _rolling("user"),
     "rolling_class_counts": _rolling("class"),
+    "rolling_counts_one_scan": f"SELECT * FROM ({_rolling('user')}) UNION ALL SELECT * FROM ({_rolling('class')})",
     "unique_user_nodev": _without_device("user"),
     "unique_class_nodev": _without_device("class"),
     "publish_unique_stats": _unique_stats("user"),

@@ -48,8 +48,8 @@ def stored(spark, path, schema):
 
 
 def expected_unique(log, subject, targets):
-    counts = activity.rolling_counts(activity.daily_rollup(log, subject), targets)
-    return Counter(as_unique_stats(counts, subject).collect())
+    counts = activity.rolling_counts(activity.daily_rollup(log, [subject]), targets)
+    return Counter(as_unique_stats(counts).collect())
 
 
 @pytest.mark.parametrize("subject", ["user", "class"])
@@ -68,6 +68,20 @@ def test_subjects_share_a_table(spark, log, raw, tmp_path):
         jobs.unique_class(spark, settings(raw, tmp_path), day)
     expected = expected_unique(log, "user", day) + expected_unique(log, "class", day)
     assert stored(spark, tmp_path / "unique-stats", UNIQUE_SCHEMA) == expected
+    jobs.unique_all(spark, settings(raw, tmp_path / "one"), day)
+    assert stored(spark, tmp_path / "one" / "unique-stats", UNIQUE_SCHEMA) == expected
+
+
+def test_subjects_share_a_rollup(spark, log, raw, tmp_path):
+    own = settings(raw, tmp_path / "out", rollup=str(tmp_path / "rollup"))
+    jobs.unique_user(spark, own, run_period("20240110", 2))
+    # The rollup lacks the classes of these days, so they must not be taken as done.
+    jobs.unique_all(spark, own, run_period("20240111", 1))
+    jobs.unique_class(spark, own, run_period("20240110", 1))
+    both = run_period("20240111", 3)
+    expected = expected_unique(log, "user", Period(date(2024, 1, 9), both.last))
+    expected += expected_unique(log, "class", Period(date(2024, 1, 10), both.last))
+    assert stored(spark, tmp_path / "out" / "unique-stats", UNIQUE_SCHEMA) == expected
 
 
 def test_stored_rollup_gives_the_same_and_rereads_only_new_days(spark, log, raw, tmp_path, monkeypatch):

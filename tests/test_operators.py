@@ -135,23 +135,28 @@ def test_rolling_counts_by_brute_force(spark, windows):
             for window in windows:
                 if 0 <= (target - row["log_date"]).days < window:
                     expected[target, window, row["id"], row["device"] or "_null"] += 1
-    result = activity.rolling_counts(activity.daily_rollup(df, "user"), targets, windows).collect()
+    result = activity.rolling_counts(activity.daily_rollup(df, ["user"]), targets, windows).collect()
     assert {(r.date, r.window_days, r.id, r.device): r.unique_cnt for r in result} == expected
     assert len(result) == len(expected)
 
 
 def test_one_day_equals_its_share_of_the_rolling_counts(spark, small):
     df = log_from_events(spark, small)
-    for subject in ("user", "class"):
-        rolling = activity.rolling_counts(activity.daily_rollup(df, subject), run_period("20240130", 30))
-        for target in (date(2024, 1, 1), date(2024, 1, 17), date(2024, 1, 30)):
-            direct = activity.unique_counts(df, subject, target)
-            share = rolling.where(F.col("date") == F.lit(target))
-            assert Counter(direct.collect()) == Counter(share.collect())
+    rolling = activity.rolling_counts(activity.daily_rollup(df), run_period("20240130", 30))
+    for target in (date(2024, 1, 1), date(2024, 1, 17), date(2024, 1, 30)):
+        direct = activity.unique_counts(df, target)
+        share = rolling.where(F.col("date") == F.lit(target))
+        assert Counter(direct.collect()) == Counter(share.collect())
+
+
+def test_one_scan_for_all_subjects_equals_one_each(spark, small):
+    df = log_from_events(spark, small)
+    each = [Counter(activity.daily_rollup(df, [subject]).collect()) for subject in activity.SUBJECTS]
+    assert Counter(activity.daily_rollup(df).collect()) == each[0] + each[1]
 
 
 def test_shortest_window_is_the_rollup_and_counts_grow_with_length(spark, small):
-    daily = activity.daily_rollup(log_from_events(spark, small), "user")
+    daily = activity.daily_rollup(log_from_events(spark, small), ["user"])
     rolling = activity.rolling_counts(daily, run_period("20240130", 30))
     shortest = rolling.where("window_days = 1").drop("window_days").withColumnRenamed("date", "log_date")
     assert Counter(shortest.collect()) == Counter(daily.collect())
@@ -161,12 +166,12 @@ def test_shortest_window_is_the_rollup_and_counts_grow_with_length(spark, small)
 
 def test_equal_grades_in_different_writing_are_one_row(spark):
     visit = {**VISIT, "log_date": DAY, "id": "a"}
-    rows = activity.daily_rollup(log(spark, {**visit, "grade": "3"}, {**visit, "grade": "03"}), "user").collect()
+    rows = activity.daily_rollup(log(spark, {**visit, "grade": "3"}, {**visit, "grade": "03"})).collect()
     assert [(r.grade, r.unique_cnt) for r in rows] == [(3, 2)]
 
 
 def test_collapsing_devices_keeps_the_total(spark, small):
-    daily = activity.daily_rollup(log_from_events(spark, small), "user")
+    daily = activity.daily_rollup(log_from_events(spark, small), ["user"])
     collapsed = activity.without_device(daily)
     assert collapsed.columns == daily.columns
     assert collapsed.agg(F.sum("unique_cnt")).first() == daily.agg(F.sum("unique_cnt")).first()
@@ -236,7 +241,7 @@ def test_published_records(spark):
         {**SIGNUP, "log_date": DAY, "id": "a", "role": "parent"},
         {"api": Endpoints().users + "/1", "method": "DELETE", "code": "200", "log_date": DAY, "role": ""},
     )
-    unique = as_unique_stats(activity.unique_counts(df, "user", DAY), "user")
+    unique = as_unique_stats(activity.unique_counts(df, DAY))
     assert [(f.name, f.dataType) for f in unique.schema] == [(f.name, f.dataType) for f in UNIQUE_SCHEMA]
     assert {r._type for r in unique.collect()} == {"user1d-nodev", "user7d-nodev", "user30d-nodev"}
     assert unique.first()._index == "unique-stats-2024"

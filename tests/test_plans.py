@@ -45,9 +45,10 @@ def operators_on_table(spark, stored):
     log = read_logs(spark, stored, MONTH, fmt="parquet")
     half, other = Period(MONTH.first, MONTH.days()[14]), Period(MONTH.days()[15], MONTH.last)
     return {
-        "rollup": activity.daily_rollup(log, "user"),
-        "rolling": activity.rolling_counts(activity.daily_rollup(log, "user"), MONTH),
-        "one_day": activity.unique_counts(log, "user", MONTH.last),
+        "rollup": activity.daily_rollup(log, ["user"]),
+        "rollup_all": activity.daily_rollup(log),
+        "rolling": activity.rolling_counts(activity.daily_rollup(log, ["user"]), MONTH),
+        "one_day": activity.unique_counts(log, MONTH.last),
         "events": lifecycle_events(log),
         "archive": local_archive(log, MONTH),
         "retention": retention.cohort_retention(log, half, other),
@@ -62,6 +63,7 @@ def test_one_scan_and_few_shuffles(spark, stored):
     assert {name: len(scans(text)) for name, text in plans.items()} == dict.fromkeys(plans, 1)
     assert {name: exchanges(text) for name, text in plans.items()} == {
         "rollup": ["hashpartitioning"],
+        "rollup_all": ["hashpartitioning"],
         "rolling": ["hashpartitioning"] * 2,
         "one_day": ["hashpartitioning"],
         "events": [],
@@ -97,7 +99,7 @@ def test_carried_roles_need_no_join_and_no_single_task(spark, stored):
 
 def test_look_back_reads_only_its_days(spark, stored):
     log = read_logs(spark, stored, MONTH, fmt="parquet")
-    text = plan(activity.unique_counts(log, "user", "20240130", windows=[1, 3]))
+    text = plan(activity.unique_counts(log, "20240130", windows=[1, 3]))
     assert "2024-01-28" in re.search(r"PartitionFilters: \[(.*)\]", text).group(1)
 
 
