@@ -26,26 +26,30 @@ _ID_COLUMNS = {"user": "id", "class": "target_id"}
 def active_events(log: DataFrame, subjects: Sequence[str] = SUBJECTS) -> DataFrame:
     """One row per counted event: `log_date` and the cleaned dimensions. An event may count for several subjects."""
     is_active = {"user": predicates.user_activity(), "class": predicates.class_activity()}
-    hits = F.array(
-        *[
-            F.struct(F.lit(s).alias("subject"), F.col(_ID_COLUMNS[s]).alias("subject_id"), is_active[s].alias("active"))
-            for s in subjects
-        ]
-    )
-    return (
-        log.where(reduce(or_, [is_active[s] for s in subjects]))
-        .select("*", F.inline(hits))
-        .where("active")
-        .select(
-            "log_date",
-            "subject",
-            F.col("subject_id").alias("id"),
-            "role",
-            normalize.device_regex(F.col("device"), F.col("tag")).alias("device"),
-            "country",
-            normalize.language(F.col("language"), fill=True).alias("lang"),
-            normalize.grade(F.col("grade")).alias("grade"),
+    if len(subjects) == 1:
+        (subject,) = subjects
+        counted = log.where(is_active[subject]).withColumns(
+            {"subject": F.lit(subject), "subject_id": F.col(_ID_COLUMNS[subject])}
+        )
+    else:
+        hits = F.array(
+            *[
+                F.struct(
+                    F.lit(s).alias("subject"), F.col(_ID_COLUMNS[s]).alias("subject_id"), is_active[s].alias("active")
+                )
+                for s in subjects
+            ]
         )
+        counted = log.where(reduce(or_, [is_active[s] for s in subjects])).select("*", F.inline(hits)).where("active")
+    return counted.select(
+        "log_date",
+        "subject",
+        F.col("subject_id").alias("id"),
+        "role",
+        normalize.device_regex(F.col("device"), F.col("tag")).alias("device"),
+        "country",
+        normalize.language(F.col("language"), fill=True).alias("lang"),
+        normalize.grade(F.col("grade")).alias("grade"),
     )
 
 
@@ -100,7 +104,8 @@ def rolling_counts(daily: DataFrame, targets: Period, windows: Sequence[int] = W
     ]
     changes = (
         daily.where(targets.widen(before=max(windows) - 1).contains(F.col("log_date")))
-        .repartition(*DIMENSIONS)
+        # Without the subject, which is a constant when there is one; a constant key would cost another shuffle.
+        .repartition(*DIMENSIONS[1:])
         .select("log_date", *DIMENSIONS, F.inline(F.array(enter, *leave)))
         .select(F.date_add("log_date", F.col("after")).alias("from"), *DIMENSIONS, *names)
         .where(F.col("from") <= F.lit(targets.last))
