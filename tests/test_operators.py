@@ -207,6 +207,22 @@ def test_retention_by_day_by_brute_force(spark):
                 assert tuple(one) == (r.signup, r.retained, r.retained_pct)
 
 
+def test_retention_by_day_over_several_words_of_days(spark):
+    rows, df = random_log(spark, 3, days=150, size=600)
+    targets = Period(day(-5), day(215))
+    result = {r.date: (r.signup, r.retained) for r in retention.cohort_by_day(df, targets, (60, 31), (30, 1)).collect()}
+    expected = {
+        d: brute_retention(
+            rows,
+            Period(d - timedelta(days=60), d - timedelta(days=31)),
+            Period(d - timedelta(days=30), d - timedelta(days=1)),
+        )
+        for d in targets.days()
+    }
+    assert result == expected
+    assert max(retained for _, retained in expected.values()) > 5
+
+
 def test_retained_and_churned_add_up(spark, small):
     df = log_from_events(spark, small)
     signup, active = Period(date(2024, 1, 1), date(2024, 1, 15)), Period(date(2024, 1, 16), date(2024, 1, 30))
