@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BATCH_ROWS = 512
 BATCH_BYTES = 2 << 20
 
 
@@ -36,15 +38,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows whose values in `column` have about `most` bytes; a longer value stands alone."""
-    for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        start, held = 0, 0
-        for row, size in enumerate(sizes):
-            if row > start and held + size > most:
-                yield batch.slice(start, row - start)
-                start, held = row, 0
-            held += int(size)
-        if start < batch.num_rows:
-            yield batch.slice(start)
+def bounded_batches(spark: SparkSession) -> None:
+    """Send at most BATCH_ROWS texts to Python at once, unless the session names another number than Spark's own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def runs(texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[pa.Array]:
+    """Cut an array of texts into runs of about `most` bytes; a longer text stands alone."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+    start, held = 0, 0
+    for row, size in enumerate(sizes):
+        if row > start and held + size > most:
+            yield texts.slice(start, row - start)
+            start, held = row, 0
+        held += size
+    if start < len(texts):
+        yield texts.slice(start)

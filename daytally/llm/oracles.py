@@ -40,9 +40,49 @@ SELECT doc_id, size, r.source_size, target,
 FROM sized AS s JOIN rates AS r ON s.source IS NOT DISTINCT FROM r.source
 """
 
+_DECONTAMINATE = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{{word}}') AS w FROM documents),
+items AS (SELECT coalesce(cast(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWERED}, '{{word}}') AS w
+    FROM benchmark),
+windows AS (SELECT DISTINCT item, w[i : i + 9] AS words FROM
+    (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(words) AS n FROM windows),
+places AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes),
+found AS (SELECT doc_id, i, n, item FROM (SELECT doc_id, n, i, w[i : i + n - 1] AS words FROM places) AS p
+    JOIN windows USING (words)),
+hits AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM
+    (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS spot FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+""".replace("{word}", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+# Exact similarities of all pairs that share a shingle, then components by following links.
+_NEAR_DEDUP = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{{word}}') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE w[i : i + 4] END AS s FROM
+    (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+    FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM shared JOIN sizes AS x ON a = x.doc_id JOIN sizes AS y ON b = y.doc_id
+    WHERE 100 * k >= 75 * (x.n + y.n - k)),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT a AS doc_id, a AS other FROM both_ways
+    UNION SELECT r.doc_id, l.b FROM reached AS r JOIN both_ways AS l ON r.other = l.a),
+least AS (SELECT doc_id, min(other) AS component FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id,
+    coalesce(component, doc_id) = doc_id AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+""".replace("{word}", r"[^\x20\x09-\x0D]+")
+
 
 def oracles() -> dict[str, str]:
     return {
         "op1_exact_dedup": _EXACT_DEDUP,
         "op7_mixing": _MIXING,
+        "op8_decontaminate": _DECONTAMINATE,
+        "op9_near_dedup": _NEAR_DEDUP,
     }

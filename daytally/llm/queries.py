@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import exact_dedup, mixing
+from daytally.llm import decontaminate, exact_dedup, mixing, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,14 @@ def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
@@ -27,4 +35,6 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
         "op7_mixing": _mixing,
+        "op8_decontaminate": _decontaminate,
+        "op9_near_dedup": _near_dedup,
     }
