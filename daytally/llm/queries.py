@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import decontaminate, exact_dedup, mixing, near_dedup
+from daytally.llm import decontaminate, exact_dedup, mixing, near_dedup, token_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+VOCABULARY = "byte_bpe_50k.json"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,6 +25,12 @@ def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def _token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +42,7 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op5_token_count": _token_count,
         "op7_mixing": _mixing,
         "op8_decontaminate": _decontaminate,
         "op9_near_dedup": _near_dedup,
