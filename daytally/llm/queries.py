@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import decontaminate, exact_dedup, mixing, near_dedup, token_count
+from daytally.llm import decontaminate, exact_dedup, language, mixing, near_dedup, token_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(_table(spark, sf_dir, "documents"))
+
+
 def _token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -42,6 +46,7 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op3_language": _language,
         "op5_token_count": _token_count,
         "op7_mixing": _mixing,
         "op8_decontaminate": _decontaminate,
