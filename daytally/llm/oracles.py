@@ -13,6 +13,17 @@ judged AS (SELECT doc_id, t, max(doc_id) OVER same AS keep_id, count(*) OVER sam
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256 FROM judged
 """
 
+_WARC = """
+WITH payloads AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+    FROM payloads),
+told AS (SELECT *, first IS NOT NULL AND page_id IS DISTINCT FROM first AS revisit FROM firsts)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN revisit THEN first END AS refers_to
+FROM told
+"""
+
 _DRAWN = (
     f"('0x' || substr(md5('{mixing.SEED}:' || coalesce(cast(doc_id AS VARCHAR), text, '')), 1, 13))::BIGINT::DOUBLE"
     f" / {16**13}::DOUBLE"
@@ -82,6 +93,7 @@ FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 def oracles() -> dict[str, str]:
     return {
         "op1_exact_dedup": _EXACT_DEDUP,
+        "op2_warc": _WARC,
         "op7_mixing": _MIXING,
         "op8_decontaminate": _DECONTAMINATE,
         "op9_near_dedup": _NEAR_DEDUP,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import decontaminate, exact_dedup, language, mixing, near_dedup, token_count
+from daytally.llm import decontaminate, exact_dedup, language, mixing, near_dedup, token_count, warc
+from daytally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +27,10 @@ def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
+
+
 def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +52,7 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op2_warc": _warc,
         "op3_language": _language,
         "op5_token_count": _token_count,
         "op7_mixing": _mixing,
