@@ -7,8 +7,9 @@ with a probability of 0.684 ** 32, or 5 in a million.
 
 Documents with equal sets are one class and take part once. Within a bucket every member is a candidate with the
 bucket's first member only, so a bucket of n gives n - 1 candidates. As a star can miss a pair whose bucket has a foreign
-centre, further rounds choose other centres, in the order of a hash, for those members that are not yet connected. All
-links are confirmed on the full sets, which are made anew from the texts.
+centre, further rounds choose other centres, in the order of a hash, for those members that are not yet connected.
+Candidates whose signatures agree in less than half of their values are no links: of documents of similarity 0.75, one
+pair in ten billion. All others are confirmed on the full sets, which are made anew from the texts.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ ROWS = 4
 BANDS = BINS // ROWS
 PERCENT = 75
 ROUNDS = 3
+#: Of BINS values two documents of similarity 0.75 agree in 96 +- 5; below this they are no candidates.
+LEAST_AGREEING = BINS // 2
+#: Ids of eight bytes that may be broadcast.
+BROADCAST_IDS = 500_000
 _BIN_STARTS = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
 _ROW_WEIGHTS = mix(np.arange(BINS, dtype=np.uint64) + np.uint64(7)) | np.uint64(1)
 
@@ -61,6 +66,7 @@ _SKETCH = T.StructType(
         T.StructField("n", T.LongType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("signature", T.BinaryType()),
     ]
 )
 
@@ -68,18 +74,32 @@ _SKETCH = T.StructType(
 @F.arrow_udf(_SKETCH)
 def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        n, digests, bands = [], [], []
+        n, digests, bands, signatures = [], [], [], []
         for run in runs(texts):
             for hashes in shingle_sets(run):
                 n.append(len(hashes))
                 digests.append(hashlib.sha256(hashes.tobytes()).digest()[:16])
-                bands.append(band_keys(bin_values(hashes)) if len(hashes) else [])
+                values = bin_values(hashes) if len(hashes) else None
+                bands.append([] if values is None else band_keys(values))
+                signatures.append(b"" if values is None else mix(values).astype(np.uint8).tobytes())
         yield pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            ["n", "digest", "bands"],
+            [
+                pa.array(n, pa.int64()),
+                pa.array(digests, pa.binary()),
+                pa.array(bands, pa.list_(pa.int64())),
+                pa.array(signatures, pa.binary()),
+            ],
+            _SKETCH.names,
         )
 
 
+@F.arrow_udf(T.IntegerType())
+def _agreeing(left: pa.Array, right: pa.Array) -> pa.Array:
+    """How many of the signatures' values agree; a value is a byte of a hash."""
+    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, BINS) for x in (left, right))
+    return pa.array((a == b).sum(axis=1), pa.int32())
+
+
 def _linked(percent: int):
     @F.arrow_udf(T.BooleanType())
     def linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -107,38 +127,58 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rounds: int = ROUND
     bounded_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sketch = cut(docs.select("doc_id", _sketch(F.col("text")).alias("s")).select("doc_id", "s.*"))
-    classes = sketch.where("n > 0").groupBy("digest", "n", "bands").agg(F.min("doc_id").alias("first"))
+    classes = sketch.where("n > 0").groupBy("digest", "n", "bands", "signature").agg(F.min("doc_id").alias("first"))
     classes = cut(classes)
-    members = classes.where("first is not null").select("first", "n", F.explode("bands").alias("bucket"))
-    links = labels = None
-    for number in range(rounds):
-        found = _confirmed(_candidates(members, labels, number, percent), docs, percent)
-        links = found if links is None else links.union(found)
-        if number + 1 < rounds and found.isEmpty() and number:
-            break
-        labels = components(links)
+    firsts = classes.where("first is not null")
+    members = cut(_shared(firsts.select("first", F.explode("bands").alias("bucket"))))
+    found = _confirmed(members.select(F.col("centre").alias("a"), F.col("first").alias("b")), firsts, docs, percent)
+    labels = components(found)
+    for number in range(1, rounds):
+        more = _confirmed(_stars(members, labels, number), firsts, docs, percent)
+        if not more.isEmpty():
+            found = found.unionAll(more)
+            labels = components(found)
     return _result(sketch, classes, labels)
 
 
-def _candidates(members: DataFrame, labels: DataFrame | None, number: int, percent: int) -> DataFrame:
-    """Edges (a, b) of the stars of all buckets. After the first round, only between different components."""
-    root = F.col("first")
-    if labels is not None:
-        members = members.join(labels, F.col("first") == F.col("node"), "left")
-        root = F.coalesce("root", "first")
-    members = members.select("bucket", "first", "n", root.alias("root"))
-    order = F.col("first") if number == 0 else F.xxhash64("first", "bucket", F.lit(number))
-    stars = members.groupBy("bucket").agg(F.min(F.struct(order.alias("order"), "first", "n", "root")).alias("centre"))
-    edges = members.join(stars, "bucket").where("root <> centre.root")
-    close = 100 * F.least("n", "centre.n") >= percent * F.greatest("n", "centre.n")
-    return edges.where(close).select(F.col("centre.first").alias("a"), F.col("first").alias("b")).distinct()
+def _shared(members: DataFrame) -> DataFrame:
+    """Members of buckets that have more than one, with the smallest of the bucket as its centre."""
+    centres = members.groupBy("bucket").agg(F.min("first").alias("centre"), F.max("first").alias("last"))
+    return members.join(centres.where("centre < last").drop("last"), "bucket")
 
 
-def _confirmed(edges: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    pairs = edges.join(left, "a").join(right, "b")
-    return cut(pairs.where(_linked(percent)("text_a", "text_b")).select("a", "b"))
+def _stars(members: DataFrame, labels: DataFrame, number: int) -> DataFrame:
+    """Edges (a, b) of other stars of the buckets, between different components."""
+    members = members.join(labels, F.col("first") == F.col("node"), "left")
+    members = members.select("bucket", "first", F.coalesce("root", "first").alias("root"))
+    order = F.xxhash64("first", "bucket", F.lit(number)).alias("order")
+    stars = members.groupBy("bucket").agg(F.min(F.struct(order, "first", "root")).alias("centre"))
+    edges = members.join(stars, "bucket").where("root <> centre.root")
+    return edges.select(F.col("centre.first").alias("a"), F.col("first").alias("b"))
+
+
+def _confirmed(edges: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The edges that are links. Sizes and signatures rule out most of the others before any text is moved."""
+    sketch = firsts.select("first", "n", "signature")
+    left = sketch.toDF("a", "n_a", "signature_a")
+    right = sketch.toDF("b", "n_b", "signature_b")
+    close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    likely = edges.join(left, "a").join(right, "b").where(close)
+    likely = cut(likely.where(_agreeing("signature_a", "signature_b") >= LEAST_AGREEING).select("a", "b"))
+    if likely.isEmpty():
+        return likely
+    texts = _texts(docs, likely)
+    pairs = likely.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    return cut(pairs.where(_linked(percent)("text_a", "text_b")).select("a", "b").distinct())
+
+
+def _texts(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows of `docs` that are in an edge; few ids are broadcast, so that only these texts are moved."""
+    ids = cut(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
 
 
 def _result(sketch: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
