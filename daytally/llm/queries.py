@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import decontaminate, exact_dedup, language, mixing, near_dedup, token_count, warc
+from daytally.llm import decontaminate, exact_dedup, html_extract, language, mixing, near_dedup, token_count, warc
 from daytally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
@@ -58,4 +62,5 @@ def queries() -> dict[str, Query]:
         "op7_mixing": _mixing,
         "op8_decontaminate": _decontaminate,
         "op9_near_dedup": _near_dedup,
+        "op10_html_extract": _html_extract,
     }
