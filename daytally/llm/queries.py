@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import decontaminate, exact_dedup, html_extract, language, mixing, near_dedup, token_count, warc
+from daytally.llm import decontaminate, exact_dedup, html_extract, language, mixing, near_dedup, pii, token_count, warc
 from daytally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(_table(spark, sf_dir, "documents"))
 
 
+def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text and n_entities; the other columns of documents are dropped."""
+    return pii.with_surrogates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op1_exact_dedup": _exact_dedup,
         "op2_warc": _warc,
         "op3_language": _language,
+        "op4_pii": _pii,
         "op5_token_count": _token_count,
         "op7_mixing": _mixing,
         "op8_decontaminate": _decontaminate,
