@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import decontaminate, exact_dedup, html_extract, language, mixing, near_dedup, pii, token_count, warc
+from daytally.llm import decontaminate, exact_dedup, html_extract, language, mixing, near_dedup, pii, quality, token_count, warc
 from daytally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def _token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op3_language": _language,
         "op4_pii": _pii,
         "op5_token_count": _token_count,
+        "op6_quality": _quality,
         "op7_mixing": _mixing,
         "op8_decontaminate": _decontaminate,
         "op9_near_dedup": _near_dedup,
