@@ -1,11 +1,50 @@
-"""The pipeline over `documents`; its stages are added as their operators come."""
+"""The pipeline over `documents`: tell languages, drop copies and near copies, drop leaked passages, mix the sources.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return the columns of `documents`; the
+last returns every document as often as the mix takes it, numbered in `copy`. SQL cannot express the language model, so
+there is no SQL for the whole.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daytally.llm.decontaminate import without_leaks
+from daytally.llm.exact_dedup import without_copies
+from daytally.llm.language import without_rejected
+from daytally.llm.mixing import mix
+from daytally.llm.near_dedup import without_near_duplicates
+
 ORACLE_SQL = None
-STAGES = []
+
+
+def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_rejected(docs)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_near_duplicates(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix(docs)
+
+
+STAGES = [
+    ("language", tell_language),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontaminate", drop_leaks),
+    ("mixing", mix_sources),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
