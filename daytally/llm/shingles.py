@@ -77,7 +77,7 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE_WORDS) -> Iterator[np.ndar
     starts, hashes = _word_hashes(np.frombuffer(joined, np.uint8))
     of = np.searchsorted(starts, begins)
     runs = np.zeros(len(hashes), np.uint64)
-    for k in range(size):
+    for k in range(min(size, len(hashes))):
         weight = mix(np.uint64([k + 1]))[0] | np.uint64(1)
         runs[: len(hashes) - k] += hashes[k:] * weight
     runs = mix(runs)
