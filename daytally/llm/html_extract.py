@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.llm.common import bounded_batches
-from daytally.llm.page_templates import MARK, Maker
+from daytally.llm.page_templates import MARK, PARTS, Maker
 
-TRAINING_PAGES = 500
+TRAINING_PAGES = 800
 EPOCHS = 6
 # Fixed values of the HTML standard: void elements, elements without text of the page, block elements.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,6 +47,18 @@ _SECTIONS = frozenset("article aside footer form header main nav".split())
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
+def _parts() -> dict[str, str]:
+    """The part of a page that a word of a name stands for, if it stands for one only."""
+    of: dict[str, set[str]] = {}
+    for part, names in PARTS.items():
+        for word in {w for name in names for w in name.split("-")}:
+            of.setdefault(word, set()).add(part)
+    return {word: min(parts) for word, parts in of.items() if len(parts) == 1}
+
+
+_PARTS = _parts()
+
+
 @dataclass
 class Block:
     text: str
@@ -168,6 +180,7 @@ def features(page: list[Block]) -> list[list[str]]:
         found += {f"tag={t}" for t in b.path if t in _BLOCKS}
         found += {f"name={x}" for x in b.names}
         found += {f"stem={x[:4]}" for x in b.names if len(x) > 4}
+        found += {f"part={part}" for x in b.names if (part := _PARTS.get(x))}
         out.append(sorted(found))
     return out
 
@@ -250,7 +263,7 @@ def train(pages: int = TRAINING_PAGES, epochs: int = EPOCHS, seed: int = 11) ->
     for epoch in range(epochs):
         rng.shuffle(data)
         for found, labels in data:
-            model.learn(found, labels, 0.2 / math.sqrt(1 + epoch), 0.01)
+            model.learn(found, labels, 0.2 / math.sqrt(1 + epoch), 0.002)
     return model
 
 

@@ -21,6 +21,10 @@ FORM = "form newsletter newsletter-signup subscribe search login signup contact-
 COMMENTS = "comments comment-list commentlist reader-comments responses discussion respond disqus comment-section replies".split()
 SHARE = "share social social-links share-buttons follow-us".split()
 FOOTER = "footer site-footer colophon copyright legal page-footer bottom footer-links".split()
+PARTS = {
+    "content": CONTENT, "header": HEADER, "menu": MENU, "side": SIDE, "advert": ADVERT, "notice": NOTICE, "form": FORM,
+    "comments": COMMENTS, "share": SHARE, "footer": FOOTER,
+}
 _SYLLABLES = "ba de ki lo mu ra se ti no pa ge fu li ma or en st th ing er ou é ñ ß ö да ре но".split()
 
 
@@ -104,7 +108,7 @@ class Maker:
         return self.named(ADVERT, inner, "div div aside section ins")
 
     def notice(self) -> str:
-        return self.named(NOTICE, f"<p>{self.prose(1, 3)}</p>" + self.maybe(0.5, lambda: f"<button>{self.word()}</button> <a href='/c'>{self.word()}</a>"), "div div section aside p")
+        return self.named(NOTICE, f"<p>{self.prose(1, 3)}</p>" + self.maybe(0.5, lambda: f"<button>{self.word()}</button> <a href='/c'>{self.word()}</a>"), "div div section aside")
 
     def form(self) -> str:
         inner = f"<h3>{self.phrase(1, 5)}</h3><p>{self.prose(1, 2)}</p><label>{self.phrase(1, 3)}</label><input type='text'><button>{self.word()}</button>"

@@ -247,8 +247,10 @@ def with_surrogates(docs: DataFrame, key: str = KEY, name: str = "n_entities") -
     pairs = cut(pairs.distinct())
     named = surrogates(pairs.select("kind", "value").distinct(), key)
     entry = F.struct(F.concat_ws(":", "kind", "value"), "surrogate")
-    maps = pairs.join(named, ["kind", "value"]).groupBy("row").agg(F.map_from_entries(F.collect_set(entry)).alias("_map"))
-    some = some.withColumn("_row", row).join(maps, F.col("_row") == F.col("row"))
+    maps = pairs.join(named, ["kind", "value"]).groupBy(F.col("row").alias("_of")).agg(
+        F.map_from_entries(F.collect_set(entry)).alias("_map")
+    )
+    some = some.withColumn("_row", row).join(maps, F.col("_row") == F.col("_of"))
     some = some.withColumn("text", _replaced(text, F.col("_found"), F.col("_map")))
     none = marked.where(F.size("_found") == 0)
     out = [c for c in docs.columns if c != name]

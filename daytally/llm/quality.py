@@ -63,8 +63,12 @@ def _grams(docs: DataFrame, counted: bool) -> DataFrame:
             other = counts[part] if counted else np.full(len(grams[part]), block, np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(grams[part]), pa.array(other)], ["gram", "n" if counted else "block"])
 
-    docs = docs.select(F.spark_partition_id().alias("block"), "text")
-    return docs.mapInArrow(count, "gram long, n long" if counted else "gram long, block int")
+    return _blocks(docs).mapInArrow(count, "gram long, n long" if counted else "gram long, block int")
+
+
+def _blocks(docs: DataFrame) -> DataFrame:
+    """The same plan for all readings of the documents, so that their partitions are the same each time."""
+    return docs.select(F.spark_partition_id().alias("block"), "doc_id", "lang", "text")
 
 
 def _bytes(texts: pa.Array) -> list[bytes]:
@@ -163,7 +167,7 @@ def _packed(docs: DataFrame) -> DataFrame:
                 )
 
     schema = "block int, kind int, gram long, log_p float, ids array<long>, langs array<string>, sizes array<long>, texts binary"
-    return docs.select(F.spark_partition_id().alias("block"), "doc_id", "lang", "text").mapInArrow(pack, schema)
+    return _blocks(docs).mapInArrow(pack, schema)
 
 
 class _Table:

@@ -1,0 +1,101 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from daytally.llm.pii import surrogates, with_surrogates
+
+SCHEMA = "doc_id long, text string"
+
+
+def replaced(spark, texts, **how):
+    rows = with_surrogates(spark.createDataFrame(list(enumerate(texts)), SCHEMA), **how).collect()
+    return [r.text for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def test_types_formats_and_coreference(spark):
+    (text,) = replaced(
+        spark,
+        [
+            "Mr. John Smith, JOHN.D@mail7.example.com or john.d@mail7.example.com, +1 (974) 555-3436 = +1 974 555 3436;"
+            " Mrs. Smith 4111 1111 1111 1111 4111111111111111 9.8.7.6 9.8.7.6 123-45-6789 DE89 3704 0044 0532 0130 00"
+            " Госпожа Анна Иванова bc0d31ba76f17e56642e8751295a3fd50cd8e61f"
+        ],
+    )
+    shape = re.compile(
+        r"Mr\. ([A-Z][a-z]+) ([A-Z][a-z]+), ([A-Z]{4})\.([A-Z])@([a-z]{4}\d)\.([a-z]{7})\.com or (\w{4})\.(\w)@(\w+)\.(\w+)\.com,"
+        r" \+1 \((\d{3})\) (\d{3})-(\d{4}) = \+1 (\d{3}) (\d{3}) (\d{4}); Mrs\. ([A-Z][a-z]+) ((?:\d{4} ){4})(\d{16})"
+        r" (\d+\.\d+\.\d+\.\d+) (\S+) (\d{3}-\d\d-\d{4}) DE\d\d(?: \d{4}){4} \d\d Госпожа ([А-Я][а-я]+[ая]) ([А-Я][а-я]+) ([0-9a-f]{40})"
+    )
+    m = shape.fullmatch(text)
+    assert m, text
+    g = m.groups()
+    assert g[1] == g[16] and (g[2] + g[3]).lower() == g[6] + g[7] and g[4:6] == g[8:10]
+    assert g[10:13] == g[13:16]
+    assert g[17].replace(" ", "") == g[18] and luhn(g[18]) and g[18][0] == "4"
+    assert g[19] == g[20] and all(0 <= int(x) <= 255 for x in g[19].split("."))
+    for old in ("Smith", "555", "4111", "9.8.7.6", "123-45", "Анна", "bc0d31"):
+        assert old not in text
+
+
+def test_clean_texts_stay(spark):
+    texts = ["", "No data here.", "12345 and 2024-01-01, 3.14, 1.2.3.4.5, a@b, $100, v1.2.3", "Dr who? mr smith", "x" * 50_000 + " 7"]
+    assert replaced(spark, texts) == texts
+
+
+def test_distinct_values_get_distinct_surrogates_that_no_value_has(spark):
+    values = [("local", x) for x in "abcdefghijklmnopqrstuvwxyz"] + [("phone", f"{i:02}") for i in range(100)]
+    values += [("ip", f"10.0.{i // 256}.{i % 256}") for i in range(600)] + [("given_f", f"name{i}") for i in range(300)]
+    got = surrogates(spark.createDataFrame(values, "kind string, value string")).collect()
+    assert len(got) == len(values) == len({(r.kind, r.surrogate) for r in got})
+    assert not {(r.kind, r.surrogate) for r in got} & set(values)
+
+
+def test_key_decides_and_reruns_agree(spark):
+    texts = ["a.bc@mail.example.com 4012888888881881"] * 2
+    one, other = replaced(spark, texts), replaced(spark, texts, key="another")
+    assert one == replaced(spark, texts) and one[0] == one[1] and one != other
+
+
+def test_gender_shows_in_given_names(spark):
+    texts = [f"Mrs. {n} Doe and Mr. {n} Doe" for n in ("Kim", "Alex", "Robin", "Sam", "Sasha")]
+    for text in replaced(spark, texts):
+        female, male = re.fullmatch(r"Mrs\. (\w+) \w+ and Mr\. (\w+) \w+", text).groups()
+        assert female.endswith("a") and not male.endswith("a")
+
+
+def test_nulls_repeated_rows_and_other_columns(spark):
+    rows = [(1, "a@b.co", 5, 6), (1, "a@b.co", 5, 6), (None, "a@b.co", 7, 8), (None, None, 1, 2), (2, "x", 3, 4), (1, "c@b.co", 5, 6)]
+    frame = spark.createDataFrame(rows, SCHEMA + ", row long, n_entities long")
+    got = with_surrogates(frame)
+    assert got.columns == ["doc_id", "text", "row", "n_entities"]
+    found = got.collect()
+    assert len(found) == 6 and sorted(r.n_entities for r in found) == [0, 0, 1, 1, 1, 1]
+    assert len({r.text for r in found if r.row in (5, 7)}) == 2
+    assert with_surrogates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_nothing_private_is_left_in_the_table(spark, medium):
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    private = F.lit(r"(?:\+\d \(\d{3}\) \d{3}-\d{4}|[0-9a-fA-F]{40}|\d{16}|\w\.\d\d@mail\d\.example\.com|\d+\.\d+\.\d+\.\d+)")
+    old = docs.select("doc_id", F.explode(F.regexp_extract_all("text", private, F.lit(0))).alias("x")).collect()
+    new = {r.doc_id: r.text for r in with_surrogates(docs).collect()}
+    assert len(old) > 50 and not [r for r in old if r.x in new[r.doc_id]]
+    clean = docs.where(~F.col("doc_id").isin(sorted({r.doc_id for r in old})))
+    assert all(new[r.doc_id] == r.text for r in clean.collect())
+
+
+def test_no_python_in_the_plan(spark, medium):
+    plan = with_surrogates(spark.read.parquet(f"{medium}/documents.parquet"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("text", ["Sr. Peña", "Frau Müller-Lüdenscheid", "né.34@mail7.example.com", "Mr. 王"])
+def test_letters_of_other_alphabets(spark, text):
+    (new,) = replaced(spark, [text])
+    assert (new == text) == (text == "Mr. 王")
