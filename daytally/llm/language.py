@@ -194,7 +194,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 # Buckets and shares as the bytes of int32 and float32 arrays, as lists would be many times larger on the driver.
-_HISTOGRAMS = "array<struct<buckets: binary, shares: binary>>"
+_HISTOGRAMS = T.ArrayType(
+    T.StructType([T.StructField("buckets", T.BinaryType()), T.StructField("shares", T.BinaryType())])
+)
 _HISTOGRAMS_ARROW = pa.list_(pa.struct([("buckets", pa.binary()), ("shares", pa.binary())]))
 
 
