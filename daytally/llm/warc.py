@@ -11,7 +11,6 @@ are revisits without a payload, which name it.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -248,14 +247,9 @@ def round_trip(pages: DataFrame, folder: str) -> DataFrame:
     """
     records = read_records(write_archives(pages, folder), folder)
 
-    @F.arrow_udf("struct<n: long, digest: string>")
-    def measured(payloads: pa.Array) -> pa.Array:
-        found = [(None, None) if p is None else (len(p), hashlib.sha256(p).hexdigest()) for p in payloads.to_pylist()]
-        sizes, digests = [n for n, _ in found], [d for _, d in found]
-        return pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], ["n", "digest"])
-
     columns = ["page_id", "record_type", "refers_to", "payload_digest"]
-    rows = cut(records.select(*columns, measured("payload").alias("m")).select(*columns, "m.n", "m.digest"))
+    size = F.octet_length("payload").cast("long")
+    rows = cut(records.select(*columns, size.alias("n"), F.sha2("payload", 256).alias("digest")))
     responses = rows.where("record_type = 'response'")
     # An id that repeats names several responses; the digest tells which is meant.
     full = responses.select(F.col("page_id").alias("of"), F.col("n").alias("full_n"), F.col("digest").alias("full_digest"))
