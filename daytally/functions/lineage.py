@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint `df` in the folder that the session names in `spark.checkpoint.dir`.
+    """Checkpoint `df` in the folder of `checkpoints`, or in the one that the session names in `spark.checkpoint.dir`."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return df.checkpoint()
+
 
-    Only a local session may go without that setting; it gets a temporary folder.
-    """
-    spark = df.sparkSession
+@contextmanager
+def checkpoints(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Keep the checkpoints made inside in a folder of their own below `folder`, and delete it at the end."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="daytally-"))
-    return df.checkpoint()
+    before, own = context.getCheckpointDir(), f"{folder}/_checkpoints-{uuid.uuid4().hex}"
+    context.setCheckpointDir(own)
+    try:
+        yield
+    finally:
+        path = context._jvm.org.apache.hadoop.fs.Path(own)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        if before:
+            context.setCheckpointDir(before.rpartition("/")[0])

@@ -20,8 +20,8 @@ def status_is(code: str) -> Column:
 
 
 def real_call() -> Column:
-    """NULL, and so not selected, where `api` is missing."""
-    return ~F.col("api").isin(*API_MARKERS)
+    """A missing `api` is none; stated by itself, that reaches the scan."""
+    return F.col("api").isNotNull() & ~F.col("api").isin(*API_MARKERS)
 
 
 def user_activity() -> Column:

@@ -94,8 +94,11 @@ def rolling_counts(daily: DataFrame, targets: Period, windows: Sequence[int] = W
 
     The count of a day enters each window on that day and leaves it when the window has passed. Running totals of these
     few changes give the counts, which hold until the next change. The rollup crosses the network once, with at most
-    one row per day and combination; everything after that happens inside the tasks.
+    one row per day and combination; everything after that happens inside the tasks. A window of one day is the rollup.
     """
+    if list(windows) == [1]:
+        days = daily.where(targets.contains(F.col("log_date")))
+        return days.select(F.col("log_date").alias("date"), F.lit(1).alias("window_days"), *DIMENSIONS, "unique_cnt")
     count, names = F.col("unique_cnt"), [f"last_{w}" for w in windows]
     enter = F.struct(F.lit(0).alias("after"), *[count.alias(name) for name in names])
     leave = [

@@ -17,12 +17,13 @@ from daytally.schema import Endpoints
 _WORD = 64
 
 
-def _is_signup(endpoints: Endpoints) -> Column:
-    return F.coalesce(F.col("id").isNotNull() & predicates.signup(endpoints), F.lit(False))
+def _calls(log: DataFrame, reach: Period) -> DataFrame:
+    """The lines that can count: a sign-up is a real call with an id too. Stated by itself, it reaches the scan."""
+    return log.where(reach.contains(F.col("log_date")) & predicates.cohort_activity())
 
 
-def _is_active() -> Column:
-    return F.coalesce(predicates.cohort_activity(), F.lit(False))
+def _is_signup(endpoints: Endpoints) -> Column:
+    return F.coalesce(predicates.signup(endpoints), F.lit(False))
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -40,13 +41,9 @@ def id_flags(log: DataFrame, signup: Period, activity: Sequence[Period], endpoin
     day = F.col("log_date")
     marks = {"signed_up": signup.contains(day) & _is_signup(endpoints)}
     for number, period in enumerate(activity):
-        marks[f"active_{number}"] = period.contains(day) & _is_active()
+        marks[f"active_{number}"] = period.contains(day)
     reach = Period(min(p.first for p in [signup, *activity]), max(p.last for p in [signup, *activity]))
-    return (
-        log.where(reach.contains(day) & F.col("id").isNotNull())
-        .groupBy("id")
-        .agg(*[F.max(mark).alias(name) for name, mark in marks.items()])
-    )
+    return _calls(log, reach).groupBy("id").agg(*[F.max(mark).alias(name) for name, mark in marks.items()])
 
 
 def churned_ids(log: DataFrame, signup: Period, activity: Period, endpoints: Endpoints = Endpoints()) -> DataFrame:
@@ -104,11 +101,11 @@ def cohort_by_day(
         return F.coalesce(F.bit_or(F.when(mark & in_word, bit)), F.lit(0).cast("bigint"))
 
     days_per_id = (
-        log.where(reach.contains(F.col("log_date")) & F.col("id").isNotNull())
+        _calls(log, reach)
         .groupBy("id")
         .agg(
             *[day_bits(_is_signup(endpoints), word).alias(f"signup_{word}") for word in words],
-            *[day_bits(_is_active(), word).alias(f"active_{word}") for word in words],
+            *[day_bits(F.lit(True), word).alias(f"active_{word}") for word in words],
         )
         .where(_any([F.col(f"signup_{word}") != 0 for word in words]))
     )

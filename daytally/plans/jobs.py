@@ -8,21 +8,43 @@
 from __future__ import annotations
 
 import argparse
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daytally.functions.periods import Period, run_period, span
-from daytally.operators.activity import DIMENSIONS, SUBJECTS, WINDOWS, daily_rollup, rolling_counts, unique_counts
+from daytally.functions.lineage import checkpoints
+from daytally.functions.normalize import COLUMN_DEFAULTS
+from daytally.functions.periods import Period, preceding, run_period, span, trailing
+from daytally.operators.activity import (
+    DIMENSIONS,
+    SUBJECTS,
+    WINDOWS,
+    daily_rollup,
+    rolling_counts,
+    unique_counts,
+    without_device,
+)
 from daytally.operators.archive import local_archive
 from daytally.operators.lifecycle import KINDS, lifecycle
-from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats
-from daytally.operators.retention import cohort_by_day
-from daytally.schema import RAW_SCHEMA, Endpoints
-from daytally.sources.logs import archive_schema, present_days, read_logs
+from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats, day_text
+from daytally.operators.retention import cohort_by_day, cohort_curve
+from daytally.schema import NULL_TEXT, Endpoints
+from daytally.sources.logs import (
+    OWN_COLUMNS,
+    RAW_PREFIX,
+    MissingDays,
+    absent_columns,
+    column_names,
+    line_quality,
+    list_files,
+    present_days,
+    read_logs,
+)
 from daytally.sources.tables import read_table, write_partitioned
 
 ROLLUP_SCHEMA = T.StructType(
@@ -30,10 +52,16 @@ ROLLUP_SCHEMA = T.StructType(
     + [T.StructField(name, T.LongType() if name == "grade" else T.StringType()) for name in DIMENSIONS]
     + [T.StructField("unique_cnt", T.LongType())]
 )
+# What the rollup of a day and subject was made from.
+INPUTS_SCHEMA = T.StructType(
+    [T.StructField("subject", T.StringType()), T.StructField("log_date", T.DateType())]
+    + [T.StructField(name, T.LongType()) for name in ("files", "bytes", "newest")]
+)
 
 # Days before the target day that a sign-up and an activity window span, as (farthest, nearest).
 LAST_MONTH = (30, 1)
 MONTH_BEFORE = (60, 31)
+MONTH = 30
 
 
 @dataclass(frozen=True)
@@ -44,81 +72,148 @@ class Settings:
     out: str
     log_format: str = "json"
     file_glob: str | None = None
-    require_complete: bool = False
+    allow_missing: bool = False
     rollup: str | None = None
     late_days: int = 0
-    schema_files: str | None = None
     prior_signups: bool = False
+    lags: int = 2
     endpoints: Endpoints = field(default_factory=Endpoints)
 
+    def __post_init__(self) -> None:
+        if self.file_glob and (self.rollup or self.log_format != "json"):
+            raise ValueError("a sample by file pattern reads JSON logs and feeds no rollup")
+
+    @property
+    def results(self) -> str:
+        """A sample has results of its own, which replace nothing."""
+        return f"{self.out}/sample" if self.file_glob else self.out
 
-def _log(spark: SparkSession, settings: Settings, period: Period, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+
+def _log(spark: SparkSession, settings: Settings, period: Period, extra: Iterable[str] = ()) -> DataFrame:
     return read_logs(
         spark,
         settings.logs,
         period,
         fmt=settings.log_format,
         file_glob=settings.file_glob,
-        schema=schema,
-        require_complete=settings.require_complete,
+        extra=list(extra),
+        allow_missing=settings.allow_missing,
     )
 
 
-def _write_records(records: DataFrame, path: str, targets: Period, kinds: tuple[str, ...] = ()) -> None:
+def _absent(spark: SparkSession, settings: Settings, period: Period, *names: str) -> set[str]:
+    return absent_columns(spark, settings.logs, period, names, settings.log_format)
+
+
+def _activity_log(spark: SparkSession, settings: Settings, period: Period) -> DataFrame:
+    """The log with the defaults of columns that no line has; a value that is merely missing stays so."""
+    absent = _absent(spark, settings, period, "role", "device", "country")
+    return _log(spark, settings, period).withColumns({name: F.lit(COLUMN_DEFAULTS[name]) for name in absent})
+
+
+def _lifecycle_log(spark: SparkSession, settings: Settings, period: Period) -> DataFrame:
+    """As `_activity_log`, but where no line has a device, the tag takes its place."""
+    absent = _absent(spark, settings, period, "role", "country", "language", "device", "tag")
+    fill = {name: F.lit(NULL_TEXT) for name in absent - {"tag"}}
+    if "device" in absent and "tag" not in absent:
+        fill["device"] = F.col("tag")
+    return _log(spark, settings, period).withColumns(fill)
+
+
+def _days(spark: SparkSession, settings: Settings, targets: Period) -> list[date]:
+    """The target days that may be replaced: all, or with `allow_missing` those that the log has."""
+    if not settings.allow_missing:
+        return targets.days()
+    present = present_days(spark, settings.logs, targets, settings.log_format)
+    return [day for day in targets.days() if day in present]
+
+
+def _write_records(records: DataFrame, path: str, days: list[date], kinds: tuple[str, ...] = ()) -> None:
     """Write records by `kind`, if there are several, and by `date`."""
-    in_period = F.col("date").between(f"{targets.first:%Y%m%d}", f"{targets.last:%Y%m%d}")
+    replaces = F.col("date").isin([f"{day:%Y%m%d}" for day in days])
+    if not days:
+        return
     if kinds:
-        write_partitioned(records, path, ["kind", "date"], in_period & F.col("kind").isin(*kinds))
+        write_partitioned(records.where(replaces), path, ["kind", "date"], replaces & F.col("kind").isin(*kinds))
     else:
-        write_partitioned(records, path, ["date"], in_period)
+        write_partitioned(records.where(replaces), path, ["date"], replaces)
 
 
 def columnar_log(spark: SparkSession, settings: Settings, targets: Period) -> None:
-    """Store the raw lines as Parquet by UTC day, so that the other jobs read only the columns they need."""
-    log = _log(spark, settings, targets)
+    """Store the lines, with all columns that any of them has, as Parquet by UTC day.
+
+    The other jobs then read only the columns they need. Columns that are not known are text.
+    """
+    names = column_names(spark, settings.logs, targets, settings.log_format)
+    log = _log(spark, settings, targets, names)
+    days = _days(spark, settings, targets)
+    # A column that no line has is left out, so that it is still told from one that is empty.
+    log = log.select("event_id", "log_date", *[c for c in log.columns[2:] if c in names]).where(F.col("log_date").isin(days))
     # A file holds one day, so each task writes one file per file it reads: nothing to shuffle.
     write_partitioned(
-        log, settings.out, ["log_date"], targets.contains(F.col("log_date")), compression="zstd", rebalance=False
+        log, settings.results, ["log_date"], F.col("log_date").isin(days), compression="zstd", rebalance=False
     )
 
 
 def archive(spark: SparkSession, settings: Settings, targets: Period) -> None:
-    """Local-day archive. All columns of the log are kept."""
-    reads = targets.widen(1, settings.late_days)
-    schema = RAW_SCHEMA
-    if settings.log_format == "json" and present_days(spark, settings.logs, reads):
-        schema = archive_schema(spark, settings.logs, reads, settings.schema_files)
-    days = local_archive(_log(spark, settings, reads, schema), targets, settings.late_days)
+    """Local-day archive, with all columns that any line has; those that are not known are text on every day."""
+    needed, reads = targets.widen(1), targets.widen(1, settings.late_days)
+    present = present_days(spark, settings.logs, reads, settings.log_format)
+    if not settings.allow_missing and (missing := sorted(set(needed.days()) - present)):
+        raise MissingDays(", ".join(map(str, missing)))
+    names = column_names(spark, settings.logs, reads, settings.log_format)
+    # Later days may still be to come.
+    log = _log(spark, replace(settings, allow_missing=True), reads, names)
+    archived = local_archive(log, targets, settings.late_days)
+    days = [day for day in targets.days() if day in present]
+    if not days:
+        return
+    replaces = F.col("kr_date").isin(days)
+    own = {f"{RAW_PREFIX}{name}": name for name in OWN_COLUMNS if name != "kr_date"}
+    archived = archived.drop("event_id", "log_date").withColumnsRenamed(own)
     # A file of the log spans at most a few local days, so each task writes few files: nothing to shuffle.
     write_partitioned(
-        days.drop(*{"event_id", "log_date"} - set(schema.names)),
-        f"{settings.out}/utc9",
+        archived.where(replaces),
+        f"{settings.results}/utc9",
         ["kr_date"],
-        targets.contains(F.col("kr_date")),
+        replaces,
         compression="gzip",
         rebalance=False,
     )
 
 
+def read_archive(spark: SparkSession, out: str) -> DataFrame:
+    """The local-day archive with the columns of all its days."""
+    return spark.read.option("mergeSchema", True).parquet(f"{out}/utc9")
+
+
+def _inputs(spark: SparkSession, settings: Settings, period: Period) -> dict[date, tuple[int, int, int]]:
+    """Per day of the log the number of its files, their bytes, and when the newest was written."""
+    files = list_files(spark, settings.logs, period, settings.log_format)
+    if files is None:
+        return {}
+    newest = F.max(F.unix_micros(F.col("modificationTime").cast("timestamp")))
+    rows = files.groupBy("log_date").agg(F.count("*"), F.sum("length"), newest).collect()
+    return {row[0]: tuple(row)[1:] for row in rows}
+
+
 def _refresh_rollup(spark: SparkSession, settings: Settings, targets: Period, subjects: tuple[str, ...]) -> DataFrame:
-    """Bring the stored rollup up to date and return it: target days anew, look-back days only if missing."""
+    """Bring the stored rollup up to date and return it: days whose files are not those it was made from are redone."""
     needed = targets.widen(before=max(WINDOWS) - 1)
-    look_back = Period(needed.first, targets.first - timedelta(days=1))
-    is_subject = F.col("subject").isin(*subjects)
-    stored = (
-        read_table(spark, settings.rollup, ROLLUP_SCHEMA)
-        .where(is_subject & look_back.contains(F.col("log_date")))
-        .select("subject", "log_date")
-        .distinct()
-        .groupBy("log_date")
-        .count()
-        .where(F.col("count") == len(subjects))
-    )
-    done = {row.log_date for row in stored.collect()}
-    for period in _stretches([day for day in needed.days() if day not in done]):
-        rollup = daily_rollup(_log(spark, settings, period), subjects)
+    current = _inputs(spark, settings, needed)
+    if not settings.allow_missing and (missing := sorted(set(needed.days()) - set(current))):
+        raise MissingDays(", ".join(map(str, missing)))
+    is_subject, marks = F.col("subject").isin(*subjects), f"{settings.rollup}-inputs"
+    known = read_table(spark, marks, INPUTS_SCHEMA).select(INPUTS_SCHEMA.names)
+    known = known.where(is_subject & needed.contains(F.col("log_date")))
+    done = {(row.subject, row.log_date): tuple(row)[2:] for row in known.collect()}
+    changed = [day for day in needed.days() if day in current and any(done.get((s, day)) != current[day] for s in subjects)]
+    for period in _stretches(changed):
+        rollup = daily_rollup(_activity_log(spark, settings, period), subjects)
         replaces = is_subject & period.contains(F.col("log_date"))
         write_partitioned(rollup, settings.rollup, ["subject", "log_date"], replaces, compression="zstd")
+        rows = [(subject, day, *current[day]) for subject in subjects for day in period.days()]
+        write_partitioned(spark.createDataFrame(rows, INPUTS_SCHEMA), marks, ["subject", "log_date"], replaces)
     return read_table(spark, settings.rollup, ROLLUP_SCHEMA).where(is_subject)
 
 
@@ -138,12 +233,15 @@ def _activity(spark: SparkSession, settings: Settings, targets: Period, subjects
     if settings.rollup:
         counts = rolling_counts(_refresh_rollup(spark, settings, targets, subjects), targets)
     elif len(targets) == 1:
-        counts = unique_counts(_log(spark, settings, reads), targets.last, subjects)
+        counts = unique_counts(_activity_log(spark, settings, reads), targets.last, subjects)
     else:
-        counts = rolling_counts(daily_rollup(_log(spark, settings, reads), subjects), targets)
-    records = as_unique_stats(counts).withColumn("kind", F.col("_type"))
-    kinds = tuple(f"{subject}{w}d-nodev" for subject in subjects for w in WINDOWS)
-    _write_records(records, f"{settings.out}/unique-stats", targets, kinds)
+        counts = rolling_counts(daily_rollup(_activity_log(spark, settings, reads), subjects), targets)
+    _write_unique(counts, f"{settings.results}/unique-stats", targets, _days(spark, settings, targets), subjects)
+
+
+def _write_unique(counts: DataFrame, path: str, targets: Period, days: list[date], subjects: tuple[str, ...]) -> None:
+    records = as_unique_stats(counts, targets).withColumn("kind", F.col("_type"))
+    _write_records(records, path, days, tuple(f"{subject}{w}d-nodev" for subject in subjects for w in WINDOWS))
 
 
 def unique_user(spark: SparkSession, settings: Settings, targets: Period) -> None:
@@ -161,9 +259,21 @@ def unique_all(spark: SparkSession, settings: Settings, targets: Period) -> None
     _activity(spark, settings, targets, SUBJECTS)
 
 
+def unique_all_devices(spark: SparkSession, settings: Settings, targets: Period) -> None:
+    """Active users and classes with all devices and grades counted together, in a table of their own."""
+    reads = targets.widen(before=max(WINDOWS) - 1)
+    if settings.rollup:
+        daily = _refresh_rollup(spark, settings, targets, SUBJECTS)
+    else:
+        daily = daily_rollup(_activity_log(spark, settings, reads), SUBJECTS)
+    counts = rolling_counts(without_device(daily), targets)
+    _write_unique(counts, f"{settings.results}/unique-stats-all-devices", targets, _days(spark, settings, targets), SUBJECTS)
+
+
 def _lifecycle(spark: SparkSession, settings: Settings, targets: Period, kinds: tuple[str, ...]) -> None:
-    records = as_accum_stats(lifecycle(_log(spark, settings, targets), kinds, settings.endpoints))
-    _write_records(records, f"{settings.out}/accum-stats", targets, kinds)
+    events = lifecycle(_lifecycle_log(spark, settings, targets), kinds, settings.endpoints)
+    records = as_accum_stats(events, targets)
+    _write_records(records, f"{settings.results}/accum-stats", _days(spark, settings, targets), kinds)
 
 
 def accum_user(spark: SparkSession, settings: Settings, targets: Period) -> None:
@@ -186,7 +296,23 @@ def cohort(spark: SparkSession, settings: Settings, targets: Period) -> None:
     signup_days = MONTH_BEFORE if settings.prior_signups else LAST_MONTH
     log = _log(spark, settings, targets.widen(before=signup_days[0], after=-LAST_MONTH[1]))
     records = as_cohort(cohort_by_day(log, targets, signup_days, LAST_MONTH, settings.endpoints))
-    _write_records(records, f"{settings.out}/cohort", targets)
+    _write_records(records, f"{settings.results}/cohort", _days(spark, settings, targets))
+
+
+def curve(spark: SparkSession, settings: Settings, targets: Period) -> None:
+    """Retention month by month: `lags` windows of 30 days that end before the target day, after 30 days of sign-ups."""
+    days = _days(spark, settings, targets)
+    if not days:
+        return
+
+    def of(day: date) -> DataFrame:
+        reach = preceding(day, MONTH * (settings.lags + 1))
+        signup = Period(reach.first, reach.first + timedelta(days=MONTH - 1))
+        lags = [trailing(signup.last + timedelta(days=MONTH * k), MONTH) for k in range(1, settings.lags + 1)]
+        found = cohort_curve(_log(spark, settings, reach), signup, lags, settings.endpoints)
+        return found.withColumn("date", day_text(F.lit(day)))
+
+    _write_records(reduce(DataFrame.unionAll, map(of, days)), f"{settings.results}/cohort-curve", days)
 
 
 JOBS = {
@@ -195,16 +321,21 @@ JOBS = {
     "unique-user": unique_user,
     "unique-class": unique_class,
     "unique-all": unique_all,
+    "unique-all-devices": unique_all_devices,
     "accum-user": accum_user,
     "accum-class": accum_class,
     "accum-all": accum_all,
     "cohort": cohort,
+    "cohort-curve": curve,
 }
+# These tell sign-ups and deletions by the addresses of the service.
+BY_ENDPOINT = ("accum-user", "accum-class", "accum-all", "cohort", "cohort-curve")
 
 
 def run(spark: SparkSession, job: str, targets: Period, settings: Settings) -> None:
     if len(targets):
-        JOBS[job](spark, settings, targets)
+        with checkpoints(spark, settings.out):
+            JOBS[job](spark, settings, targets)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -216,26 +347,35 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--logs", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--log-format", choices=("json", "parquet"), default="json")
-    parser.add_argument("--file-glob", help="read only matching files, e.g. '*-10_*.gz'")
-    parser.add_argument("--require-complete", action="store_true", help="fail if the log lacks a day")
+    parser.add_argument("--file-glob", help="sample: read only matching files, e.g. '*-10_*.gz'; results go to OUT/sample")
+    parser.add_argument(
+        "--allow-missing",
+        action="store_true",
+        help="go on if the log lacks a day that is read; target days it lacks keep what is stored",
+    )
     parser.add_argument("--rollup", help="keep daily counts here, so that later runs scan new days only")
     parser.add_argument("--late-days", type=int, default=0, help="archive: also read this many later days")
-    parser.add_argument("--schema-files", help="archive: find columns in matching files only; others may lose some")
     parser.add_argument("--prior-signups", action="store_true", help="cohort: sign-ups from the month before")
-    parser.add_argument("--www", default=Endpoints.www)
-    parser.add_argument("--oauth", default=Endpoints.oauth)
+    parser.add_argument("--lags", type=int, default=Settings.lags, help="cohort-curve: months after the sign-ups")
+    parser.add_argument("--www", help="address of the service; needed by " + ", ".join(BY_ENDPOINT))
+    parser.add_argument("--oauth", help="address of its sign-in; needed by the same")
+    parser.add_argument("--quality", action="store_true", help="print malformed lines and bad grades of the target days")
     args = parser.parse_args(argv)
+    if args.job in BY_ENDPOINT and not (args.www and args.oauth):
+        parser.error(f"{args.job} needs --www and --oauth")
+    if args.file_glob and (args.rollup or args.log_format != "json"):
+        parser.error("--file-glob goes with JSON logs and without --rollup")
     settings = Settings(
         logs=args.logs,
         out=args.out,
         log_format=args.log_format,
         file_glob=args.file_glob,
-        require_complete=args.require_complete,
+        allow_missing=args.allow_missing,
         rollup=args.rollup,
         late_days=args.late_days,
-        schema_files=args.schema_files,
         prior_signups=args.prior_signups,
-        endpoints=Endpoints(args.www, args.oauth),
+        lags=args.lags,
+        endpoints=Endpoints(args.www or Endpoints.www, args.oauth or Endpoints.oauth),
     )
     targets = span(args.start, args.to) if args.to else run_period(args.start, args.num_days)
     spark = (
@@ -244,4 +384,6 @@ def main(argv: list[str] | None = None) -> None:
         .getOrCreate()
     )
     run(spark, args.job, targets, settings)
+    if args.quality and args.log_format == "json" and len(targets):
+        line_quality(spark, args.logs, targets).orderBy("log_date").show(len(targets), truncate=False)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -12,6 +13,10 @@ from pyspark.sql import types as T
 from daytally.functions.periods import Period
 from daytally.schema import LOG_SCHEMA, RAW_SCHEMA
 
+# Columns of ours; a raw column of the same name is kept with this prefix.
+OWN_COLUMNS = ("event_id", "log_date", "kr_date")
+RAW_PREFIX = "raw_"
+
 
 class MissingDays(ValueError):
     """The log lacks days that were asked for."""
@@ -26,54 +31,77 @@ def _day_of(path: Column) -> Column:
     return F.to_date(F.regexp_extract(path, r".*/logs_(\d{8})/", 1), "yyyyMMdd")
 
 
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def path_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def present_days(spark: SparkSession, root: str, period: Period, fmt: str = "json") -> set[date]:
-    """The days of `period` that the log has. Only file names are read; the result has at most one row per day."""
+def list_files(spark: SparkSession, root: str, period: Period, fmt: str = "json") -> DataFrame | None:
+    """The files of the log by day: log_date, path, length, modificationTime. Nothing is read but the listing."""
+    reader = spark.read.format("binaryFile")
     try:
         if fmt == "json":
-            files = spark.read.format("binaryFile").load(_day_glob(root, period))
-            days = files.select(_day_of(F.col("path")).alias("log_date"))
+            files = reader.load(_day_glob(root, period)).withColumn("log_date", _day_of(F.col("path")))
         else:
-            days = spark.read.schema(LOG_SCHEMA).parquet(root).select("log_date")
+            files = reader.option("pathGlobFilter", "*.parquet").load(root)
+            if "log_date" not in files.columns:
+                return None
     except AnalysisException as error:
         if path_missing(error):
-            return set()
+            return None
         raise
-    return {row.log_date for row in days.where(period.contains(F.col("log_date"))).distinct().collect()}
+    files = files.select(F.col("log_date").cast("date").alias("log_date"), "path", "length", "modificationTime")
+    return files.where(period.contains(F.col("log_date")))
+
+
+def present_days(spark: SparkSession, root: str, period: Period, fmt: str = "json") -> set[date]:
+    """The days of `period` that the log has files for. The cost is one listing; the result has one row per day."""
+    files = list_files(spark, root, period, fmt)
+    return set() if files is None else {row.log_date for row in files.select("log_date").distinct().collect()}
+
+
+def _lines(spark: SparkSession, root: str, period: Period) -> DataFrame:
+    return spark.read.text(_day_glob(root, period))
 
 
-def archive_schema(
-    spark: SparkSession, root: str, period: Period, file_glob: str | None = None, sampling_ratio: float = 1.0
-) -> T.StructType:
-    """All columns found in the JSON lines, with the known ones typed as text.
+def column_names(spark: SparkSession, root: str, period: Period, fmt: str = "json") -> list[str]:
+    """The names of all columns that any line of the period has, with raw names that are ours prefixed.
 
-    Inference reads the lines. To save that, give a file pattern or a ratio, but then a column that only occurs
-    elsewhere is lost.
+    JSON lines are all looked through, for names only. A Parquet table tells its names in the footers of the period's
+    files.
     """
-    reader = spark.read.option("samplingRatio", sampling_ratio)
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
-    found = reader.json(_day_glob(root, period)).schema
-    known = set(RAW_SCHEMA.names)
-    return T.StructType(
-        RAW_SCHEMA.fields + [f for f in found.fields if f.name not in known and f.name != "_corrupt_record"]
-    )
+    days = sorted(present_days(spark, root, period, fmt))
+    if not days:
+        return []
+    if fmt == "json":
+        keys = _lines(spark, root, period).select(F.explode(F.json_object_keys("value")).alias("name")).distinct()
+        names = [row.name for row in keys.collect()]
+        return sorted(RAW_PREFIX + n if n in OWN_COLUMNS else n for n in names if n != "_corrupt_record")
+    paths = [f"{root}/log_date={day}" for day in days]
+    found = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths)
+    return sorted(set(found.columns) - set(OWN_COLUMNS))
 
 
-def _read_json(
-    spark: SparkSession, root: str, period: Period, file_glob: str | None, schema: T.StructType, mode: str
-) -> DataFrame:
-    reader = spark.read.schema(schema).option("mode", mode)
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
-    return reader.json(_day_glob(root, period))
+def absent_columns(
+    spark: SparkSession, root: str, period: Period, names: Iterable[str], fmt: str = "json"
+) -> set[str]:
+    """Those of `names` that no line of the period has. A name is searched for up to the first line that has it."""
+    if fmt != "json":
+        return set(names) - set(column_names(spark, root, period, fmt))
+    if not present_days(spark, root, period):
+        return set()
+    lines, value = _lines(spark, root, period), F.col("value")
+
+    def met(name: str) -> bool:
+        has = F.array_contains(F.json_object_keys(value), name)
+        return not lines.where(value.contains(f'"{name}"') & has).limit(1).isEmpty()
+
+    return {name for name in names if not met(name)}
+
+
+def log_schema(extra: Sequence[str] = ()) -> T.StructType:
+    """The columns of the log; those that are not known are text, so that they are the same on every day."""
+    more = [T.StructField(name, T.StringType()) for name in extra if name not in LOG_SCHEMA.names]
+    return T.StructType(LOG_SCHEMA.fields + more)
 
 
 def read_logs(
@@ -83,43 +111,47 @@ def read_logs(
     *,
     fmt: str = "json",
     file_glob: str | None = None,
-    schema: T.StructType = RAW_SCHEMA,
-    require_complete: bool = False,
+    extra: Sequence[str] = (),
+    allow_missing: bool = False,
 ) -> DataFrame:
-    """The log lines of `period`, with `log_date` and `event_id`.
+    """The log lines of `period`, with `log_date` and `event_id`, and the columns in `extra` as text.
 
-    JSON (`fmt="json"`) is read from `root/logs_yyyyMMdd/` under a declared schema, so there is no inference pass;
-    malformed lines are dropped. (With a schema that is not all text, a line may also fail by its types. Such a line
-    keeps its other columns, and a malformed one has no values at all, which no job counts.) `file_glob` limits the file names, e.g. `*-10_*.gz` for one hour of each day.
-    JSON lines have no number of their own: they get a hash of their content, which orders lines that share
-    a stamp in the same way on every run.
+    JSON (`fmt="json"`) is read from `root/logs_yyyyMMdd/` under a declared schema of text, so there is no inference
+    pass; nested values are JSON text, and malformed lines are dropped (`line_quality` counts them). `file_glob` limits
+    the file names, e.g. `*-10_*.gz` for one hour of each day. JSON lines have no number of their own: they get a hash
+    of their content, which orders lines that share a stamp in the same way on every run.
 
     Parquet (`fmt="parquet"`) is a table with the columns of `LOG_SCHEMA`, partitioned by `log_date`.
 
-    A missing day has no rows, unless `require_complete` is set.
+    A day without files is an error, or has no rows if `allow_missing` is set.
     """
-    if require_complete:
-        missing = sorted(set(period.days()) - present_days(spark, root, period, fmt))
-        if missing:
-            raise MissingDays(", ".join(map(str, missing)))
+    if file_glob and fmt != "json":
+        raise ValueError("file patterns are for JSON logs; a Parquet table has no file per hour")
+    present = present_days(spark, root, period, fmt)
+    if not allow_missing and (missing := sorted(set(period.days()) - present)):
+        raise MissingDays(", ".join(map(str, missing)))
+    if not present:
+        return spark.createDataFrame([], log_schema(extra))
     if fmt == "parquet":
-        return spark.read.schema(LOG_SCHEMA).parquet(root).where(period.contains(F.col("log_date")))
-    rest = [c for c in schema.names if c not in ("event_id", "log_date")]
-    try:
-        all_text = all(isinstance(f.dataType, T.StringType) for f in schema.fields)
-        raw = _read_json(spark, root, period, file_glob, schema, "DROPMALFORMED" if all_text else "PERMISSIVE")
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        return _empty(spark, T.StructType(LOG_SCHEMA.fields[:2] + [schema[c] for c in rest]))
-    number = F.col("event_id") if "event_id" in schema.names else F.xxhash64(*rest)
-    return raw.select(number.alias("event_id"), _day_of(F.col("_metadata.file_path")).alias("log_date"), *rest)
+        return spark.read.schema(log_schema(extra)).parquet(root).where(period.contains(F.col("log_date")))
+    known = [*RAW_SCHEMA.names, *(name for name in extra if name not in LOG_SCHEMA.names)]
+    in_file = {name: name.removeprefix(RAW_PREFIX) if name.removeprefix(RAW_PREFIX) in OWN_COLUMNS else name for name in known}
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in in_file.values()])
+    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    raw = reader.json(_day_glob(root, period))
+    return raw.select(
+        F.xxhash64(*in_file.values()).alias("event_id"),
+        _day_of(F.col("_metadata.file_path")).alias("log_date"),
+        *[F.col(source).alias(name) for name, source in in_file.items()],
+    )
 
 
-def line_quality(spark: SparkSession, root: str, period: Period, file_glob: str | None = None) -> DataFrame:
+def line_quality(spark: SparkSession, root: str, period: Period) -> DataFrame:
     """Per day: lines, malformed lines, and lines whose grade is no number."""
     schema = T.StructType([RAW_SCHEMA["grade"], T.StructField("_corrupt_record", T.StringType())])
-    raw = _read_json(spark, root, period, file_glob, schema, "PERMISSIVE")
+    raw = spark.read.schema(schema).json(_day_glob(root, period))
     grade = F.col("grade")
     return raw.groupBy(_day_of(F.col("_metadata.file_path")).alias("log_date")).agg(
         F.count("*").alias("lines"),

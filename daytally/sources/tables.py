@@ -31,7 +31,7 @@ def write_partitioned(
     partitions are. Without it, every task writes its own files: right when each task holds few partitions.
     """
     spark = df.sparkSession
-    before = _marks(spark, path, df.schema, partition_by, replaces)
+    before = _files(spark, path, df.schema, partition_by, replaces)
     rows = df.hint("rebalance", *partition_by) if rebalance else df
     (
         rows.write.mode("overwrite")
@@ -43,7 +43,7 @@ def write_partitioned(
     )
     if not before:
         return
-    after = _marks(spark, path, df.schema, partition_by, replaces)
+    after = _files(spark, path, df.schema, partition_by, replaces)
     nothing = spark.createDataFrame([], T.StructType([f for f in df.schema.fields if f.name not in partition_by]))
     for stale in [partition for partition, file in before.items() if after.get(partition) == file]:
         folder = "/".join(f"{name}={value}" for name, value in zip(partition_by, stale, strict=True))
@@ -60,18 +60,21 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         raise
 
 
-def _marks(
+def _files(
     spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str], where: Column
 ) -> dict[tuple, str]:
-    """One file name for each partition that holds rows, which tells whether it was written since.
+    """The first file name of each partition, which tells whether the partition was written since.
 
-    Reads no column data; the result has one row per partition.
+    Comes from the listing of the folders: its cost grows with the number of files, not of rows.
     """
+    keys = [F.regexp_extract("path", rf"/{name}=([^/]*)/", 1) for name in partition_by]
+    keys = [F.url_decode(key).cast(schema[name].dataType).alias(name) for key, name in zip(keys, partition_by, strict=True)]
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
     try:
-        table = spark.read.schema(schema).parquet(path).where(where)
+        files = reader.load(path).select("path", *keys).where(where)
     except AnalysisException as error:
         if path_missing(error):
             return {}
         raise
-    files = table.groupBy(*partition_by).agg(F.min("_metadata.file_path"))
-    return {tuple(row)[:-1]: row[-1] for row in files.collect()}
+    first = files.groupBy(*partition_by).agg(F.min("path"))
+    return {tuple(row)[:-1]: row[-1] for row in first.collect()}

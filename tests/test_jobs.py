@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from daytally.functions.lineage import cut_lineage
 from daytally.functions.periods import Period, run_period, span
 from daytally.operators import activity
 from daytally.operators.lifecycle import lifecycle
@@ -15,6 +16,7 @@ from daytally.operators.retention import cohort_by_day
 from daytally.plans import jobs
 from daytally.schema import ACCUM_SCHEMA, COHORT_SCHEMA, LOG_SCHEMA, RAW_SCHEMA, UNIQUE_SCHEMA
 from daytally.sources.events_table import log_from_events
+from daytally.sources.logs import MissingDays
 from daytally.sources.tables import read_table
 
 MONTH = run_period("20240130", 30)
@@ -39,8 +41,12 @@ def raw(spark, log, tmp_path_factory):
     return str(root)
 
 
+# The log starts with the first target day, so what looks back finds days missing.
 def settings(raw, out, **more):
-    return jobs.Settings(logs=raw, out=str(out), **more)
+    return jobs.Settings(logs=raw, out=str(out), **{"allow_missing": True} | more)
+
+
+HOSTS = ["--www", "https://www.example.com", "--oauth", "https://oauth.example.com"]
 
 
 def stored(spark, path, schema):
@@ -132,7 +138,7 @@ def test_archive_job(spark, log, raw, tmp_path):
 
 def test_columnar_log_serves_the_other_jobs(spark, log, raw, tmp_path):
     jobs.columnar_log(spark, settings(raw, tmp_path / "log"), MONTH)
-    own = settings(str(tmp_path / "log"), tmp_path / "out", log_format="parquet", require_complete=True)
+    own = settings(str(tmp_path / "log"), tmp_path / "out", log_format="parquet", allow_missing=False)
     targets = run_period("20240130", 1)
     jobs.unique_user(spark, settings(str(tmp_path / "log"), tmp_path / "out", log_format="parquet"), targets)
     assert stored(spark, tmp_path / "out" / "unique-stats", UNIQUE_SCHEMA) == expected_unique(log, "user", targets)
@@ -142,16 +148,22 @@ def test_columnar_log_serves_the_other_jobs(spark, log, raw, tmp_path):
     )
     stored_log = spark.read.schema(LOG_SCHEMA).parquet(str(tmp_path / "log"))
     assert stored_log.count() == log.count()
+    jobs.archive(spark, settings(str(tmp_path / "log"), tmp_path / "out", log_format="parquet"), targets)
+    archived = jobs.read_archive(spark, str(tmp_path / "out"))
+    assert archived.where("extra = 'kept' and event_id is not null").count() == archived.count() > 0
 
 
 def test_command_line(spark, log, raw, tmp_path):
-    jobs.main(["accum-user", "20240130", "2.9", "--logs", raw, "--out", str(tmp_path)])
+    jobs.main(["accum-user", "20240130", "2.9", "--logs", raw, "--out", str(tmp_path), "--quality", *HOSTS])
     dates = read_table(spark, str(tmp_path / "accum-stats"), ACCUM_SCHEMA).select("date").distinct().collect()
     assert {r.date for r in dates} == {"20240129", "20240130"}
-    jobs.main(["cohort", "20240130", "--to", "20240127", "--logs", raw, "--out", str(tmp_path)])
+    jobs.main(["cohort", "20240130", "--to", "20240127", "--logs", raw, "--out", str(tmp_path), "--allow-missing", *HOSTS])
     assert read_table(spark, str(tmp_path / "cohort"), COHORT_SCHEMA).count() == 4
-    jobs.main(["accum-user", "20240130", "0", "--logs", raw, "--out", str(tmp_path / "none")])
+    jobs.main(["accum-user", "20240130", "0", "--logs", raw, "--out", str(tmp_path / "none"), *HOSTS])
     assert not (tmp_path / "none").exists()
+    for wrong in (["accum-user"], ["archive", "--file-glob", "x", "--log-format", "parquet"], ["unique-user", "--file-glob", "x", "--rollup", "r"]):
+        with pytest.raises(SystemExit):
+            jobs.main([wrong[0], "20240130", "--logs", raw, "--out", str(tmp_path), *wrong[1:]])
 
 
 def test_own_hosts(spark, tmp_path):
@@ -165,4 +177,152 @@ def test_own_hosts(spark, tmp_path):
         + ["--www", "https://a.test", "--oauth", "https://b.test"]
     )
     row = read_table(spark, str(out / "accum-stats"), ACCUM_SCHEMA).first()
-    assert (row.role, row.device, row.grade, row.date) == ("parent", "null", -999, "20240130")
+    assert (row.role, row.device, row.grade, row.date) == ("parent", "_null", -999, "20240130")
+
+
+def write_lines(root, day, lines, name="01_0"):
+    folder = root / f"logs_{day}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"{day}-{name}.json").write_text("".join(json.dumps(x) + "\n" for x in lines))
+
+
+def active(i, day="2024-01-30", **more):
+    return {"ftime": f"{day}T0{i}:00:00Z", "api": "https://www.example.com/api/feed", "code": 200, "id": f"u{i}", **more}
+
+
+def every_file(folder):
+    return {f: f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+JOB_ARGS = [(job, {"prior_signups": True} if job == "cohort" else {}) for job in sorted(jobs.JOBS)]
+
+
+@pytest.mark.parametrize(("job", "more"), JOB_ARGS)
+def test_absent_log_is_an_error_and_leaves_what_is_stored(spark, raw, tmp_path, job, more):
+    day = run_period("20240130", 1)
+    jobs.run(spark, job, day, settings(raw, tmp_path, **more))
+    before = every_file(tmp_path)
+    assert before
+    with pytest.raises(MissingDays):
+        jobs.run(spark, job, day, settings(str(tmp_path / "typo"), tmp_path, allow_missing=False, **more))
+    jobs.run(spark, job, day, settings(str(tmp_path / "typo"), tmp_path, **more))
+    assert every_file(tmp_path) == before
+
+
+def test_missing_target_days_keep_what_is_stored(spark, log, raw, tmp_path):
+    two = run_period("20240130", 2)
+    jobs.accum_all(spark, settings(raw, tmp_path / "out"), two)
+    write_lines(tmp_path / "part", "20240130", [active(1)])
+    jobs.accum_all(spark, settings(str(tmp_path / "part"), tmp_path / "out"), two)
+    rows = stored(spark, tmp_path / "out" / "accum-stats", ACCUM_SCHEMA)
+    assert {r.date for r in rows} == {"20240129"}
+
+
+def test_sample_replaces_nothing(spark, raw, tmp_path):
+    day = run_period("20240130", 1)
+    for job in ("accum-all", "unique-user", "archive", "columnar-log"):
+        jobs.run(spark, job, day, settings(raw, tmp_path / job))
+        before = every_file(tmp_path / job)
+        jobs.run(spark, job, day, settings(raw, tmp_path / job, file_glob="part-00000*"))
+        after = every_file(tmp_path / job)
+        assert before.items() <= after.items()
+        assert all("sample" in f.parts for f in after.keys() - before.keys())
+    for wrong in ({"rollup": "x"}, {"log_format": "parquet"}):
+        with pytest.raises(ValueError):
+            settings(raw, tmp_path, file_glob="x", **wrong)
+
+
+def test_no_setting_loses_columns():
+    names = {f for f in jobs.Settings.__dataclass_fields__}
+    assert not names & {"schema_files", "sampling_ratio", "require_complete"}
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_archive_keeps_columns_whose_types_change(spark, tmp_path, fmt):
+    root = tmp_path / "raw"
+    write_lines(root, "20240128", [])
+    write_lines(root, "20240129", [{"ftime": "2024-01-29T01", "level": 7, "event_id": 5}])
+    write_lines(root, "20240130", [{"ftime": "2024-01-30T01", "level": "high", "new": {"a": [1]}}])
+    source = str(root)
+    if fmt == "parquet":
+        source = str(tmp_path / "log")
+        jobs.run(spark, "columnar-log", run_period("20240130", 3), settings(str(root), source))
+    for day in ("20240129", "20240130"):
+        jobs.run(spark, "archive", run_period(day, 1), settings(source, tmp_path / "out", log_format=fmt))
+    rows = jobs.read_archive(spark, str(tmp_path / "out")).orderBy("ftime").collect()
+    assert [(r.level, r.new, r.event_id) for r in rows] == [("7", None, "5"), ("high", '{"a": [1]}', None)]
+
+
+def test_late_files_correct_the_rollup(spark, tmp_path):
+    root, out = tmp_path / "raw", tmp_path / "out"
+    write_lines(root, "20240129", [active(1, "2024-01-29")])
+    write_lines(root, "20240130", [active(2)])
+    own = settings(str(root), out, rollup=str(tmp_path / "rollup"))
+    jobs.unique_user(spark, own, run_period("20240129", 1))
+    write_lines(root, "20240129", [active(3, "2024-01-29")], "02_0")
+    jobs.unique_user(spark, own, run_period("20240130", 1))
+    rows = stored(spark, out / "unique-stats", UNIQUE_SCHEMA)
+    assert {r.id for r in rows if r._type == "user7d-nodev" and r.date == "20240130"} == {"u1", "u2", "u3"}
+
+
+def test_a_day_without_lines_is_done_once(spark, tmp_path, monkeypatch):
+    root = tmp_path / "raw"
+    write_lines(root, "20240129", [active(1, "2024-01-29")])
+    write_lines(root, "20240130", [active(2)])
+    own = settings(str(root), tmp_path / "out", rollup=str(tmp_path / "rollup"))
+    jobs.unique_all(spark, own, run_period("20240130", 1))
+    monkeypatch.setattr(jobs, "read_logs", lambda *a, **k: pytest.fail("read again"))
+    jobs.unique_class(spark, own, run_period("20240130", 1))
+
+
+def test_columns_that_no_line_has(spark, tmp_path):
+    root = tmp_path / "raw"
+    write_lines(root, "20240130", [active(1, tag="ios.event"), active(2, tag="web")])
+    day = run_period("20240130", 1)
+    jobs.unique_user(spark, settings(str(root), tmp_path / "a"), day)
+    (row, *_) = stored(spark, tmp_path / "a" / "unique-stats", UNIQUE_SCHEMA)
+    assert (row.role, row.device, row.country, row.lang, row.grade) == ("_null", "_null", "_null", "_null", -999)
+    signup = {"api": "https://www.example.com/api/users", "method": "POST"}
+    write_lines(root, "20240129", [active(1, "2024-01-29", tag="ios.event", role="", **signup), active(2, "2024-01-29", **signup)])
+    jobs.accum_user(spark, settings(str(root), tmp_path / "b"), run_period("20240129", 1))
+    rows = stored(spark, tmp_path / "b" / "accum-stats", ACCUM_SCHEMA)
+    assert {(r.role, r.device, r.country, r.lang) for r in rows} == {("_null", "ios", "_null", "_null"), (None, "null", "_null", "_null")}
+    # Where some line has the column, a missing value stays missing, and a missing device falls back to the tag.
+    write_lines(root, "20240130", [active(3, device="x", role="r", country="KR")], "02_0")
+    jobs.unique_user(spark, settings(str(root), tmp_path / "c"), day)
+    rows = [r for r in stored(spark, tmp_path / "c" / "unique-stats", UNIQUE_SCHEMA) if r._type == "user1d-nodev"]
+    assert {(r.id, r.role, r.device, r.country) for r in rows} == {("u1", None, "ios", None), ("u2", None, "web", None), ("u3", "r", "x", "KR")}
+
+
+def test_all_devices_and_curve_jobs(spark, log, raw, tmp_path):
+    targets = run_period("20240130", 2)
+    jobs.run(spark, "unique-all-devices", targets, settings(raw, tmp_path))
+    daily = activity.without_device(activity.daily_rollup(log))
+    expected = Counter(as_unique_stats(activity.rolling_counts(daily, targets)).collect())
+    assert stored(spark, tmp_path / "unique-stats-all-devices", UNIQUE_SCHEMA) == expected
+    jobs.run(spark, "cohort-curve", run_period("20240130", 1), settings(raw, tmp_path, lags=1))
+    (row,) = spark.read.parquet(str(tmp_path / "cohort-curve")).collect()
+    assert (row.date, row.lag, row.signup, row.retained_pct) == (20240130, 1, 0, 0.0)
+
+
+def test_curve_windows(spark, tmp_path):
+    root = tmp_path / "raw"
+    signup = {"api": "https://www.example.com/api/users", "method": "POST"}
+    write_lines(root, "20231101", [active(1, "2023-11-01", **signup), active(2, "2023-11-01", **signup)])
+    write_lines(root, "20231215", [active(1, "2023-12-15")])
+    write_lines(root, "20240129", [active(1, "2024-01-29"), active(2, "2024-01-29")])
+    write_lines(root, "20240130", [active(3)])
+    jobs.run(spark, "cohort-curve", run_period("20240130", 1), settings(str(root), tmp_path / "out"))
+    rows = spark.read.parquet(str(tmp_path / "out" / "cohort-curve")).orderBy("lag").collect()
+    assert [(r.lag, r.signup, r.retained, r.retained_pct) for r in rows] == [(1, 2, 1, 50.0), (2, 2, 2, 100.0)]
+
+
+def test_checkpoints_are_removed_with_the_job(spark, raw, tmp_path):
+    jobs.run(spark, "accum-all", run_period("20240130", 1), settings(raw, tmp_path))
+    assert [f.name for f in tmp_path.iterdir()] == ["accum-stats"]
+
+
+def test_checkpoints_need_a_folder(monkeypatch, spark):
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        cut_lineage(spark.range(1))

@@ -8,8 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from daytally.functions.periods import Period
-from daytally.schema import LOG_SCHEMA, RAW_SCHEMA
-from daytally.sources.logs import MissingDays, archive_schema, line_quality, present_days, read_logs
+from daytally.schema import LOG_SCHEMA
+from daytally.sources.logs import (
+    MissingDays,
+    absent_columns,
+    column_names,
+    line_quality,
+    present_days,
+    read_logs,
+)
 from daytally.sources.tables import read_table, write_partitioned
 
 FIRST, SECOND, THIRD = date(2018, 10, 8), date(2018, 10, 9), date(2018, 10, 10)
@@ -42,7 +49,7 @@ def root(tmp_path_factory):
 
 
 def test_numbers_and_text_are_read_as_text_and_malformed_lines_dropped(spark, root):
-    df = read_logs(spark, root, ALL)
+    df = read_logs(spark, root, ALL, allow_missing=True)
     assert sorted(df.columns) == sorted(LOG_SCHEMA.names)
     rows = [(r.api, r.code, r.grade, r.log_date) for r in df.orderBy("api").collect()]
     assert rows == [
@@ -54,61 +61,62 @@ def test_numbers_and_text_are_read_as_text_and_malformed_lines_dropped(spark, ro
 
 
 def test_pruned_reads_drop_the_same_lines(spark, root):
-    df = read_logs(spark, root, ALL)
+    df = read_logs(spark, root, ALL, allow_missing=True)
     assert [r.n for r in df.groupBy("log_date").agg(F.count("api").alias("n")).orderBy("log_date").collect()] == [3, 1]
     assert df.select("role").count() == 4
 
 
 def test_only_days_of_the_period_are_read(spark, root):
-    df = read_logs(spark, root, Period(SECOND, THIRD))
+    df = read_logs(spark, root, Period(SECOND, THIRD), allow_missing=True)
     assert [r.api for r in df.collect()] == ["d"]
     assert not any("logs_20181008" in f for f in df.inputFiles())
 
 
-def test_missing_days_are_empty_or_an_error(spark, root):
-    assert read_logs(spark, root, Period(SECOND, SECOND)).count() == 0
-    assert read_logs(spark, root, Period(SECOND, SECOND)).schema.names == read_logs(spark, root, ALL).schema.names
+def test_missing_days_are_an_error_or_empty(spark, root):
+    none = read_logs(spark, root, Period(SECOND, SECOND), allow_missing=True)
+    assert none.count() == 0
+    assert none.schema.names == read_logs(spark, root, ALL, allow_missing=True).schema.names
     assert present_days(spark, root, ALL) == {FIRST, THIRD}
     assert present_days(spark, root, Period(SECOND, SECOND)) == set()
     with pytest.raises(MissingDays, match="2018-10-09"):
-        read_logs(spark, root, ALL, require_complete=True)
-    read_logs(spark, root, Period(THIRD, THIRD), require_complete=True)
+        read_logs(spark, root, ALL)
+    with pytest.raises(MissingDays):
+        read_logs(spark, root + "/nowhere", Period(THIRD, THIRD))
+    read_logs(spark, root, Period(THIRD, THIRD))
 
 
 def test_hour_files(spark, root):
-    df = read_logs(spark, root, ALL, file_glob="*-10_*.gz")
+    df = read_logs(spark, root, ALL, file_glob="*-10_*.gz", allow_missing=True)
     assert sorted(r.api for r in df.collect()) == ["c", "d"]
+    with pytest.raises(ValueError):
+        read_logs(spark, root, ALL, fmt="parquet", file_glob="*")
 
 
 def test_line_numbers_are_stable(spark, root):
     def numbers():
-        return {(r.api, r.event_id) for r in read_logs(spark, root, ALL).collect()}
+        return {(r.api, r.event_id) for r in read_logs(spark, root, ALL, allow_missing=True).collect()}
 
     assert numbers() == numbers()
     assert len(numbers()) == 4
 
 
-def test_archive_schema_finds_other_columns(spark, root):
-    schema = archive_schema(spark, root, ALL)
-    assert schema.names[: len(RAW_SCHEMA)] == RAW_SCHEMA.names
-    assert schema.names[len(RAW_SCHEMA) :] == ["extra", "level"]
-    row = read_logs(spark, root, ALL, schema=schema).where("api = 'a'").first()
-    assert row.extra.k == 1 and row.code == "200"
-    sampled = archive_schema(spark, root, ALL, file_glob="*-10_*.gz")
-    assert "extra" not in sampled.names and "level" in sampled.names
+def test_names_of_all_lines(spark, root, tmp_path):
+    names = column_names(spark, root, ALL)
+    assert names == ["api", "code", "extra", "ftime", "grade", "level"]
+    rows = {r.api: r for r in read_logs(spark, root, ALL, extra=names, allow_missing=True).collect()}
+    assert rows["a"].extra == '{"k": 1}' and rows["c"].level == "7" and rows["a"].code == "200"
+    write_lines(tmp_path, FIRST, "09_0", [{"ftime": "a", "level": 7, "event_id": "x"}, {"level": "high"}, '{"only": '])
+    period = Period(FIRST, FIRST)
+    names = column_names(spark, str(tmp_path), period)
+    assert names == ["ftime", "level", "raw_event_id"]
+    rows = read_logs(spark, str(tmp_path), period, extra=names).collect()
+    assert sorted((r.ftime or "", r.level, r.raw_event_id or "") for r in rows) == [("", "high", ""), ("a", "7", "x")]
 
 
-def test_value_of_another_type_than_sampled_keeps_its_line(spark, tmp_path):
-    write_lines(tmp_path, FIRST, "09_0", [{"ftime": "a", "level": 7}])
-    write_lines(tmp_path, FIRST, "10_0", [{"ftime": "b", "api": "x", "level": "high"}, '{"ftime": "c", '])
-    period = Period(FIRST, FIRST)
-    sampled = archive_schema(spark, str(tmp_path), period, file_glob="*-09_*.gz")
-    assert sampled["level"].dataType.typeName() == "long"
-    rows = read_logs(spark, str(tmp_path), period, schema=sampled).where("ftime is not null").collect()
-    assert sorted((r.ftime, r.api, r.level) for r in rows) == [("a", None, 7), ("b", "x", None)]
-    full = archive_schema(spark, str(tmp_path), period)
-    rows = read_logs(spark, str(tmp_path), period, schema=full).where("ftime is not null").collect()
-    assert sorted((r.ftime, r.level) for r in rows) == [("a", "7"), ("b", "high")]
+def test_absent_columns(spark, root):
+    assert absent_columns(spark, root, ALL, ["grade", "role", "code"]) == {"role"}
+    assert absent_columns(spark, root, Period(THIRD, THIRD), ["grade", "code"]) == {"code"}
+    assert absent_columns(spark, root, Period(SECOND, SECOND), ["grade"]) == set()
 
 
 def test_line_quality(spark, root):
