@@ -31,6 +31,20 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.toDF("node", "root") if labels is None else labels
 
 
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels as of `components`, with more edges (a, b), whose nodes need not be labelled yet."""
+    if edges.isEmpty():
+        return labels
+    known = labels.select(F.col("node").alias("at"), F.col("root").alias("to"))
+    roots = edges.join(known, F.col("a") == F.col("at"), "left").select(F.coalesce("to", "a").alias("a"), "b")
+    roots = roots.join(known, F.col("b") == F.col("at"), "left").select("a", F.coalesce("to", "b").alias("b"))
+    joined = cut(components(roots).select(F.col("node").alias("at"), F.col("root").alias("to")))
+    # A root that was no node before is one now.
+    moved = labels.join(joined, F.col("root") == F.col("at"), "left").select("node", F.coalesce("to", "root").alias("root"))
+    fresh = joined.join(labels, F.col("at") == F.col("node"), "left_anti").select("at", "to").toDF("node", "root")
+    return cut(moved.unionAll(fresh))
+
+
 def _between(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 

@@ -32,7 +32,7 @@ BUCKETS = 1 << BUCKET_BITS
 DIMENSIONS = 16
 EPOCHS = 6
 RATE = 0.5
-BATCH = 64
+BATCH = 32
 #: Words of the short training texts that are cut from each sampled document.
 SNIPPETS = (1, 2, 4, 12)
 #: Share of right documents that the threshold may reject, and the highest threshold.
@@ -151,7 +151,7 @@ def train(histograms: list, labels: list[str], whole: list[bool], apart: list[bo
     else:
         learn, check = np.flatnonzero(~apart), np.flatnonzero(apart)
     rng = np.random.default_rng(seed)
-    embeddings = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
+    embeddings = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights, bias = rng.normal(0, 0.1, (DIMENSIONS, len(languages))), np.zeros(len(languages))
 
     def forward(batch):
@@ -176,7 +176,7 @@ def train(histograms: list, labels: list[str], whole: list[bool], apart: list[bo
             sizes = np.diff(np.append(begins, len(buckets)))
             # The mean of many buckets moves each of them little, so their rate is higher.
             np.subtract.at(embeddings, buckets, 100 * rate * shares[:, None] * np.repeat(back, sizes, axis=0))
-    scores = np.concatenate([forward(check[k : k + 512])[-1] for k in range(0, len(check), 512)])
+    scores = np.concatenate([forward(check[k : k + 64])[-1] for k in range(0, len(check), 64)])
     temperature = min(
         np.geomspace(0.05, 20, 121), key=lambda t: -np.log(_softmax(scores / t)[np.arange(len(check)), right[check]] + 1e-12).mean()
     )

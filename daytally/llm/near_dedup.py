@@ -7,7 +7,7 @@ with a probability of 0.684 ** 32, or 5 in a million.
 
 Documents with equal sets are one class and take part once. Within a bucket every member is a candidate with the
 bucket's first member only, so a bucket of n gives n - 1 candidates. As a star can miss a pair whose bucket has a foreign
-centre, further rounds choose other centres, in the order of a hash, for those members that are not yet connected.
+centre, a second pass takes other centres, in the orders of two hashes, for those members that are not yet connected.
 Candidates whose signatures agree in less than half of their values are no links: of documents of similarity 0.75, one
 pair in ten billion. All others are confirmed on the full sets, which are made anew from the texts.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.llm.common import bounded_batches, cut, runs
-from daytally.llm.components import components
+from daytally.llm.components import components, merged
 from daytally.llm.shingles import SHINGLE_WORDS, mix, shingle_sets, similar
 
 BIN_BITS = 7
@@ -32,7 +33,8 @@ BINS = 1 << BIN_BITS
 ROWS = 4
 BANDS = BINS // ROWS
 PERCENT = 75
-ROUNDS = 3
+#: Further centres of each bucket, in as many orders of its members.
+ORDERS = 2
 #: Of BINS values two documents of similarity 0.75 agree in 96 +- 5; below this they are no candidates.
 LEAST_AGREEING = BINS // 2
 #: Ids of eight bytes that may be broadcast.
@@ -113,7 +115,7 @@ def _linked(percent: int):
     return linked
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     A set holds the distinct runs of five words; with fewer words, the whole sequence. Documents are linked if their
@@ -131,13 +133,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rounds: int = ROUND
     classes = cut(classes)
     firsts = classes.where("first is not null")
     members = cut(_shared(firsts.select("first", F.explode("bands").alias("bucket"))))
-    found = _confirmed(members.select(F.col("centre").alias("a"), F.col("first").alias("b")), firsts, docs, percent)
-    labels = components(found)
-    for number in range(1, rounds):
-        more = _confirmed(_stars(members, labels, number), firsts, docs, percent)
-        if not more.isEmpty():
-            found = found.unionAll(more)
-            labels = components(found)
+    stars = members.select(F.col("centre").alias("a"), F.col("first").alias("b"))
+    labels = components(_confirmed(stars, firsts, docs, percent))
+    if orders:
+        members = members.join(labels, F.col("first") == F.col("node"), "left")
+        members = cut(members.select("bucket", "first", F.coalesce("root", "first").alias("root")))
+        others = reduce(DataFrame.unionAll, [_stars(members, number) for number in range(orders)])
+        labels = merged(labels, _confirmed(others, firsts, docs, percent))
     return _result(sketch, classes, labels)
 
 
@@ -147,10 +149,8 @@ def _shared(members: DataFrame) -> DataFrame:
     return members.join(centres.where("centre < last").drop("last"), "bucket")
 
 
-def _stars(members: DataFrame, labels: DataFrame, number: int) -> DataFrame:
+def _stars(members: DataFrame, number: int) -> DataFrame:
     """Edges (a, b) of other stars of the buckets, between different components."""
-    members = members.join(labels, F.col("first") == F.col("node"), "left")
-    members = members.select("bucket", "first", F.coalesce("root", "first").alias("root"))
     order = F.xxhash64("first", "bucket", F.lit(number)).alias("order")
     stars = members.groupBy("bucket").agg(F.min(F.struct(order, "first", "root")).alias("centre"))
     edges = members.join(stars, "bucket").where("root <> centre.root")
