@@ -79,9 +79,9 @@ def _kind(found: Column) -> Column:
     return F.coalesce(*[F.when(is_kind, F.lit(kind)) for is_kind, kind in pairs])
 
 
-def _parts(found: Column) -> Column:
+def _parts(entity: Column) -> Column:
     """A found entity as an array of (kind, value): `keep` for what stays, else the kind and the text as written."""
-    kind = _kind(found)
+    kind, found = entity["kind"], entity["found"]
     address = [_part("local", F.substring_index(found, "@", 1)), _part("keep", F.lit("@")), _part("domain", F.substring_index(found, "@", -1))]
     code = F.regexp_extract(found, r"^\+\d{1,3}(?=[ .\-(])", 0)
     phone = [_part("keep", code), _part("phone", F.substring(found, F.length(code) + 1, F.length(found)))]
@@ -170,8 +170,11 @@ def _given(value: Column, digest: Column, kind: Column) -> Column:
     )
 
 
-def _surrogate(kind: Column, value: Column, tries: Column, key: str) -> Column:
-    digest = F.sha2(F.concat_ws("\0", F.lit(key), kind, value, tries.cast("string")).cast("binary"), 512)
+def _digest(key: str) -> Column:
+    return F.sha2(F.concat_ws("\0", F.lit(key), "kind", "value", F.col("tries").cast("string")).cast("binary"), 512)
+
+
+def _surrogate(kind: Column, value: Column, tries: Column, digest: Column) -> Column:
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (1 + _byte(digest, i) % 223).cast("string"))
     top = F.regexp_extract(value, r"\.[^.]+$", 0)
     domain = F.concat(_in_kind(F.substring(value, F.lit(1), F.length(value) - F.length(top)), digest, kind), top)
@@ -193,7 +196,10 @@ def surrogates(parts: DataFrame, key: str = KEY) -> DataFrame:
     values = parts.select(F.col("kind").alias("held_kind"), F.col("value").alias("held"))
     named = parts.withColumn("tries", F.lit(0))
     while True:
-        named = cut(named.withColumn("surrogate", _surrogate(F.col("kind"), F.col("value"), F.col("tries"), key)))
+        # A column by itself, so that it is worked out once and not for every character.
+        named = named.withColumn("digest", _digest(key))
+        made = _surrogate(F.col("kind"), F.col("value"), F.col("tries"), F.col("digest"))
+        named = cut(named.select("kind", "value", "tries", made.alias("surrogate")))
         twice = named.groupBy("kind", "surrogate").agg(F.min("value").alias("first"), F.count("*").alias("n")).where("n > 1")
         twice = twice.select(F.col("kind").alias("twice_kind"), F.col("surrogate").alias("twice"), "first")
         again = (F.col("first").isNotNull() & (F.col("first") != F.col("value"))) | F.col("held").isNotNull()
@@ -237,7 +243,9 @@ def with_surrogates(docs: DataFrame, key: str = KEY, name: str = "n_entities") -
     """
     text = F.col("text")
     found = F.when(F.regexp_like(text, F.lit(_HINT)), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-    marked = docs.withColumn("_found", F.coalesce(found, F.array().cast("array<string>")))
+    marked = docs.withColumn("_texts", F.coalesce(found, F.array().cast("array<string>")))
+    entities = F.transform("_texts", lambda x: F.struct(_kind(x).alias("kind"), x.alias("found")))
+    marked = marked.withColumn("_found", entities).drop("_texts")
     some = marked.where(F.size("_found") > 0)
     # Rows without an id go by their text, so that they are no hot key.
     row = F.coalesce(F.col("doc_id").cast("string"), F.md5(text.cast("binary")))
@@ -259,10 +267,14 @@ def with_surrogates(docs: DataFrame, key: str = KEY, name: str = "n_entities") -
 
 
 def _replaced(text: Column, found: Column, names: Column) -> Column:
-    def new(part: Column) -> Column:
+    def looked_up(part: Column) -> Column:
         surrogate = names[F.concat_ws(":", part["kind"], _value(part["kind"], part["value"]))]
-        return F.when(part["kind"] == "keep", part["value"]).otherwise(_written(surrogate, part["value"], part["kind"]))
+        return F.struct(part["kind"].alias("kind"), part["value"].alias("value"), surrogate.alias("surrogate"))
+
+    def new(part: Column) -> Column:
+        written = _written(part["surrogate"], part["value"], part["kind"])
+        return F.when(part["kind"] == "keep", part["value"]).otherwise(written)
 
     between = F.split(text, ENTITY, -1)
-    entities = F.transform(found, lambda x: F.array_join(F.transform(_parts(x), new), ""))
+    entities = F.transform(found, lambda x: F.array_join(F.transform(F.transform(_parts(x), looked_up), new), ""))
     return F.array_join(F.flatten(F.zip_with(between, entities, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
