@@ -37,7 +37,7 @@ BATCH = 32
 SNIPPETS = (1, 2, 4, 12)
 #: Share of right documents that the threshold may reject, and the highest threshold.
 REJECTED_SHARE = 0.001
-HIGHEST_THRESHOLD = 0.4
+HIGHEST_THRESHOLD = 0.3
 _SEGMENT = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
