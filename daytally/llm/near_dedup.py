@@ -8,6 +8,8 @@ with a probability of 0.684 ** 32, or 5 in a million.
 Documents with equal sets are one class and take part once. Within a bucket every member is a candidate with the
 bucket's first member only, so a bucket of n gives n - 1 candidates. As a star can miss a pair whose bucket has a foreign
 centre, a second pass takes other centres, in the orders of two hashes, for those members that are not yet connected.
+What stars leave over is compared exactly: small buckets that still hold several components give all their pairs, and
+the members of larger ones go through a prefix-filter join of their full sets (`_pairs`).
 Candidates whose signatures agree in less than half of their values are no links: of documents of similarity 0.75, one
 pair in ten billion. All others are confirmed on the full sets, which are made anew from the texts.
 """
@@ -35,10 +37,17 @@ BANDS = BINS // ROWS
 PERCENT = 75
 #: Further centres of each bucket, in as many orders of its members.
 ORDERS = 2
+#: Buckets of so many members give all pairs of members that stars have not connected.
+SMALL_BUCKET = 16
+#: A shingle of more sets than this is common in the prefix-filter join, and the step of this bound from level to level.
+COMMON = 64
+COMMON_STEP = 8
 #: Of BINS values two documents of similarity 0.75 agree in 96 +- 5; below this they are no candidates.
 LEAST_AGREEING = BINS // 2
 #: Ids of eight bytes that may be broadcast.
 BROADCAST_IDS = 500_000
+#: Groups of the prefix-filter join, of about 150 bytes, that may be broadcast.
+BROADCAST_GROUPS = 50_000
 _BIN_STARTS = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
 _ROW_WEIGHTS = mix(np.arange(BINS, dtype=np.uint64) + np.uint64(7)) | np.uint64(1)
 
@@ -95,6 +104,13 @@ def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         )
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        sets = [hashes.view(np.int64) for run in runs(texts) for hashes in shingle_sets(run)]
+        yield pa.array(sets, pa.list_(pa.int64()))
+
+
 @F.arrow_udf(T.IntegerType())
 def _agreeing(left: pa.Array, right: pa.Array) -> pa.Array:
     """How many of the signatures' values agree; a value is a byte of a hash."""
@@ -140,6 +156,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDER
         members = cut(members.select("bucket", "first", F.coalesce("root", "first").alias("root")))
         others = reduce(DataFrame.unionAll, [_stars(members, number) for number in range(orders)])
         labels = merged(labels, _confirmed(others, firsts, docs, percent))
+    members = members.select("bucket", "first").join(labels, F.col("first") == F.col("node"), "left")
+    members = cut(members.select("bucket", "first", F.coalesce("root", "first").alias("root")))
+    left = _left_over(members, docs, percent)
+    if left is not None:
+        labels = merged(labels, _confirmed(left, firsts, docs, percent))
     return _result(sketch, classes, labels)
 
 
@@ -157,6 +178,88 @@ def _stars(members: DataFrame, number: int) -> DataFrame:
     return edges.select(F.col("centre.first").alias("a"), F.col("first").alias("b"))
 
 
+def _left_over(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
+    """Edges (a, b) that hold every link between different components that share a bucket; None if there are no such buckets."""
+    size = F.count("*").alias("size")
+    mixed = members.groupBy("bucket").agg(size, F.min("root").alias("low"), F.max("root").alias("high"))
+    # Of a bucket of two, the star was the only pair.
+    mixed = cut(members.join(mixed.where("low < high and size > 2").select("bucket", "size"), "bucket"))
+    if mixed.isEmpty():
+        return None
+    small = mixed.where(F.col("size") <= SMALL_BUCKET).select("bucket", "first", "root")
+    other = small.toDF("bucket", "b", "root_b")
+    edges = small.join(other, "bucket").where("first < b and root <> root_b").select(F.col("first").alias("a"), "b")
+    large = cut(mixed.where(F.col("size") > SMALL_BUCKET).select("first", "root").distinct())
+    if large.isEmpty():
+        return edges
+    texts = _texts(docs, large.select(F.col("first").alias("a"), F.col("first").alias("b")))
+    # Rows that repeat an id may have several sets.
+    sets = texts.select("doc_id", _shingles("text").alias("shingles")).where(F.size("shingles") > 0)
+    sets = cut(sets.join(large, F.col("doc_id") == F.col("first")).withColumn("id", F.monotonically_increasing_id()))
+    names = sets.select("id", "first")
+    pairs = _pairs(sets.select("id", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), percent)
+    pairs = pairs.join(names.toDF("a", "first_a"), "a").join(names.toDF("b", "first_b"), "b")
+    return edges.unionAll(pairs.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))
+
+
+def _pairs(rows: DataFrame, percent: int, most: int = COMMON) -> DataFrame:
+    """From the parts of sets in `rows` (id, root, n, shingle), pairs (a, b) of ids that connect all linked sets.
+
+    A part is the set itself or what it has of certain shingles; n is the size of the set. Looked for are pairs whose parts
+    alone share enough for `percent` of the union. Sets of one root that is not null are connected already. Linked sets
+    share `percent` of n or more, called least, so of a part of m shingles the first m - least + 1 are its prefix, and the
+    prefixes of a pair share a shingle. Shingles of more than `most` parts come last in the order. A pair that shares a
+    rarer one in the prefixes is found by it. Any other pair shares common shingles only, and in both parts least or more
+    are common. Such sets are grouped by their common shingles. Two linked sets of one group are both linked with the
+    group's smallest set, and of two groups, each with the smallest of the other; what links a set links the smallest of
+    its group and root as well, if the root is not null. Pairs of groups are found in the same way, by their smallest sets, with a higher bound.
+    """
+    common = rows.groupBy("shingle").agg(F.count("*").alias("sets")).where(F.col("sets") > most)
+    common = common.select(F.col("shingle").alias("common"))
+    entry = F.struct(F.col("common").isNotNull().alias("common"), "shingle")
+    sets = rows.join(common, F.col("shingle") == F.col("common"), "left")
+    sets = sets.groupBy("id", "root", "n").agg(F.sort_array(F.collect_list(entry)).alias("all"))
+    size = F.size("all").alias("size")
+    least = F.floor((percent * F.col("n") + 99) / 100).cast("int")
+    sets = sets.where(size >= least)
+    rare = F.filter(F.slice("all", F.lit(1), size - least + 1), lambda x: ~x["common"])["shingle"]
+    often = F.filter("all", lambda x: x["common"])["shingle"]
+    sets = cut(sets.select("id", "root", "n", size, rare.alias("rare"), F.when(F.size(often) >= least, often).alias("often")))
+    apart = F.coalesce(F.col("root") != F.col("root_b"), F.lit(True))
+    enough = (100 + percent) * F.least("size", "size_b") >= percent * (F.col("n") + F.col("n_b"))
+    one = sets.select("n", "size", "root", F.col("id").alias("a"), F.explode("rare").alias("shingle"))
+    other = one.toDF("n_b", "size_b", "root_b", "b", "shingle")
+    found = one.join(other, "shingle").where((F.col("a") < F.col("b")) & enough & apart).select("a", "b").distinct()
+
+    members = sets.where("often is not null").withColumn("of", F.sha2(F.array_join("often", ","), 256))
+    first = F.min(F.struct("n", "id"))
+    alone = F.when(F.col("root").isNull(), F.col("id")).alias("alone")
+    members = cut(members.groupBy("of", "root", alone).agg(first.alias("at"), F.first("often").alias("often")))
+    # The only root of a group, if it has only one.
+    only = F.when((F.min("root") == F.max("root")) & (F.count("root") == F.count("*")), F.min("root")).alias("only")
+    groups = members.groupBy("of").agg(F.min(F.struct("at.n", "at.id", "root")).alias("centre"), only, F.first("often").alias("often"))
+    groups = cut(groups.withColumn("group", F.monotonically_increasing_id()))
+    n_groups = groups.count()
+    if not n_groups:
+        return found
+    size = F.size("often")
+    centres = groups.select(
+        "of", "group", F.col("centre.id").alias("b"), F.col("centre.n").alias("n_b"), F.col("centre.root").alias("root_b"), size.alias("size_b")
+    )
+    members = members.select("of", F.col("at.id").alias("a"), F.col("at.n").alias("n"), "root", size.alias("size"))
+    near = groups.select("group", F.col("group").alias("to"))
+    if n_groups > 1:
+        parts = groups.select(F.col("group").alias("id"), F.col("only").alias("root"), F.col("centre.n").alias("n"), F.explode("often").alias("shingle"))
+        further = cut(_pairs(parts, percent, most * COMMON_STEP)).toDF("group", "to")
+        near = near.unionAll(further).unionAll(further.select("to", "group"))
+    marked = centres.select("of", "group")
+    if n_groups <= BROADCAST_GROUPS:
+        centres, marked = F.broadcast(centres), F.broadcast(marked)
+    tops = near.join(centres.drop("of").withColumnRenamed("group", "to"), "to").drop("to")
+    pairs = members.join(marked, "of").join(tops, "group").where((F.col("a") != F.col("b")) & apart & enough)
+    return found.unionAll(pairs.select("a", "b"))
+
+
 def _confirmed(edges: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The edges that are links. Sizes and signatures rule out most of the others before any text is moved."""
     sketch = firsts.select("first", "n", "signature")

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from daytally.llm.components import components
-from daytally.llm.near_dedup import BANDS, band_keys, bin_values, near_duplicates, without_near_duplicates
+from daytally.llm.near_dedup import BANDS, _pairs, band_keys, bin_values, near_duplicates, without_near_duplicates
 from daytally.llm.shingles import shingle_sets
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -70,6 +70,48 @@ def test_agrees_with_brute_force(spark, rows):
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
+def test_near_copies_in_hot_buckets_of_foreign_documents(spark):
+    """A shared passage fills every bucket with documents that are no near copies of anything."""
+    rng = random.Random(8)
+    notice = [f"n{i}" for i in range(400)]
+    own = lambda n: [f"o{rng.randrange(10**9)}" for _ in range(n)]
+    rows = [(i, " ".join(notice + own(150))) for i in range(3000)]
+    rows += [(10_000 + i, " ".join(notice + own(25))) for i in range(10)]
+    # Another passage, of which each document of one family lacks another word.
+    other = [f"p{i}" for i in range(400)]
+    rows += [(20_000 + i, " ".join(other + own(150))) for i in range(1000)]
+    rows += [(30_000 + i, " ".join([*other[: 40 * i], "x", *other[40 * i + 1 :], *own(30)])) for i in range(8)]
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    of = {r.doc_id: r.component_id for r in got}
+    assert {of[10_000 + i] for i in range(10)} == {10_000}
+    assert {of[30_000 + i] for i in range(8)} == {30_000}
+    assert all(of[i] == i for i in of if i < 10_000 or 20_000 <= i < 30_000)
+
+
+def test_pairs_of_prefix_join_connect_all_links(spark):
+    rng = random.Random(3)
+    parts = [list(range(100 * k, 100 * k + 60)) for k in range(3)]
+    sets = []
+    for i in range(300):
+        base = [x for x in rng.choice(parts) if rng.random() > rng.choice([0, 0, 0.03, 0.1])]
+        sets.append({*base, *(10_000 + 100 * i + k for k in range(rng.choice([0, 3, 8, 14, 18, 25])))})
+    rows = [(i, None, len(s), x) for i, s in enumerate(sets) for x in s]
+    for most in (2, 20):
+        pairs = _pairs(spark.createDataFrame(rows, "id long, root long, n int, shingle long"), 75, most).collect()
+        root = list(range(len(sets)))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+        for a, b in pairs:
+            if linked(a, b):
+                root[find(a)] = find(b)
+        assert all(find(a) == find(b) for a in range(len(sets)) for b in range(a) if linked(a, b))
+
+
 def test_one_large_group(spark):
     rng = random.Random(1)
     base = [f"w{i}" for i in range(120)]
