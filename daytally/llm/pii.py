@@ -62,7 +62,8 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What a text with an entity holds at least; cheaper than the patterns.
-_HINT = rf"[0-9@]|(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_NEUTRAL})\.? \p{{Lu}}"
+_HEADS = r"AKIA|sk-|gh[pousr]_|[a-fA-F]{32}"
+_HINT = rf"[0-9@]|(?<![\p{{L}}\p{{N}}])(?:{_HEADS}|(?:{_MALE}|{_FEMALE}|{_NEUTRAL})\.? \p{{Lu}})"
 
 
 def _part(kind: Column | str, value: Column) -> Column:

@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from daytally.llm.pii import surrogates, with_surrogates
+from daytally.llm.pii import _HINT, PATTERNS, surrogates, with_surrogates
 
 SCHEMA = "doc_id long, text string"
 
@@ -48,6 +48,20 @@ def test_clean_texts_stay(spark):
     assert replaced(spark, texts) == texts
 
 
+def test_every_entity_satisfies_the_hint(spark):
+    """Also those without a digit, which are told by their heads."""
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ"
+    secrets = ["AKIA" + "ABCDEFGHIJKLMNOP", "sk-" + letters[:20], *(f"gh{c}_{letters}" for c in "pousr"), "abcdef" * 6, "ABCDEF" * 6]
+    others = ["a.b@mail.example.com", "9.8.7.6", "+1 (974) 555-3436", "974-555-3436", "123-45-6789", "DE89 3704 0044 0532 0130 00"]
+    others += ["4111 1111 1111 1111", "Mr. Smith", "Dr Smith", "Госпожа Иванова", "ab" * 15 + "12"]
+    frame = spark.createDataFrame([(x,) for x in secrets + others], "text string")
+    kinds = [F.regexp_like("text", F.lit(f"^(?:{p})$")).alias(k) for k, p in PATTERNS.items()]
+    for r in frame.select("text", F.regexp_like("text", F.lit(_HINT)).alias("hint"), *kinds).collect():
+        assert r.hint and any(r[k] for k in PATTERNS), r.text
+    texts = replaced(spark, [f"key {x} end" for x in secrets])
+    assert all(x not in t for x, t in zip(secrets, texts, strict=True))
+
+
 def test_distinct_values_get_distinct_surrogates_that_no_value_has(spark):
     values = [("local", x) for x in "abcdefghijklmnopqrstuvwxyz"] + [("phone", f"{i:02}") for i in range(100)]
     values += [("ip", f"10.0.{i // 256}.{i % 256}") for i in range(600)] + [("given_f", f"name{i}") for i in range(300)]
