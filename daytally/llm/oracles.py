@@ -89,6 +89,33 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS comp
 FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 """.replace("{word}", r"[^\x20\x09-\x0D]+")
 
+# Products of doubles are exact here, as all scores are below 2 ** 53.
+_VECTOR_SEARCH = """
+WITH vectors AS (SELECT vec_id, row_number() OVER () AS place, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)) AS x
+    FROM (SELECT * FROM embeddings WHERE len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)),
+scored AS (SELECT q.vec_id AS query_id, q.place, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+    FROM vectors AS q JOIN vectors AS c ON q.place <> c.place WHERE q.vec_id % 100 = 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM numbered WHERE rank <= 10
+"""
+
+_LEXICAL_SEARCH = f"""
+WITH docs AS (SELECT row_number() OVER () AS place, doc_id, regexp_extract_all({_LOWERED}, '{{term}}') AS w FROM documents),
+counted AS (SELECT place, doc_id, w, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+whole AS (SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM counted),
+items AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all({_LOWERED}, '{{term}}') AS w FROM benchmark),
+wanted AS (SELECT DISTINCT item, item_id, term FROM (SELECT item, item_id, unnest(w) AS term FROM items)),
+postings AS (SELECT place, doc_id, n, term, count(*)::BIGINT AS tf
+    FROM (SELECT place, doc_id, n, unnest(w) AS term FROM counted) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM postings, whole GROUP BY term, all_docs),
+scored AS (SELECT item, item_id, place, doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * all_docs) // all_terms))))::BIGINT AS score
+    FROM wanted JOIN postings USING (term) JOIN weights USING (term), whole GROUP BY ALL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM numbered WHERE rank <= 10
+""".replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
 
 def oracles() -> dict[str, str]:
     return {
@@ -97,4 +124,6 @@ def oracles() -> dict[str, str]:
         "op7_mixing": _MIXING,
         "op8_decontaminate": _DECONTAMINATE,
         "op9_near_dedup": _NEAR_DEDUP,
+        "op11_vector_search": _VECTOR_SEARCH,
+        "op12_lexical_search": _LEXICAL_SEARCH,
     }

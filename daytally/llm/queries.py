@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import decontaminate, exact_dedup, html_extract, language, mixing, near_dedup, pii, quality, token_count, warc
+from daytally.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    language,
+    lexical_search,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    token_count,
+    vector_search,
+    warc,
+    whitening,
+)
 from daytally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +76,18 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
 
+def _vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def _lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
@@ -74,4 +100,7 @@ def queries() -> dict[str, Query]:
         "op8_decontaminate": _decontaminate,
         "op9_near_dedup": _near_dedup,
         "op10_html_extract": _html_extract,
+        "op11_vector_search": _vector_search,
+        "op12_lexical_search": _lexical_search,
+        "op13_whitening": _whitening,
     }
