@@ -6,8 +6,9 @@ up: the shift table says how far the window may move without missing a pattern;
 block and of the window's first bytes selects a few patterns, and these are compared byte by byte. The text is cut into
 overlapping stretches whose windows move in step, one array operation moving all of them.
 
-The benchmark is a stated query set. Its tables are broadcast in blocks of at most about `block_bytes` bytes of windows;
-a larger benchmark takes one pass over the documents per block, cut by a checkpoint.
+The benchmark is a stated query set. Its distinct windows are numbered and broadcast in blocks of at most about
+`block_bytes` bytes; a larger benchmark takes one pass over the documents per block, cut by a checkpoint. Which items a
+window stands in is a table: a line that many items share is sent once, and numbers found are joined with their items.
 """
 
 from __future__ import annotations
@@ -100,15 +101,15 @@ class Searcher:
 
     _LENGTHS = (8, 24, 48)
 
-    def __init__(self, items_by_pattern: dict[bytes, list[str]]) -> None:
+    def __init__(self, numbers: dict[bytes, int]) -> None:
         by_length: dict[int, list[bytes]] = {}
-        for pattern in sorted(items_by_pattern):
+        for pattern in sorted(numbers):
             by_length.setdefault(sum(len(pattern) >= n for n in self._LENGTHS), []).append(pattern)
         self.parts = [_Searcher(patterns) for patterns in by_length.values()]
-        self.items = items_by_pattern
+        self.numbers = numbers
 
-    def search(self, docs: list[list[bytes]]) -> Iterator[tuple[int, int, int, list[str]]]:
-        """Document number, first word, word after the last, items of every occurrence."""
+    def search(self, docs: list[list[bytes]]) -> Iterator[tuple[int, int, int, int]]:
+        """Document number, first word, word after the last, window number of every occurrence."""
         texts = [b" %b \n" % b" ".join(doc) for doc in docs]
         ends = np.cumsum([len(t) for t in texts])
         joined = b"".join(texts) + b"\n" * 8
@@ -121,18 +122,18 @@ class Searcher:
                     blanks[doc] = np.flatnonzero(np.frombuffer(texts[doc], np.uint8) == 32)
                 first = int(np.searchsorted(blanks[doc], at - begin))
                 pattern = part.patterns[number]
-                yield doc, first, first + pattern.count(b" ") - 1, self.items[pattern]
+                yield doc, first, first + pattern.count(b" ") - 1, self.numbers[pattern]
 
 
 _FOUND = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
         T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))),
-        T.StructField("items", T.ArrayType(T.StringType())),
+        T.StructField("windows", T.ArrayType(T.LongType())),
     ]
 )
 _FOUND_ARROW = pa.struct(
-    [("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string()))]
+    [("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int32()))), ("windows", pa.list_(pa.int64()))]
 )
 
 
@@ -146,13 +147,13 @@ def _search_udf(tables):
             out = []
             for run in runs(texts):
                 docs = [words(t) for t in run.cast(pa.binary()).to_pylist()]
-                spans, items = [set() for _ in docs], [set() for _ in docs]
-                for doc, first, end, names in searcher.search(docs):
+                spans, met = [set() for _ in docs], [set() for _ in docs]
+                for doc, first, end, number in searcher.search(docs):
                     spans[doc].add((first, end))
-                    items[doc].update(names)
+                    met[doc].add(number)
                 out += [
-                    {"n_words": len(d), "spans": _joined(s), "items": sorted(i)}
-                    for d, s, i in zip(docs, spans, items, strict=True)
+                    {"n_words": len(d), "spans": _joined(s), "windows": sorted(m)}
+                    for d, s, m in zip(docs, spans, met, strict=True)
                 ]
             yield pa.array(out, _FOUND_ARROW)
 
@@ -169,44 +170,47 @@ def _joined(spans: set[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> Iterator[dict[bytes, list[str]]]:
-    """The items of every window, in blocks of a bounded size."""
+def numbered_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> tuple[DataFrame, DataFrame]:
+    """The distinct windows (number, pattern), and the items that each stands in (number, item)."""
 
     @F.arrow_udf(T.ArrayType(T.BinaryType()))
     def item_windows(texts: pa.Array) -> pa.Array:
         return pa.array([windows(words(t), size) for t in texts.cast(pa.binary()).to_pylist()], pa.list_(pa.binary()))
 
-    rows = cut(
-        benchmark.select(
-            F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-            F.explode(item_windows(F.col("text"))).alias("pattern"),
-        ).distinct()
-    )
-    total = rows.agg(F.sum(F.length("pattern") + F.length("item") + 16)).first()[0] or 0
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item")
+    rows = cut(benchmark.select(item, F.explode(item_windows(F.col("text"))).alias("pattern")).distinct())
+    numbered = cut(rows.select("pattern").distinct().select(F.monotonically_increasing_id().alias("number"), "pattern"))
+    return numbered, rows.join(numbered, "pattern").select("number", "item")
+
+
+def _blocks(numbered: DataFrame, block_bytes: int) -> Iterator[dict[bytes, int]]:
+    """Windows and their numbers, in blocks of a bounded size: each window is in one block, once."""
+    total = numbered.agg(F.sum(F.length("pattern") + 16)).first()[0] or 0
     n = -(-total // block_bytes)
     for k in range(n):
-        items: dict[bytes, list[str]] = {}
-        for row in rows.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == k).toLocalIterator():
-            items.setdefault(bytes(row.pattern), []).append(row.item)
-        if items:
-            yield items
+        rows = numbered.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == k).collect()
+        if rows:
+            yield {bytes(row.pattern): row.number for row in rows}
 
 
 def with_leaks(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES, name: str = "leaks"
 ) -> DataFrame:
-    """Add column `name`, a struct of n_words, spans (word ranges that occurrences cover) and items (ids as text).
+    """Add column `name`, a struct of n_words, spans (word ranges that occurrences cover) and windows (numbers of those met).
 
     - A null or empty text has no words and no leaks; texts of any length are searched as a whole.
     - An item without words is in no document; an item of fewer than `size` words is searched for as a whole.
-    - Items that repeat an id are one item. Items without an id are one too, with the id ''.
     - Empty tables give no leaks or no rows. All other columns pass through; one called `name` is replaced.
     """
+    return _searched(docs, numbered_windows(benchmark, size)[0], block_bytes, name)
+
+
+def _searched(docs: DataFrame, numbered: DataFrame, block_bytes: int, name: str) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     found = None
-    for items in _blocks(benchmark, size, block_bytes):
-        here = _search_udf(spark.sparkContext.broadcast(items))(F.col("text"))
+    for numbers in _blocks(numbered, block_bytes):
+        here = _search_udf(spark.sparkContext.broadcast(numbers))(F.col("text"))
         if found is None:
             docs, found = docs.withColumn(name, here), True
             continue
@@ -214,7 +218,7 @@ def with_leaks(
         merged = F.struct(
             F.col("_here.n_words").alias("n_words"),
             F.concat(f"{name}.spans", "_here.spans").alias("spans"),
-            F.array_sort(F.array_union(f"{name}.items", "_here.items")).alias("items"),
+            F.concat(f"{name}.windows", "_here.windows").alias("windows"),
         )
         docs = cut(both.withColumn(name, merged).drop("_here"))
     if found is None:
@@ -233,17 +237,33 @@ def n_hit(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, add)["n"]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (see `with_leaks`)."""
-    leaks = with_leaks(docs.select("doc_id", "text"), benchmark, **how)
-    hit = n_hit(F.col("leaks.spans"))
-    return leaks.select(
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (see `with_leaks`).
+
+    Items that repeat an id are one item. Items without an id are one too, with the id ''.
+    """
+    numbered, items = numbered_windows(benchmark, size)
+    leaks = _searched(docs.select("doc_id", "text"), numbered, block_bytes, "leaks")
+    leaks = cut(
+        leaks.select("doc_id", "leaks.n_words", n_hit(F.col("leaks.spans")).alias("n_hit"), F.col("leaks.windows").alias("met"))
+    )
+    # Documents that have met the same windows have the same items.
+    kinds = leaks.where("n_hit > 0").select("met").distinct()
+    ids = kinds.select("met", F.explode("met").alias("number")).join(items, "number").groupBy("met")
+    ids = ids.agg(F.array_sort(F.collect_set("item")).alias("ids")).select(F.col("met").alias("of"), "ids")
+    # Documents without a hit are most of all, and would be one key.
+    hit = leaks.where("n_hit > 0").join(ids, F.col("met") == F.col("of"))
+    clean = leaks.where("n_hit = 0").withColumn("ids", F.array().cast("array<string>"))
+    columns = ["doc_id", "n_words", "n_hit", "ids"]
+    return hit.select(columns).unionAll(clean.select(columns)).select(
         "doc_id",
-        "leaks.n_words",
-        hit.alias("n_hit"),
-        F.size("leaks.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("leaks.items", ",").cast("binary"), 256).alias("items_sha256"),
-        (hit > 0).alias("contaminated"),
+        "n_words",
+        "n_hit",
+        F.size("ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 

@@ -5,6 +5,7 @@ import string
 
 import pytest
 
+from daytally.llm import decontaminate
 from daytally.llm.decontaminate import Searcher, contamination, windows, with_leaks, without_leaks, words
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -61,11 +62,23 @@ def test_agrees_with_brute_force(spark, tables, block_bytes):
 
 
 def test_searcher_finds_overlaps_at_every_place():
-    patterns = {b" a b ": ["1"], b" b a b ": ["2"], b" abcdefgh ijkl mnop qrst uvwx ": ["3"], b" x ": ["4"]}
+    patterns = {b" a b ": 1, b" b a b ": 2, b" abcdefgh ijkl mnop qrst uvwx ": 3, b" x ": 4}
     docs = [words(b"a b a b x"), words(b"abcdefgh ijkl mnop qrst uvwx" * 1), [], words(b"x " * 5000)]
-    got = {(d, a, b, n[0]) for d, a, b, n in Searcher(patterns).search(docs)}
-    want = {(0, 0, 2, "1"), (0, 2, 4, "1"), (0, 1, 4, "2"), (0, 4, 5, "4"), (1, 0, 5, "3")}
-    assert got == want | {(3, i, i + 1, "4") for i in range(5000)}
+    got = set(Searcher(patterns).search(docs))
+    want = {(0, 0, 2, 1), (0, 2, 4, 1), (0, 1, 4, 2), (0, 4, 5, 4), (1, 0, 5, 3)}
+    assert got == want | {(3, i, i + 1, 4) for i in range(5000)}
+
+
+def test_a_line_of_all_items_is_sent_once(spark, monkeypatch):
+    line = "please answer the following question with one of these letters only"
+    items = [(i, f"{line} own{i}") for i in range(300)]
+    docs = [(1, line), (2, f"x {line} own7 y"), (3, "clean")]
+    sent = []
+    blocks = decontaminate._blocks
+    monkeypatch.setattr(decontaminate, "_blocks", lambda *a: (sent.append(b) or b for b in blocks(*a)))
+    got = contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(docs, items)
+    assert len(sent) == 1 and sum(b" own" in p for p in sent[0]) == 300 and len(sent[0]) == 302
 
 
 def test_windows_of_short_items():
