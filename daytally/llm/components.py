@@ -2,47 +2,69 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daytally.llm.common import cut
 
+#: Edges, of two numbers each, that one task may hold.
+FEW_EDGES = 500_000
+
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """From edges (a, b), one row per node: node and root, the smallest node that it is connected with.
 
-    Each round gives every node its smallest neighbour as a parent, follows the parents to their ends, and contracts the
-    edges to what still connects different ends. Loops and repeated edges do no harm; without edges there are no nodes.
+    Up to `few` distinct edges are followed in one task. More of them take rounds: each gives every node its smallest
+    neighbour as a parent, follows the parents to their ends, and contracts the edges to what still connects different
+    ends. Loops and repeated edges do no harm; without edges there are no nodes.
     """
     edges = cut(_between(edges))
     labels = None
-    while not edges.isEmpty():
-        both = edges.union(edges.select("b", "a")).toDF("node", "other")
-        ends = both.groupBy("node").agg(F.min("other").alias("root"))
-        ends = _followed(cut(ends.select("node", F.least("node", "root").alias("root"))))
+    while left := edges.count():
+        if left <= few:
+            ends = _in_one_task(edges)
+        else:
+            both = edges.union(edges.select("b", "a")).toDF("node", "other")
+            ends = both.groupBy("node").agg(F.min("other").alias("root"))
+            ends = _followed(cut(ends.select("node", F.least("node", "root").alias("root"))))
         step = ends.select(F.col("node").alias("at"), F.col("root").alias("to"))
         if labels is None:
             labels = ends
         else:
             moved = labels.join(step, F.col("root") == F.col("at"), "left")
             labels = cut(moved.select("node", F.coalesce("to", "root").alias("root")))
+        if left <= few:
+            break
         edges = edges.join(step, F.col("a") == F.col("at")).select(F.col("to").alias("a"), "b")
         edges = cut(_between(edges.join(step, F.col("b") == F.col("at")).select("a", F.col("to").alias("b"))))
     return edges.toDF("node", "root") if labels is None else labels
 
 
-def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Labels as of `components`, with more edges (a, b), whose nodes need not be labelled yet."""
-    if edges.isEmpty():
-        return labels
-    known = labels.select(F.col("node").alias("at"), F.col("root").alias("to"))
-    roots = edges.join(known, F.col("a") == F.col("at"), "left").select(F.coalesce("to", "a").alias("a"), "b")
-    roots = roots.join(known, F.col("b") == F.col("at"), "left").select("a", F.coalesce("to", "b").alias("b"))
-    joined = cut(components(roots).select(F.col("node").alias("at"), F.col("root").alias("to")))
-    # A root that was no node before is one now.
-    moved = labels.join(joined, F.col("root") == F.col("at"), "left").select("node", F.coalesce("to", "root").alias("root"))
-    fresh = joined.join(labels, F.col("at") == F.col("node"), "left_anti").select("at", "to").toDF("node", "root")
-    return cut(moved.unionAll(fresh))
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    kind = edges.schema["a"].dataType.simpleString()
+
+    def rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches(batches).combine_chunks() if (batches := list(batches)) else None
+        if held is None or not len(held):
+            return
+        ends = [held.column(name).to_numpy() for name in ("a", "b")]
+        nodes, at = np.unique(np.concatenate(ends), return_inverse=True)
+        a, b = at[: len(held)], at[len(held) :]
+        root = np.arange(len(nodes))
+        while len(a):
+            np.minimum.at(root, np.maximum(root[a], root[b]), np.minimum(root[a], root[b]))
+            while (further := root[root]).tobytes() != root.tobytes():
+                root = further
+            apart = root[a] != root[b]
+            a, b = a[apart], b[apart]
+        like = held.column("a").type
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, like), pa.array(nodes[root], like)], names=["node", "root"])
+
+    return cut(edges.repartition(1).mapInArrow(rooted, f"node {kind}, root {kind}"))
 
 
 def _between(edges: DataFrame) -> DataFrame:

@@ -7,9 +7,8 @@ with a probability of 0.684 ** 32, or 5 in a million.
 
 Documents with equal sets are one class and take part once. Within a bucket every member is a candidate with the
 bucket's first member only, so a bucket of n gives n - 1 candidates. As a star can miss a pair whose bucket has a foreign
-centre, a second pass takes other centres, in the orders of two hashes, for those members that are not yet connected.
-What stars leave over is compared exactly: small buckets that still hold several components give all their pairs, and
-the members of larger ones go through a prefix-filter join of their full sets (`_pairs`).
+centre, what stars leave over is compared exactly: small buckets that still hold several components give all their pairs,
+and the members of larger ones go through a prefix-filter join of their full sets (`_pairs`).
 Candidates whose signatures agree in less than half of their values are no links: of documents of similarity 0.75, one
 pair in ten billion. All others are confirmed on the full sets, which are made anew from the texts.
 """
@@ -18,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.llm.common import bounded_batches, cut, runs
-from daytally.llm.components import components, merged
+from daytally.llm.components import components
 from daytally.llm.shingles import SHINGLE_WORDS, mix, shingle_sets, similar
 
 BIN_BITS = 7
@@ -35,8 +33,6 @@ BINS = 1 << BIN_BITS
 ROWS = 4
 BANDS = BINS // ROWS
 PERCENT = 75
-#: Further centres of each bucket, in as many orders of its members.
-ORDERS = 2
 #: Buckets of so many members give all pairs of members that stars have not connected.
 SMALL_BUCKET = 16
 #: A shingle of more sets than this is common in the prefix-filter join, and the step of this bound from level to level.
@@ -131,7 +127,7 @@ def _linked(percent: int):
     return linked
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     A set holds the distinct runs of five words; with fewer words, the whole sequence. Documents are linked if their
@@ -150,17 +146,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDER
     firsts = classes.where("first is not null")
     members = cut(_shared(firsts.select("first", F.explode("bands").alias("bucket"))))
     stars = members.select(F.col("centre").alias("a"), F.col("first").alias("b"))
-    labels = components(_confirmed(stars, firsts, docs, percent))
-    if orders:
-        members = members.join(labels, F.col("first") == F.col("node"), "left")
-        members = cut(members.select("bucket", "first", F.coalesce("root", "first").alias("root")))
-        others = reduce(DataFrame.unionAll, [_stars(members, number) for number in range(orders)])
-        labels = merged(labels, _confirmed(others, firsts, docs, percent))
+    links = _confirmed(stars, firsts, docs, percent)
+    labels = components(links)
     members = members.select("bucket", "first").join(labels, F.col("first") == F.col("node"), "left")
-    members = cut(members.select("bucket", "first", F.coalesce("root", "first").alias("root")))
+    members = members.select("bucket", "first", F.coalesce("root", "first").alias("root"))
     left = _left_over(members, docs, percent)
     if left is not None:
-        labels = merged(labels, _confirmed(left, firsts, docs, percent))
+        labels = components(links.unionAll(_confirmed(left, firsts, docs, percent)))
     return _result(sketch, classes, labels)
 
 
@@ -170,29 +162,23 @@ def _shared(members: DataFrame) -> DataFrame:
     return members.join(centres.where("centre < last").drop("last"), "bucket")
 
 
-def _stars(members: DataFrame, number: int) -> DataFrame:
-    """Edges (a, b) of other stars of the buckets, between different components."""
-    order = F.xxhash64("first", "bucket", F.lit(number)).alias("order")
-    stars = members.groupBy("bucket").agg(F.min(F.struct(order, "first", "root")).alias("centre"))
-    edges = members.join(stars, "bucket").where("root <> centre.root")
-    return edges.select(F.col("centre.first").alias("a"), F.col("first").alias("b"))
-
-
 def _left_over(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
     """Edges (a, b) that hold every link between different components that share a bucket; None if there are no such buckets."""
+    members = cut(members)
     size = F.count("*").alias("size")
     mixed = members.groupBy("bucket").agg(size, F.min("root").alias("low"), F.max("root").alias("high"))
     # Of a bucket of two, the star was the only pair.
     mixed = cut(members.join(mixed.where("low < high and size > 2").select("bucket", "size"), "bucket"))
-    if mixed.isEmpty():
+    n_mixed, n_large = mixed.agg(F.count("*"), F.count_if(F.col("size") > SMALL_BUCKET)).first()
+    if not n_mixed:
         return None
     small = mixed.where(F.col("size") <= SMALL_BUCKET).select("bucket", "first", "root")
     other = small.toDF("bucket", "b", "root_b")
     edges = small.join(other, "bucket").where("first < b and root <> root_b").select(F.col("first").alias("a"), "b")
-    large = cut(mixed.where(F.col("size") > SMALL_BUCKET).select("first", "root").distinct())
-    if large.isEmpty():
+    if not n_large:
         return edges
-    texts = _texts(docs, large.select(F.col("first").alias("a"), F.col("first").alias("b")))
+    large = cut(mixed.where(F.col("size") > SMALL_BUCKET).select("first", "root").distinct())
+    texts = _texts(docs, large.select(F.col("first").alias("id")), large.count())
     # Rows that repeat an id may have several sets.
     sets = texts.select("doc_id", _shingles("text").alias("shingles")).where(F.size("shingles") > 0)
     sets = cut(sets.join(large, F.col("doc_id") == F.col("first")).withColumn("id", F.monotonically_increasing_id()))
@@ -269,17 +255,14 @@ def _confirmed(edges: DataFrame, firsts: DataFrame, docs: DataFrame, percent: in
     edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     likely = edges.join(left, "a").join(right, "b").where(close)
     likely = cut(likely.where(_agreeing("signature_a", "signature_b") >= LEAST_AGREEING).select("a", "b"))
-    if likely.isEmpty():
-        return likely
-    texts = _texts(docs, likely)
+    texts = _texts(docs, likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * likely.count())
     pairs = likely.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return cut(pairs.where(_linked(percent)("text_a", "text_b")).select("a", "b").distinct())
 
 
-def _texts(docs: DataFrame, edges: DataFrame) -> DataFrame:
-    """The rows of `docs` that are in an edge; few ids are broadcast, so that only these texts are moved."""
-    ids = cut(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    if ids.count() <= BROADCAST_IDS:
+def _texts(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """The rows of `docs` with one of `ids`, at most `most`; few ids are broadcast, so that only these texts are moved."""
+    if most <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return docs.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
 

@@ -165,4 +165,8 @@ def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 200), (139, 300), (300, 139)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in [*range(100, 140), 300]}
+    few = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), few=5).collect()}
+    assert few == got
+    names = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y")], "a string, b string")
+    assert {tuple(r) for r in components(names).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
