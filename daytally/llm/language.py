@@ -3,10 +3,13 @@
 A text is lower-cased, everything in ASCII that is no letter becomes a blank, and the runs of 2 to 4 bytes that hold a
 blank at an end at most are hashed into BUCKETS embeddings. Their average goes through a linear layer and a softmax.
 
-The classifier is fitted on the driver to a sample of at most about SAMPLE_DOCS labelled documents, spread evenly over
-the languages; what is collected of a document is its histogram of buckets, which does not grow with the text. A fifth of
-the sample is kept from training, to find the temperature that makes the score a probability, and the score below which
-a text is rejected. Everything else covers all rows.
+The classifier is fitted on the driver to a sample of about SAMPLE_DOCS labelled documents, spread evenly over the
+MOST_LANGUAGES most frequent languages, or LEAST_PER_LANGUAGE of each if that is more; what is collected of a document is
+its histogram of buckets, which does not grow with the text. A fifth of the sample is kept from training, and calibrates
+what is read off the model: the temperature that makes the score a probability, and two limits beyond which a text is
+rejected. One is on the score. As a softmax only tells learned languages from each other, the other is on how far the
+mean log-probability of the text's subwords, by their shares in the language's training texts, lies below that of the
+language itself. Everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from daytally.llm.common import bounded_batches, runs
 UNKNOWN = "und"
 SAMPLE_DOCS = 1500
 LEAST_PER_LANGUAGE = 20
+MOST_LANGUAGES = 100
 SIZES = (2, 3, 4)
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -35,9 +39,11 @@ RATE = 0.5
 BATCH = 32
 #: Words of the short training texts that are cut from each sampled document.
 SNIPPETS = (1, 2, 4, 12)
-#: Share of right documents that the threshold may reject, and the highest threshold.
+#: Share of right texts that calibration may reject, and how much further the limit on subwords goes, as the texts are few.
 REJECTED_SHARE = 0.001
-HIGHEST_THRESHOLD = 0.3
+MARGIN = 1.25
+#: Share of a language's subwords that is spread over all buckets.
+UNSEEN = 0.05
 _SEGMENT = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -99,24 +105,38 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
-    threshold: float
+    logs: np.ndarray
+    """Of each bucket and language, the log of its share, less the language's mean."""
+    least_score: float
+    most_strange: float
 
-    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of the best language and its probability, for texts that have letters."""
+    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the best language, its probability, and how strange the subwords are to it, for texts that have letters."""
         parts = [(i, part) for i, text in enumerate(texts) for part in _segments(_bytes(text))]
         of = np.array([i for i, _ in parts])
         starts = np.cumsum([0] + [len(p) for _, p in parts])
         sums, counts = np.zeros((len(texts), self.table.shape[1])), np.zeros(len(texts))
+        held = []
         for at, buckets in _subwords(np.frombuffer(b"".join(p for _, p in parts), np.uint8)):
             bounds = np.searchsorted(at, starts)
             here = np.flatnonzero(np.diff(bounds))
             np.add.at(counts, of, np.diff(bounds))
             for k in range(self.table.shape[1]):
                 np.add.at(sums[:, k], of[here], np.add.reduceat(self.table[:, k][buckets], bounds[here]))
+            held.append((buckets, bounds, here))
         scores = sums / np.maximum(counts, 1)[:, None] @ self.weights + self.bias
         shares = _softmax(scores / self.temperature)
         best = shares.argmax(axis=1)
-        return best, shares[np.arange(len(texts)), best]
+        logs, n = np.zeros(len(texts)), self.logs.shape[1]
+        for buckets, bounds, here in held:
+            if len(here):
+                column = np.repeat(best[of], np.diff(bounds))
+                np.add.at(logs, of[here], np.add.reduceat(self.logs.ravel()[buckets * n + column], bounds[here]))
+        return best, shares[np.arange(len(texts)), best], -logs / np.maximum(counts, 1)
+
+    def told(self, score, strange):
+        """Whether a language is told: numbers, arrays or columns."""
+        return (score >= self.least_score) & (strange <= self.most_strange)
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -139,11 +159,26 @@ class _Rows:
         return self.buckets[at], self.shares[at], begins
 
 
+def _logs(rows: _Rows, right: np.ndarray, learn: np.ndarray, n: int) -> np.ndarray:
+    """Log shares of the buckets in the whole texts of each language, less their mean over its texts."""
+    logs = np.zeros((BUCKETS, n), np.float32)
+    for k in range(n):
+        own = learn[right[learn] == k]
+        share = np.zeros(BUCKETS)
+        if len(own):
+            buckets, shares, _ = rows.take(own)
+            np.add.at(share, buckets, shares)
+            share /= share.sum()
+        log = np.log((1 - UNSEEN) * share + UNSEEN / BUCKETS)
+        logs[:, k] = log - share @ log
+    return logs
+
+
 def train(histograms: list, labels: list[str], whole: list[bool], apart: list[bool], seed: int = 7) -> Model:
-    """Fit to rows that are not `apart`; temperature and threshold come from those that are, or all if there are none."""
+    """Fit to rows that are not `apart`; temperature and limits come from those that are, or all if there are none."""
     languages = sorted(set(labels))
     if not languages:
-        return Model([], np.zeros((BUCKETS, 1)), np.zeros((1, 1)), np.zeros(1), 1.0, 0.0)
+        return Model([], np.zeros((BUCKETS, 1)), np.zeros((1, 1)), np.zeros(1), 1.0, np.zeros((BUCKETS, 1)), 0.0, np.inf)
     rows, right = _Rows(histograms), np.array([languages.index(x) for x in labels])
     whole, apart = np.array(whole), np.array(apart)
     if apart.all() or not apart.any():
@@ -181,11 +216,24 @@ def train(histograms: list, labels: list[str], whole: list[bool], apart: list[bo
         np.geomspace(0.05, 20, 121), key=lambda t: -np.log(_softmax(scores / t)[np.arange(len(check)), right[check]] + 1e-12).mean()
     )
     shares = _softmax(scores / temperature)
-    sure = shares.max(axis=1)[whole[check] & (shares.argmax(axis=1) == right[check])]
-    threshold = min(HIGHEST_THRESHOLD, float(np.quantile(sure, REJECTED_SHARE))) if len(sure) else 0.0
+    logs = _logs(rows, right, learn[whole[learn]] if whole[learn].any() else learn, len(languages))
+    strange = np.concatenate([_strange(rows, logs, check[k : k + 64], right) for k in range(0, len(check), 64)])
+    fine = shares.argmax(axis=1) == right[check]
+    limits = (0.0, np.inf)
+    if fine.any():
+        limits = (
+            float(np.quantile(shares.max(axis=1)[fine], REJECTED_SHARE)),
+            MARGIN * max(0.0, float(np.quantile(strange[fine], 1 - REJECTED_SHARE))),
+        )
     if len(languages) <= DIMENSIONS:
-        return Model(languages, embeddings @ weights, np.eye(len(languages)), bias, float(temperature), threshold)
-    return Model(languages, embeddings, weights, bias, float(temperature), threshold)
+        return Model(languages, embeddings @ weights, np.eye(len(languages)), bias, float(temperature), logs, *limits)
+    return Model(languages, embeddings, weights, bias, float(temperature), logs, *limits)
+
+
+def _strange(rows: _Rows, logs: np.ndarray, batch: np.ndarray, right: np.ndarray) -> np.ndarray:
+    buckets, shares, begins = rows.take(batch)
+    own = np.repeat(right[batch], np.diff(np.append(begins, len(buckets))))
+    return -np.add.reduceat(logs[buckets, own] * shares, begins)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -224,7 +272,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """Learn from text and lang of a bounded sample of the rows of `docs` that have a doc_id, lang and letters."""
     bounded_batches(docs.sparkSession)
     docs = docs.select("doc_id", "lang", "text").where("doc_id is not null and lang is not null and text is not null")
-    counts = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    counts = {r.lang: r.n for r in counts.collect()}
     each = max(LEAST_PER_LANGUAGE, sample_docs // max(len(counts), 1))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     if not counts:
@@ -243,11 +292,14 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     return train(histograms, labels, whole, apart)
 
 
-_GUESS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
+_GUESS = T.StructType(
+    [T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("strange", T.DoubleType())]
+)
 
 
 def guess(docs: DataFrame, model: Model, text: str = "text") -> Column:
-    """A struct column with the best language and its probability; `und` with 0 where no text has letters."""
+    """A struct column with the best language, its probability, and how strange the text is to it; `und`, 0 and 0 where no
+    text has letters."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     bounded_batches(docs.sparkSession)
 
@@ -255,16 +307,16 @@ def guess(docs: DataFrame, model: Model, text: str = "text") -> Column:
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for texts in batches:
-            langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            langs, scores, strange = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             row = 0
             for run in runs(texts, _SEGMENT):
                 here = [(row + i, t) for i, t in enumerate(run.to_pylist()) if t is not None and has_letter(t)]
                 row += len(run)
                 if here and model.languages:
-                    best, sure = model.predict([t for _, t in here])
-                    for (i, _), k, score in zip(here, best, sure, strict=True):
-                        langs[i], scores[i] = model.languages[k], float(score)
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+                    for (i, _), k, score, far in zip(here, *model.predict([t for _, t in here]), strict=True):
+                        langs[i], scores[i], strange[i] = model.languages[k], float(score), float(far)
+            columns = pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(strange, pa.float64())
+            yield pa.StructArray.from_arrays(columns, _GUESS.names)
 
     return predicted(F.col(text))
 
@@ -272,7 +324,8 @@ def guess(docs: DataFrame, model: Model, text: str = "text") -> Column:
 def predict_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """One row per row of `docs` (doc_id, text, lang): doc_id, held_out, lang_pred, score, rejected.
 
-    Learned from rows that are not held out. A rejected text has a score below the calibrated threshold, or no letter.
+    Learned from rows that are not held out. A rejected text has no letter, or a score or subwords beyond the calibrated
+    limits: its language is not among the learned ones, or it is no language.
 
     - A null text or one without a letter is `und` with score 0; texts of any length are read whole.
     - Rows without a doc_id or lang are not learned from; without any labelled row everything is `und`.
@@ -285,7 +338,7 @@ def predict_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFr
         "held_out",
         F.col("g.lang").alias("lang_pred"),
         "g.score",
-        ((F.col("g.lang") == UNKNOWN) | (F.col("g.score") < model.threshold)).alias("rejected"),
+        ((F.col("g.lang") == UNKNOWN) | ~model.told(F.col("g.score"), F.col("g.strange"))).alias("rejected"),
     )
 
 
@@ -293,5 +346,5 @@ def without_rejected(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFra
     """The rows of `docs` whose language is told, with all their columns as they were."""
     model = fit(docs.where(~held_out(F.col("doc_id"))), sample_docs)
     judged = docs.withColumn("_guess", guess(docs, model))
-    told = (F.col("_guess.lang") != UNKNOWN) & (F.col("_guess.score") >= model.threshold)
+    told = (F.col("_guess.lang") != UNKNOWN) & model.told(F.col("_guess.score"), F.col("_guess.strange"))
     return judged.where(told).drop("_guess")

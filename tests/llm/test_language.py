@@ -32,6 +32,36 @@ def test_held_out_documents_are_told_right(spark, medium):
     assert np.mean([r.rejected for r in got]) <= 0.005
 
 
+OTHER = [
+    "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+    "όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα είναι προικισμένοι με λογική",
+    "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem",
+    "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+]
+
+
+def test_other_languages_and_letter_noise_are_rejected_and_clean_texts_are_not(spark, medium):
+    rng = np.random.default_rng(8)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), 150)) for _ in range(30)]
+    table = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(-1 - i, t, None) for i, t in enumerate(OTHER + noise)]
+    got = L.predict_languages(table.unionAll(spark.createDataFrame(odd, table.schema))).collect()
+    assert all(r.rejected for r in got if r.doc_id < 0)
+    assert np.mean([r.rejected for r in got if r.doc_id >= 0 and r.held_out]) <= 0.01
+
+
+def test_two_languages_can_be_rejected_too(spark):
+    rows = [r for r in docs() if r[2] != "fr"] + [(900 + i, t, None) for i, t in enumerate(OTHER)]
+    got = L.predict_languages(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(r.rejected == (r.doc_id >= 900) for r in got)
+
+
+def test_many_labels_do_not_enlarge_the_sample(spark):
+    rows = [(i, f"word{i} text", f"l{i:04d}") for i in range(400)] + [(1000 + i, "the dog", "en") for i in range(5)]
+    model = L.fit(spark.createDataFrame(rows, SCHEMA))
+    assert len(model.languages) == L.MOST_LANGUAGES and "en" in model.languages
+
+
 def test_labels_of_held_out_documents_and_sources_do_not_matter(spark):
     rows = docs()
     wrong = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 4 == 2 else lang) for i, t, lang in rows]
@@ -82,12 +112,12 @@ def test_prediction_agrees_with_the_plain_formula():
     rows = docs(90)
     model = L.train([L.histogram(t) for _, t, _ in rows], [x for *_, x in rows], [True] * 90, [i % 5 == 0 for i in range(90)])
     texts = [t for _, t, _ in rows[:20]]
-    best, score = model.predict(texts)
-    for text, k, p in zip(texts, best, score, strict=True):
+    for text, k, p, strange in zip(texts, *model.predict(texts), strict=True):
         buckets, shares = L.histogram(text)
         z = ((model.table[buckets] * shares[:, None]).sum(axis=0) @ model.weights + model.bias) / model.temperature
         q = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
         assert k == q.argmax() and p == pytest.approx(q.max())
+        assert strange == pytest.approx(-(model.logs[buckets, k] @ shares), rel=1e-4, abs=1e-6)
 
 
 def test_held_out_is_false_without_an_id(spark):
