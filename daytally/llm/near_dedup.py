@@ -7,8 +7,9 @@ with a probability of 0.684 ** 32, or 5 in a million.
 
 Documents with equal sets are one class and take part once. Within a bucket every member is a candidate with the
 bucket's first member only, so a bucket of n gives n - 1 candidates. As a star can miss a pair whose bucket has a foreign
-centre, what stars leave over is compared exactly: small buckets that still hold several components give all their pairs,
-and the members of larger ones go through a prefix-filter join of their full sets (`_pairs`).
+centre, buckets that still hold several components get a second pass: small ones give all their pairs, larger ones further
+stars, whose centres are first in the orders of two hashes. Members of larger buckets that are mixed even then go through a
+prefix-filter join of their full sets (`_pairs`), which is exact.
 Candidates whose signatures agree in less than half of their values are no links: of documents of similarity 0.75, one
 pair in ten billion. All others are confirmed on the full sets, which are made anew from the texts.
 """
@@ -33,6 +34,8 @@ BINS = 1 << BIN_BITS
 ROWS = 4
 BANDS = BINS // ROWS
 PERCENT = 75
+#: Further centres of each large mixed bucket, in as many orders of its members.
+ORDERS = 2
 #: Buckets of so many members give all pairs of members that stars have not connected.
 SMALL_BUCKET = 16
 #: A shingle of more sets than this is common in the prefix-filter join, and the step of this bound from level to level.
@@ -148,11 +151,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = members.select(F.col("centre").alias("a"), F.col("first").alias("b"))
     links = _confirmed(stars, firsts, docs, percent)
     labels = components(links)
-    members = members.select("bucket", "first").join(labels, F.col("first") == F.col("node"), "left")
-    members = members.select("bucket", "first", F.coalesce("root", "first").alias("root"))
-    left = _left_over(members, docs, percent)
-    if left is not None:
-        labels = components(links.unionAll(_confirmed(left, firsts, docs, percent)))
+    for way in (_second_pass, lambda mixed: _exact_pairs(mixed, docs, percent)):
+        members, mixed = _mixed(members, labels)
+        if mixed is None:
+            break
+        if (left := way(mixed)) is not None:
+            links = links.unionAll(_confirmed(left, firsts, docs, percent))
+            labels = components(links)
     return _result(sketch, classes, labels)
 
 
@@ -162,30 +167,42 @@ def _shared(members: DataFrame) -> DataFrame:
     return members.join(centres.where("centre < last").drop("last"), "bucket")
 
 
-def _left_over(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
-    """Edges (a, b) that hold every link between different components that share a bucket; None if there are no such buckets."""
-    members = cut(members)
+def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The members (bucket, first) of buckets that hold several components, and with root and size; None if there are none."""
+    rooted = members.select("bucket", "first").join(labels, F.col("first") == F.col("node"), "left")
+    rooted = cut(rooted.select("bucket", "first", F.coalesce("root", "first").alias("root")))
     size = F.count("*").alias("size")
-    mixed = members.groupBy("bucket").agg(size, F.min("root").alias("low"), F.max("root").alias("high"))
+    kinds = rooted.groupBy("bucket").agg(size, F.min("root").alias("low"), F.max("root").alias("high"))
     # Of a bucket of two, the star was the only pair.
-    mixed = cut(members.join(mixed.where("low < high and size > 2").select("bucket", "size"), "bucket"))
-    n_mixed, n_large = mixed.agg(F.count("*"), F.count_if(F.col("size") > SMALL_BUCKET)).first()
-    if not n_mixed:
-        return None
+    mixed = cut(rooted.join(kinds.where("low < high and size > 2").select("bucket", "size"), "bucket"))
+    return mixed, None if mixed.isEmpty() else mixed
+
+
+def _second_pass(mixed: DataFrame) -> DataFrame:
+    """Candidates (a, b) between components: all of small buckets, further stars of large ones."""
     small = mixed.where(F.col("size") <= SMALL_BUCKET).select("bucket", "first", "root")
     other = small.toDF("bucket", "b", "root_b")
     edges = small.join(other, "bucket").where("first < b and root <> root_b").select(F.col("first").alias("a"), "b")
-    if not n_large:
-        return edges
+    large = mixed.where(F.col("size") > SMALL_BUCKET)
+    firsts = [F.min(F.struct(F.xxhash64("first", "bucket", F.lit(k)).alias("order"), "first", "root")) for k in range(ORDERS)]
+    centres = large.groupBy("bucket").agg(F.array(*firsts).alias("centres"))
+    stars = large.join(centres, "bucket").select("first", "root", F.explode("centres").alias("centre")).where("root <> centre.root")
+    return edges.unionAll(stars.select(F.col("centre.first").alias("a"), F.col("first").alias("b")))
+
+
+def _exact_pairs(mixed: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
+    """Candidates (a, b) that connect all linked documents of large buckets; None if no large bucket is mixed."""
     large = cut(mixed.where(F.col("size") > SMALL_BUCKET).select("first", "root").distinct())
-    texts = _texts(docs, large.select(F.col("first").alias("id")), large.count())
+    if not (n_large := large.count()):
+        return None
+    texts = _texts(docs, large.select(F.col("first").alias("id")), n_large)
     # Rows that repeat an id may have several sets.
     sets = texts.select("doc_id", _shingles("text").alias("shingles")).where(F.size("shingles") > 0)
     sets = cut(sets.join(large, F.col("doc_id") == F.col("first")).withColumn("id", F.monotonically_increasing_id()))
     names = sets.select("id", "first")
     pairs = _pairs(sets.select("id", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), percent)
     pairs = pairs.join(names.toDF("a", "first_a"), "a").join(names.toDF("b", "first_b"), "b")
-    return edges.unionAll(pairs.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))
+    return pairs.select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
 
 
 def _pairs(rows: DataFrame, percent: int, most: int = COMMON) -> DataFrame:
