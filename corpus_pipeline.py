@@ -2,13 +2,17 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return the columns of `documents`; the
 last returns every document as often as the mix takes it, numbered in `copy`. SQL cannot express the language model, so
-there is no SQL for the whole.
+there is no SQL for the whole. `run` writes what a stage keeps to the shared folder, and the next stage reads it there, so
+that no stage is computed twice; these files stay, as the result is read from the last of them.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from daytally.llm.common import shared_folder
 from daytally.llm.decontaminate import without_leaks
 from daytally.llm.exact_dedup import without_copies
 from daytally.llm.language import without_rejected
@@ -49,6 +53,8 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs
