@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE_WORDS = 5
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
