@@ -78,20 +78,35 @@ def cohort_retention(
     return cohort_curve(log, signup, [activity], endpoints).drop("lag")
 
 
-def cohort_by_day(
-    log: DataFrame,
-    targets: Period,
-    signup_days: tuple[int, int],
-    activity_days: tuple[int, int],
-    endpoints: Endpoints = Endpoints(),
+def marks(log: DataFrame, reach: Period, endpoints: Endpoints = Endpoints()) -> DataFrame:
+    """Per line that counts: log_date, id, and whether it is a sign-up."""
+    return _calls(log, reach).select("log_date", "id", _is_signup(endpoints).alias("signed_up"))
+
+
+def daily_ids(log: DataFrame, period: Period, endpoints: Endpoints = Endpoints()) -> DataFrame:
+    """The ids of each day, with whether they signed up on it: log_date, id, signed_up.
+
+    Stored by day, it stands for the log in `windows_by_day`: the days of an id are merged there, whichever way they come.
+    """
+    return marks(log, period, endpoints).groupBy("log_date", "id").agg(F.max("signed_up").alias("signed_up"))
+
+
+def reach_of(targets: Period, signup_days: tuple[int, int], activity: Sequence[tuple[int, int]]) -> Period:
+    """All days that any window of any target day has."""
+    windows = [signup_days, *activity]
+    return targets.widen(before=max(w[0] for w in windows), after=-min(w[1] for w in windows))
+
+
+def windows_by_day(
+    marked: DataFrame, targets: Period, signup_days: tuple[int, int], activity: Sequence[tuple[int, int]]
 ) -> DataFrame:
-    """Retention for every target day in one scan and one shuffle by id.
+    """Per target day with sign-ups: date, signup, and retained_0, retained_1, … for the activity windows.
 
-    The day tuples say how many days before the target day each window starts and ends, as in `(60, 31)` and
-    `(30, 1)`. Each id is reduced to two sets of days, on which it signed up and was active, held as bits of 64-day
-    words; a window is then a bit mask.
+    `marked` is of `marks` or `daily_ids`, or parts of both. The day tuples say how many days before the target day each
+    window starts and ends, as in `(60, 31)` and `(30, 1)`. Each id is reduced to two sets of days, on which it signed up
+    and was active, held as bits of 64-day words; a window of a target day is then a bit mask. One shuffle by id.
     """
-    reach = targets.widen(before=max(signup_days[0], activity_days[0]), after=-min(signup_days[1], activity_days[1]))
+    reach = reach_of(targets, signup_days, activity)
     words = range(-(-len(reach) // _WORD))
     number = F.datediff(F.col("log_date"), F.lit(reach.first))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number % _WORD)
@@ -101,39 +116,83 @@ def cohort_by_day(
         return F.coalesce(F.bit_or(F.when(mark & in_word, bit)), F.lit(0).cast("bigint"))
 
     days_per_id = (
-        _calls(log, reach)
+        marked.where(reach.contains(F.col("log_date")))
         .groupBy("id")
         .agg(
-            *[day_bits(_is_signup(endpoints), word).alias(f"signup_{word}") for word in words],
+            *[day_bits(F.col("signed_up"), word).alias(f"signup_{word}") for word in words],
             *[day_bits(F.lit(True), word).alias(f"active_{word}") for word in words],
         )
         .where(_any([F.col(f"signup_{word}") != 0 for word in words]))
     )
 
     masks = {"offset": np.arange(len(targets))}
-    for name, (farthest, nearest) in {"signup": signup_days, "active": activity_days}.items():
+    windows = {"signup": signup_days} | {f"active_{n}": window for n, window in enumerate(activity)}
+    for name, (farthest, nearest) in windows.items():
+        first_days = [(day - reach.first).days - farthest for day in targets.days()]
         for word in words:
-            first_days = [(day - reach.first).days - farthest for day in targets.days()]
             masks[f"{name}_mask_{word}"] = _window_masks(first_days, farthest - nearest + 1, word)
     zipped = F.arrays_zip(*[F.lit(values).alias(name) for name, values in masks.items()])
 
-    def in_window(name: str) -> Column:
-        return _any([F.col(f"{name}_{word}").bitwiseAND(F.col(f"{name}_mask_{word}")) != 0 for word in words])
+    def in_window(days: str, window: str) -> Column:
+        return _any([F.col(f"{days}_{word}").bitwiseAND(F.col(f"{window}_mask_{word}")) != 0 for word in words])
 
-    totals = (
+    return (
         days_per_id.select("*", F.inline(zipped).alias(*masks))
-        .where(in_window("signup"))
+        .where(in_window("signup", "signup"))
         .groupBy(F.date_add(F.lit(targets.first), F.col("offset").cast("int")).alias("date"))
-        .agg(F.count("*").alias("signup"), F.count_if(in_window("active")).alias("retained"))
+        .agg(
+            F.count("*").alias("signup"),
+            *[F.count_if(in_window("active", f"active_{n}")).alias(f"retained_{n}") for n in range(len(activity))],
+        )
+    )
+
+
+def retention_by_day(
+    marked: DataFrame, targets: Period, signup_days: tuple[int, int], activity_days: tuple[int, int]
+) -> DataFrame:
+    """One row per target day: date, signup, retained and their share in percent, from `marks` or `daily_ids`."""
+    return _lagged(marked, targets, signup_days, [activity_days]).drop("lag")
+
+
+def curve_by_day(marked: DataFrame, targets: Period, days: int, lags: int) -> DataFrame:
+    """Retention curves of all target days from one reading: date, lag, signup, retained, retained_pct.
+
+    Of the `days * (lags + 1)` days before a target day the first `days` are those of the sign-ups; lag k is the k-th
+    stretch of `days` days after them.
+    """
+    far = [(days * (lags + 1 - k), days * (lags - k) + 1) for k in range(lags + 1)]
+    return _lagged(marked, targets, far[0], far[1:])
+
+
+def _lagged(
+    marked: DataFrame, targets: Period, signup_days: tuple[int, int], activity: Sequence[tuple[int, int]]
+) -> DataFrame:
+    totals = windows_by_day(marked, targets, signup_days, activity)
+    days = calendar(marked.sparkSession, targets).select("date")
+    lags = F.array(
+        *[
+            F.struct(F.lit(n + 1).alias("lag"), F.coalesce(f"retained_{n}", F.lit(0).cast("long")).alias("retained"))
+            for n in range(len(activity))
+        ]
     )
-    days = calendar(log.sparkSession, targets).select("date")
     # One row per target day on both sides.
-    return days.join(F.broadcast(totals), "date", "left").select(
-        "date",
-        F.coalesce("signup", F.lit(0)).alias("signup"),
-        F.coalesce("retained", F.lit(0)).alias("retained"),
-        _percent(F.col("retained"), F.col("signup")).alias("retained_pct"),
+    found = days.join(F.broadcast(totals), "date", "left").select(
+        "date", F.coalesce("signup", F.lit(0).cast("long")).alias("signup"), F.inline(lags)
     )
+    pct = _percent(F.col("retained"), F.col("signup")).alias("retained_pct")
+    return found.select("date", "lag", "signup", "retained", pct)
+
+
+def cohort_by_day(
+    log: DataFrame,
+    targets: Period,
+    signup_days: tuple[int, int],
+    activity_days: tuple[int, int],
+    endpoints: Endpoints = Endpoints(),
+) -> DataFrame:
+    """`retention_by_day` straight from the log, in one scan."""
+    reach = reach_of(targets, signup_days, [activity_days])
+    return retention_by_day(marks(log, reach, endpoints), targets, signup_days, activity_days)
 
 
 def _any(conditions: Sequence[Column]) -> Column:

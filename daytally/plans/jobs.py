@@ -8,10 +8,10 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from daytally.functions.lineage import checkpoints
 from daytally.functions.normalize import COLUMN_DEFAULTS
-from daytally.functions.periods import Period, preceding, run_period, span, trailing
+from daytally.functions.periods import Period, run_period, span
 from daytally.operators.activity import (
     DIMENSIONS,
     SUBJECTS,
@@ -32,8 +32,8 @@ from daytally.operators.activity import (
 from daytally.operators.archive import local_archive
 from daytally.operators.lifecycle import KINDS, lifecycle
 from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats, day_text
-from daytally.operators.retention import cohort_by_day, cohort_curve
-from daytally.schema import NULL_TEXT, Endpoints
+from daytally.operators.retention import curve_by_day, daily_ids, marks, reach_of, retention_by_day
+from daytally.schema import LOG_SCHEMA, NULL_TEXT, Endpoints
 from daytally.sources.logs import (
     OWN_COLUMNS,
     RAW_PREFIX,
@@ -52,7 +52,10 @@ ROLLUP_SCHEMA = T.StructType(
     + [T.StructField(name, T.LongType() if name == "grade" else T.StringType()) for name in DIMENSIONS]
     + [T.StructField("unique_cnt", T.LongType())]
 )
-# What the rollup of a day and subject was made from.
+IDS_SCHEMA = T.StructType(
+    [LOG_SCHEMA["log_date"], LOG_SCHEMA["id"], T.StructField("signed_up", T.BooleanType())]
+)
+# What the stored rows of a day and subject were made from.
 INPUTS_SCHEMA = T.StructType(
     [T.StructField("subject", T.StringType()), T.StructField("log_date", T.DateType())]
     + [T.StructField(name, T.LongType()) for name in ("files", "bytes", "newest")]
@@ -197,24 +200,61 @@ def _inputs(spark: SparkSession, settings: Settings, period: Period) -> dict[dat
     return {row[0]: tuple(row)[1:] for row in rows}
 
 
-def _refresh_rollup(spark: SparkSession, settings: Settings, targets: Period, subjects: tuple[str, ...]) -> DataFrame:
-    """Bring the stored rollup up to date and return it: days whose files are not those it was made from are redone."""
-    needed = targets.widen(before=max(WINDOWS) - 1)
+def _refresh(
+    spark: SparkSession,
+    settings: Settings,
+    needed: Period,
+    subjects: tuple[str, ...],
+    path: str,
+    schema: T.StructType,
+    make: Callable[[Period], DataFrame],
+) -> DataFrame:
+    """Bring the table that is stored by subject and day up to date and return it.
+
+    Days whose files are not those it was made from are made anew; files that came late or were replaced count as well.
+    """
     current = _inputs(spark, settings, needed)
     if not settings.allow_missing and (missing := sorted(set(needed.days()) - set(current))):
         raise MissingDays(", ".join(map(str, missing)))
-    is_subject, marks = F.col("subject").isin(*subjects), f"{settings.rollup}-inputs"
-    known = read_table(spark, marks, INPUTS_SCHEMA).select(INPUTS_SCHEMA.names)
+    is_subject, stamps = F.col("subject").isin(*subjects), f"{path}-inputs"
+    known = read_table(spark, stamps, INPUTS_SCHEMA).select(INPUTS_SCHEMA.names)
     known = known.where(is_subject & needed.contains(F.col("log_date")))
     done = {(row.subject, row.log_date): tuple(row)[2:] for row in known.collect()}
     changed = [day for day in needed.days() if day in current and any(done.get((s, day)) != current[day] for s in subjects)]
     for period in _stretches(changed):
-        rollup = daily_rollup(_activity_log(spark, settings, period), subjects)
         replaces = is_subject & period.contains(F.col("log_date"))
-        write_partitioned(rollup, settings.rollup, ["subject", "log_date"], replaces, compression="zstd")
+        write_partitioned(make(period), path, ["subject", "log_date"], replaces, compression="zstd")
         rows = [(subject, day, *current[day]) for subject in subjects for day in period.days()]
-        write_partitioned(spark.createDataFrame(rows, INPUTS_SCHEMA), marks, ["subject", "log_date"], replaces)
-    return read_table(spark, settings.rollup, ROLLUP_SCHEMA).where(is_subject)
+        write_partitioned(spark.createDataFrame(rows, INPUTS_SCHEMA), stamps, ["subject", "log_date"], replaces)
+    return read_table(spark, path, schema).where(is_subject & needed.contains(F.col("log_date")))
+
+
+def _refresh_rollup(spark: SparkSession, settings: Settings, targets: Period, subjects: tuple[str, ...]) -> DataFrame:
+    """The stored rollup, up to date for the windows of the target days."""
+    return _refresh(
+        spark,
+        settings,
+        targets.widen(before=max(WINDOWS) - 1),
+        subjects,
+        settings.rollup,
+        ROLLUP_SCHEMA,
+        lambda period: daily_rollup(_activity_log(spark, settings, period), subjects),
+    )
+
+
+def _marked(spark: SparkSession, settings: Settings, reach: Period) -> DataFrame:
+    """Sign-ups and activity of ids by day: the stored sets, up to date, where a rollup is kept; else the log itself."""
+    if not settings.rollup:
+        return marks(_log(spark, settings, reach), reach, settings.endpoints)
+    # What is a sign-up depends on the addresses, so each pair of them has sets of its own.
+    subject = hashlib.sha256(f"{settings.endpoints.www} {settings.endpoints.oauth}".encode()).hexdigest()[:16]
+
+    def make(period: Period) -> DataFrame:
+        ids = daily_ids(_log(spark, settings, period), period, settings.endpoints)
+        return ids.select(F.lit(subject).alias("subject"), *IDS_SCHEMA.names)
+
+    schema = T.StructType([T.StructField("subject", T.StringType()), *IDS_SCHEMA.fields])
+    return _refresh(spark, settings, reach, (subject,), f"{settings.rollup}-ids", schema, make)
 
 
 def _stretches(days: list[date]) -> list[Period]:
@@ -294,8 +334,8 @@ def accum_all(spark: SparkSession, settings: Settings, targets: Period) -> None:
 def cohort(spark: SparkSession, settings: Settings, targets: Period) -> None:
     """Retention of sign-ups. By default sign-ups and activity come from the same 30 days."""
     signup_days = MONTH_BEFORE if settings.prior_signups else LAST_MONTH
-    log = _log(spark, settings, targets.widen(before=signup_days[0], after=-LAST_MONTH[1]))
-    records = as_cohort(cohort_by_day(log, targets, signup_days, LAST_MONTH, settings.endpoints))
+    marked = _marked(spark, settings, reach_of(targets, signup_days, [LAST_MONTH]))
+    records = as_cohort(retention_by_day(marked, targets, signup_days, LAST_MONTH))
     _write_records(records, f"{settings.results}/cohort", _days(spark, settings, targets))
 
 
@@ -304,15 +344,9 @@ def curve(spark: SparkSession, settings: Settings, targets: Period) -> None:
     days = _days(spark, settings, targets)
     if not days:
         return
-
-    def of(day: date) -> DataFrame:
-        reach = preceding(day, MONTH * (settings.lags + 1))
-        signup = Period(reach.first, reach.first + timedelta(days=MONTH - 1))
-        lags = [trailing(signup.last + timedelta(days=MONTH * k), MONTH) for k in range(1, settings.lags + 1)]
-        found = cohort_curve(_log(spark, settings, reach), signup, lags, settings.endpoints)
-        return found.withColumn("date", day_text(F.lit(day)))
-
-    _write_records(reduce(DataFrame.unionAll, map(of, days)), f"{settings.results}/cohort-curve", days)
+    reach = targets.widen(before=MONTH * (settings.lags + 1), after=-1)
+    found = curve_by_day(_marked(spark, settings, reach), targets, MONTH, settings.lags)
+    _write_records(found.withColumn("date", day_text(F.col("date"))), f"{settings.results}/cohort-curve", days)
 
 
 JOBS = {

@@ -202,6 +202,22 @@ def _cohort_days(signup_days: tuple[int, int], activity_days: tuple[int, int]) -
             coalesce(round(CAST(retained AS DOUBLE) / nullif(signup, 0) * 100, 3), 0.0) AS retained_pct FROM totals)"""
 
 
+# Every target day with its sign-up window and two lags, each looked up on its own.
+_CURVES = f"""WITH {_LOG}, {_days("2024-01-25", "2024-01-31")},
+    lags AS (SELECT * FROM (VALUES (1, 20, 11), (2, 10, 1)) AS v(lag, farthest, nearest)),
+    signed AS (SELECT DISTINCT date, id FROM log JOIN days ON log_date BETWEEN date - 30 AND date - 21
+        WHERE id IS NOT NULL AND {_IS_SIGNUP}),
+    active AS (SELECT DISTINCT date, lag, id FROM log JOIN (SELECT * FROM days, lags)
+        ON log_date BETWEEN CAST(date - farthest AS DATE) AND CAST(date - nearest AS DATE)
+        WHERE id IS NOT NULL AND {_REAL_CALL}),
+    totals AS (SELECT days.date, lags.lag, count(signed.id) AS signup, count(active.id) AS retained
+        FROM days CROSS JOIN lags LEFT JOIN signed ON signed.date = days.date
+        LEFT JOIN active ON active.date = signed.date AND active.lag = lags.lag AND active.id = signed.id
+        GROUP BY days.date, lags.lag)
+    SELECT date, lag, signup, retained,
+        coalesce(round(CAST(retained AS DOUBLE) / nullif(signup, 0) * 100, 3), 0.0) AS retained_pct FROM totals"""
+
+
 ORACLES: dict[str, str] = {
     "calendar": f"""WITH {_LOG}, {_days("2024-01-01", "2024-01-31")}
         SELECT date, CAST(date - 1 AS DATE) AS previous_date, count(event_id) AS lines
@@ -266,4 +282,9 @@ ORACLES: dict[str, str] = {
         strftime(date, '%a %b %d 00:00:00 UTC %Y') AS timestamp, 'cohort-' || strftime(date, '%Y') AS _index,
         strftime(date - INTERVAL 2 MONTH, '%Y%m') AS _type, retained_pct AS "last1M", retained AS "last1M_cnt"
         FROM cohorts""",
+    "daily_ids": f"""WITH {_LOG} SELECT log_date, id, bool_or(coalesce({_IS_SIGNUP}, false)) AS signed_up
+        FROM log WHERE id IS NOT NULL AND {_REAL_CALL} AND log_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+        GROUP BY log_date, id""",
+    "cohort_from_daily_ids": f"WITH {_cohort_days((20, 11), (10, 1))} SELECT * FROM cohorts",
+    "cohort_curve_by_day": _CURVES,
 }

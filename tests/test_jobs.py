@@ -14,7 +14,7 @@ from daytally.operators.lifecycle import lifecycle
 from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats
 from daytally.operators.retention import cohort_by_day
 from daytally.plans import jobs
-from daytally.schema import ACCUM_SCHEMA, COHORT_SCHEMA, LOG_SCHEMA, RAW_SCHEMA, UNIQUE_SCHEMA
+from daytally.schema import ACCUM_SCHEMA, COHORT_SCHEMA, LOG_SCHEMA, RAW_SCHEMA, UNIQUE_SCHEMA, Endpoints
 from daytally.sources.events_table import log_from_events
 from daytally.sources.logs import MissingDays
 from daytally.sources.tables import read_table
@@ -317,6 +317,64 @@ def test_curve_windows(spark, tmp_path):
     assert [(r.lag, r.signup, r.retained, r.retained_pct) for r in rows] == [(1, 2, 1, 50.0), (2, 2, 2, 100.0)]
 
 
+def test_stored_ids_give_the_same_and_a_daily_run_reads_one_new_day(spark, log, raw, tmp_path, monkeypatch):
+    read = []
+    plain = jobs.read_logs
+    monkeypatch.setattr(jobs, "read_logs", lambda s, r, period, **kw: read.append(period) or plain(s, r, period, **kw))
+    targets = run_period("20240130", 3)
+    for name, prior in (("same", False), ("prior", True)):
+        own = settings(raw, tmp_path / name, rollup=str(tmp_path / "rollup"), prior_signups=prior)
+        for day in targets.days():
+            jobs.cohort(spark, own, Period(day, day))
+        signup_days = (60, 31) if prior else (30, 1)
+        records = as_cohort(cohort_by_day(log, targets, signup_days, (30, 1)))
+        assert stored(spark, tmp_path / name / "cohort", COHORT_SCHEMA) == Counter(records.collect())
+    # The first run reads what there is, each further one the day before its target day, and the second way nothing.
+    assert read[1:] == [run_period("20240128", 1), run_period("20240129", 1)]
+    before = len(read)
+    jobs.curve(spark, settings(raw, tmp_path / "curve", rollup=str(tmp_path / "rollup")), targets)
+    assert len(read) == before
+
+
+def test_late_files_redo_the_ids_of_their_day(spark, tmp_path):
+    root = tmp_path / "raw"
+    signup = {"api": "https://www.example.com/api/users", "method": "POST"}
+    write_lines(root, "20240129", [active(1, "2024-01-29", **signup)])
+    write_lines(root, "20240130", [active(1)])
+    own = settings(str(root), tmp_path / "out", rollup=str(tmp_path / "rollup"))
+    jobs.cohort(spark, own, run_period("20240130", 1))
+    write_lines(root, "20240129", [active(1, "2024-01-29", **signup), active(2, "2024-01-29", **signup), active(3, "2024-01-29")])
+    jobs.cohort(spark, own, run_period("20240130", 1))
+    (row,) = stored(spark, tmp_path / "out" / "cohort", COHORT_SCHEMA)
+    assert (row.signup, row.last1M_cnt) == (2, 2)
+
+
+def test_other_addresses_have_ids_of_their_own(spark, tmp_path):
+    root = tmp_path / "raw"
+    signup = {"api": "https://other.example.com/api/users", "method": "POST"}
+    write_lines(root, "20240129", [active(1, "2024-01-29", **signup)])
+    write_lines(root, "20240130", [active(2)])
+    found = []
+    for www in ("https://www.example.com", "https://other.example.com"):
+        own = settings(
+            str(root), tmp_path / "out", rollup=str(tmp_path / "rollup"), endpoints=Endpoints(www, "https://oauth.example.com")
+        )
+        jobs.cohort(spark, own, run_period("20240130", 1))
+        found += [row.signup for row in stored(spark, tmp_path / "out" / "cohort", COHORT_SCHEMA)]
+    assert found == [0, 1]
+
+
+def test_curves_of_many_days_take_one_reading(spark, log, raw, tmp_path, monkeypatch):
+    read = []
+    plain = jobs.read_logs
+    monkeypatch.setattr(jobs, "read_logs", lambda s, r, period, **kw: read.append(period) or plain(s, r, period, **kw))
+    targets = run_period("20240130", 4)
+    jobs.curve(spark, settings(raw, tmp_path, lags=1), targets)
+    assert len(read) == 1
+    rows = spark.read.parquet(str(tmp_path / "cohort-curve")).collect()
+    assert {(r.date, r.lag) for r in rows} == {(20240127 + k, 1) for k in range(4)}
+
+
 def test_checkpoints_are_removed_with_the_job(spark, raw, tmp_path):
     jobs.run(spark, "accum-all", run_period("20240130", 1), settings(raw, tmp_path))
     assert [f.name for f in tmp_path.iterdir()] == ["accum-stats"]

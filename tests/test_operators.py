@@ -279,3 +279,18 @@ def test_kinds_are_found_in_one_scan(spark, small):
     df = log_from_events(spark, small)
     together = Counter(r.kind for r in lifecycle(df).collect())
     assert together == {kind: lifecycle(df, [kind]).count() for kind in KINDS}
+
+
+def test_curves_by_day_are_the_curves_of_each_day(spark, medium):
+    log = log_from_events(spark, medium).cache()
+    targets = run_period("20240131", 5)
+    one_scan = retention.curve_by_day(retention.marks(log, targets.widen(before=21, after=-1)), targets, 7, 2)
+    ids = retention.curve_by_day(retention.daily_ids(log, targets.widen(before=21, after=-1)), targets, 7, 2)
+    expected = []
+    for day in targets.days():
+        first = day - timedelta(days=21)
+        periods = [Period(first + timedelta(days=7 * k), first + timedelta(days=7 * k + 6)) for k in range(3)]
+        rows = retention.cohort_curve(log, periods[0], periods[1:]).collect()
+        expected += [(day, r.lag, r.signup, r.retained, r.retained_pct) for r in rows]
+    assert sorted(map(tuple, one_scan.collect())) == sorted(map(tuple, ids.collect())) == sorted(expected)
+    assert any(row[3] for row in expected)
