@@ -3,8 +3,9 @@
 Counts of n-grams are summed over the trusted documents, those of shorter ones are the numbers of their distinct
 predecessors, and the discounts of each length come from its counts of counts. Nothing of the model is collected or
 broadcast: the distinct n-grams of all documents are joined with the counts, shard by shard, from single bytes up to
-ORDER bytes. The documents of one partition form a block; a block asks once for each of its distinct n-grams, and the
-answers and its texts, compressed, meet in one task, which adds up the log-probabilities of every document.
+ORDER bytes. Up to about BLOCK_BYTES of texts form a block; one reading of the documents stores a block's texts,
+compressed, and its distinct n-grams under the same number. A block asks once for each of them, and the answers and its
+texts meet in one task, which adds up the log-probabilities of every document.
 
 A fifth of the trusted documents is kept from training. Quantiles of their perplexity, by language, are the thresholds. As
 the mean over few bytes varies more, perplexities are compared after division by exp(SLACK / sqrt(bytes)).
@@ -28,6 +29,13 @@ QUANTILE = 0.99
 APART = 5
 SLACK = 3.0
 BROADCAST_IDS = 1_000_000
+BLOCK_BYTES = 16 << 20
+_ROWS = "block long, kind int, gram long, log_p float, ids array<long>, langs array<string>, sizes array<long>, texts binary"
+_ROWS_ARROW = pa.schema(
+    [("block", pa.int64()), ("kind", pa.int32()), ("gram", pa.int64()), ("log_p", pa.float32())]
+    + [("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string()))]
+    + [("sizes", pa.list_(pa.int64())), ("texts", pa.binary())]
+)
 
 
 def _codes(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -45,30 +53,34 @@ def _codes(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarr
     return codes[own], np.append(starts, sizes.sum())
 
 
-def _grams(docs: DataFrame, counted: bool) -> DataFrame:
-    """Distinct n-grams of each partition: gram and its count, or block and gram."""
+class _Counts:
+    """Distinct n-grams and how often each has come."""
+
+    def __init__(self) -> None:
+        self.grams, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, texts: list[bytes]) -> None:
+        here, times = np.unique(_codes(texts)[0], return_counts=True)
+        both, where = np.unique(np.concatenate([self.grams, here]), return_inverse=True)
+        self.counts = np.bincount(where, np.concatenate([self.counts, times]), len(both)).astype(np.int64)
+        self.grams = both
+
+    def parts(self) -> Iterator[slice]:
+        return (slice(at, at + (1 << 16)) for at in range(0, len(self.grams), 1 << 16))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """The n-grams of each partition with their counts: gram, n."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts, block = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        held = _Counts()
         for batch in batches:
-            if batch.num_rows:
-                block = batch.column("block")[0].as_py()
             for run in runs(batch.column("text")):
-                here, times = np.unique(_codes(_bytes(run))[0], return_counts=True)
-                both, where = np.unique(np.concatenate([grams, here]), return_inverse=True)
-                counts = np.bincount(where, np.concatenate([counts, times]), len(both)).astype(np.int64)
-                grams = both
-        for at in range(0, len(grams), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            other = counts[part] if counted else np.full(len(grams[part]), block, np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(grams[part]), pa.array(other)], ["gram", "n" if counted else "block"])
-
-    return _blocks(docs).mapInArrow(count, "gram long, n long" if counted else "gram long, block int")
+                held.add(_bytes(run))
+        for part in held.parts():
+            yield pa.RecordBatch.from_arrays([pa.array(held.grams[part]), pa.array(held.counts[part])], ["gram", "n"])
 
-
-def _blocks(docs: DataFrame) -> DataFrame:
-    """The same plan for all readings of the documents, so that their partitions are the same each time."""
-    return docs.select(F.spark_partition_id().alias("block"), "doc_id", "lang", "text")
+    return docs.select("text").mapInArrow(count, "gram long, n long")
 
 
 def _bytes(texts: pa.Array) -> list[bytes]:
@@ -90,7 +102,7 @@ class Model:
 
     def __init__(self, trusted: DataFrame, order: int = ORDER) -> None:
         self.levels = []
-        counts = cut(_grams(trusted, True).groupBy("gram").agg(F.sum("n").alias("n")))
+        counts = cut(_counted(trusted).groupBy("gram").agg(F.sum("n").alias("n")))
         for size in range(order, 0, -1):
             taken = counts.withColumn("cut", _discount(counts, F.col("n")))
             context = F.shiftright("gram", 8).alias("context")
@@ -119,14 +131,16 @@ class Model:
 def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of `docs` (doc_id, lang, text): doc_id, lang, n_bytes, perplexity; null for an empty text."""
     docs = docs.select("doc_id", "lang", "text")
-    asked = cut(_grams(docs, False))
+    # Read once and stored: n-grams and texts of a block belong together, whatever `docs` comes from.
+    blocks = cut(_blocks(docs))
+    asked = blocks.where("kind = 0").select("block", "gram")
     scores = model.probabilities(asked.select("gram").distinct())
     answers = asked.join(scores, "gram").select(
         "block", F.lit(0).alias("kind"), "gram", F.log("p").cast("float").alias("log_p"),
         F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<string>").alias("langs"),
         F.lit(None).cast("array<long>").alias("sizes"), F.lit(None).cast("binary").alias("texts"),
     )
-    rows = answers.unionAll(_packed(docs)).repartition("block").sortWithinPartitions("block", "kind")
+    rows = answers.unionAll(blocks.where("kind = 1")).repartition("block").sortWithinPartitions("block", "kind")
     schema = T.StructType(
         [
             T.StructField("doc_id", T.LongType()),
@@ -138,36 +152,43 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(_scored, schema)
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """The texts of each block, a few megabytes at a time, compressed."""
+def _blocks(docs: DataFrame) -> DataFrame:
+    """Rows of two kinds: 0, the distinct n-grams of a block; 1, texts of it, a few megabytes at a time, compressed."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, held, size, block = pa.Codec("zstd"), _Counts(), 0, None
+
+        def grams() -> Iterator[pa.RecordBatch]:
+            for part in held.parts():
+                n = len(held.grams[part])
+                known = [pa.array(np.full(n, block)), pa.array(np.zeros(n, np.int32)), pa.array(held.grams[part])]
+                yield pa.RecordBatch.from_arrays([*known, *(pa.nulls(n, f.type) for f in list(_ROWS_ARROW)[3:])], schema=_ROWS_ARROW)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd")
         for batch in batches:
             at = 0
             for run in runs(batch.column("text")):
                 here, texts = batch.slice(at, len(run)), _bytes(run)
                 at += len(run)
-                yield pa.RecordBatch.from_pylist(
-                    [
-                        {
-                            "block": here.column("block")[0].as_py(),
-                            "kind": 1,
-                            "ids": here.column("doc_id").to_pylist(),
-                            "langs": here.column("lang").to_pylist(),
-                            "sizes": [len(t) for t in texts],
-                            "texts": codec.compress(b"".join(texts), asbytes=True),
-                        }
-                    ],
-                    pa.schema(
-                        [("block", pa.int32()), ("kind", pa.int32()), ("gram", pa.int64()), ("log_p", pa.float32())]
-                        + [("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string()))]
-                        + [("sizes", pa.list_(pa.int64())), ("texts", pa.binary())]
-                    ),
-                )
-
-    schema = "block int, kind int, gram long, log_p float, ids array<long>, langs array<string>, sizes array<long>, texts binary"
-    return _blocks(docs).mapInArrow(pack, schema)
+                if block is None:
+                    block = here.column("number")[0].as_py()  # of the block's first row, so no other block has it
+                held.add(texts)
+                size += sum(map(len, texts))
+                row = {
+                    "block": block,
+                    "kind": 1,
+                    "ids": here.column("doc_id").to_pylist(),
+                    "langs": here.column("lang").to_pylist(),
+                    "sizes": [len(t) for t in texts],
+                    "texts": codec.compress(b"".join(texts), asbytes=True),
+                }
+                yield pa.RecordBatch.from_pylist([row], _ROWS_ARROW)
+                if size >= BLOCK_BYTES:
+                    yield from grams()
+                    held, size, block = _Counts(), 0, None
+        if block is not None:
+            yield from grams()
+
+    return docs.select(F.monotonically_increasing_id().alias("number"), "doc_id", "lang", "text").mapInArrow(read, _ROWS)
 
 
 class _Table:
@@ -196,7 +217,7 @@ class _Table:
         at = at[rest]
         while len(rest):
             if (met[rest] == -1).any():
-                raise RuntimeError("the partitions of the documents changed between two readings of them")
+                raise RuntimeError("a block lacks the answer for one of its n-grams")
             at = at + 1 & self.mask
             met[rest] = self.keys[at]
             out[rest] = self.values[at]
@@ -262,6 +283,7 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     - A null lang is a language of its own. A language without trusted documents takes the quantile over all of them;
       without any trusted document every text is kept.
     - Rows without a doc_id are scored and never trusted; rows that repeat an id are each scored, and trusted together.
+      doc_id is a number, as in `labels`.
     - An empty table gives an empty result. Other columns, whatever their names, are not read.
     """
     bounded_batches(docs.sparkSession)

@@ -66,9 +66,24 @@ def test_perplexities_agree_with_the_formulas(spark, texts):
         assert r.n_bytes == len(texts[r.doc_id].encode())
 
 
+@pytest.mark.parametrize("way", ["join", "repartition", "union"])
+def test_any_frame_will_do(spark, texts, way, monkeypatch):
+    monkeypatch.setattr(Q, "BLOCK_BYTES", 500)
+    docs = spark.createDataFrame([(i, "xx", t) for i, t in enumerate(texts)], SCHEMA)
+    if way == "join":
+        frame = docs.join(docs.select("doc_id").distinct(), "doc_id").select("doc_id", "lang", "text")
+    elif way == "repartition":
+        frame = docs.repartition(7)
+    else:
+        frame = docs.where("doc_id % 2 = 0").unionAll(docs.where("doc_id % 2 = 1").orderBy(F.rand()))
+    got = {r.doc_id: r.perplexity for r in Q.perplexities(frame, Q.Model(docs.where("doc_id < 40"))).collect()}
+    plain = Plain(texts[:40])
+    assert got == {i: pytest.approx(plain.perplexity(t), rel=1e-5) for i, t in enumerate(texts)}
+
+
 def test_probabilities_sum_to_one(spark, texts):
     docs = spark.createDataFrame([(i, "xx", t) for i, t in enumerate(texts[:40])], SCHEMA)
-    context = int.from_bytes(b"the", "big")
+    context = int.from_bytes(b" on the"[-(Q.ORDER - 1) :], "big")
     asked = spark.range(256).select((F.col("id") + (context << 8)).alias("gram"))
     assert Q.Model(docs).probabilities(asked).agg(F.sum("p")).first()[0] == pytest.approx(1)
 
