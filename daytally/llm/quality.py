@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from daytally.llm.common import bounded_batches, cut, runs
 
-ORDER = 4
+ORDER = 6
 QUANTILE = 0.99
 #: Share of trusted documents that thresholds are taken from: one in this many.
 APART = 5
