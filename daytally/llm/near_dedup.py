@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,11 +147,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = sketch.where("n > 0").groupBy("digest", "n", "bands", "signature").agg(F.min("doc_id").alias("first"))
     classes = cut(classes)
     firsts = classes.where("first is not null")
-    members = cut(_shared(firsts.select("first", F.explode("bands").alias("bucket"))))
-    stars = members.select(F.col("centre").alias("a"), F.col("first").alias("b"))
+    members = cut(_shared(firsts.select("first", "n", F.explode("bands").alias("bucket"))))
+    stars = members.where(_near_size(F.col("n"), F.col("centre.n"), percent))
+    stars = stars.select(F.col("centre.first").alias("a"), F.col("first").alias("b"))
     links = _confirmed(stars, firsts, docs, percent)
     labels = components(links)
-    for way in (_second_pass, lambda mixed: _exact_pairs(mixed, docs, percent)):
+    for way in (lambda mixed: _second_pass(mixed, percent), lambda mixed: _exact_pairs(mixed, docs, percent)):
         members, mixed = _mixed(members, labels)
         if mixed is None:
             break
@@ -161,16 +162,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return _result(sketch, classes, labels)
 
 
+def _near_size(n: Column, other: Column, percent: int) -> Column:
+    """Whether sets of these sizes can overlap by `percent`."""
+    return 100 * F.least(n, other) >= percent * F.greatest(n, other)
+
+
 def _shared(members: DataFrame) -> DataFrame:
     """Members of buckets that have more than one, with the smallest of the bucket as its centre."""
-    centres = members.groupBy("bucket").agg(F.min("first").alias("centre"), F.max("first").alias("last"))
-    return members.join(centres.where("centre < last").drop("last"), "bucket")
+    centres = members.groupBy("bucket").agg(F.min(F.struct("first", "n")).alias("centre"), F.count("*").alias("size"))
+    return members.join(centres.where("size > 1").drop("size"), "bucket")
 
 
 def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The members (bucket, first) of buckets that hold several components, and with root and size; None if there are none."""
-    rooted = members.select("bucket", "first").join(labels, F.col("first") == F.col("node"), "left")
-    rooted = cut(rooted.select("bucket", "first", F.coalesce("root", "first").alias("root")))
+    """The members (bucket, first, n) of buckets that hold several components, and with root and size; None if there are none."""
+    rooted = members.select("bucket", "first", "n").join(labels, F.col("first") == F.col("node"), "left")
+    rooted = cut(rooted.select("bucket", "first", "n", F.coalesce("root", "first").alias("root")))
     size = F.count("*").alias("size")
     kinds = rooted.groupBy("bucket").agg(size, F.min("root").alias("low"), F.max("root").alias("high"))
     # Of a bucket of two, the star was the only pair.
@@ -178,16 +184,17 @@ def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame
     return mixed, None if mixed.isEmpty() else mixed
 
 
-def _second_pass(mixed: DataFrame) -> DataFrame:
+def _second_pass(mixed: DataFrame, percent: int) -> DataFrame:
     """Candidates (a, b) between components: all of small buckets, further stars of large ones."""
-    small = mixed.where(F.col("size") <= SMALL_BUCKET).select("bucket", "first", "root")
-    other = small.toDF("bucket", "b", "root_b")
-    edges = small.join(other, "bucket").where("first < b and root <> root_b").select(F.col("first").alias("a"), "b")
-    large = mixed.where(F.col("size") > SMALL_BUCKET)
-    firsts = [F.min(F.struct(F.xxhash64("first", "bucket", F.lit(k)).alias("order"), "first", "root")) for k in range(ORDERS)]
+    near = _near_size(F.col("n"), F.col("n_b"), percent) & (F.col("root") != F.col("root_b"))
+    small = mixed.where(F.col("size") <= SMALL_BUCKET).select("bucket", "first", "n", "root")
+    other = small.toDF("bucket", "b", "n_b", "root_b")
+    edges = small.join(other, "bucket").where((F.col("first") < F.col("b")) & near).select(F.col("first").alias("a"), "b")
+    large = mixed.where(F.col("size") > SMALL_BUCKET).select("bucket", "first", "n", "root")
+    firsts = [F.min(F.struct(F.xxhash64("first", "bucket", F.lit(k)).alias("order"), "first", "n", "root")) for k in range(ORDERS)]
     centres = large.groupBy("bucket").agg(F.array(*firsts).alias("centres"))
-    stars = large.join(centres, "bucket").select("first", "root", F.explode("centres").alias("centre")).where("root <> centre.root")
-    return edges.unionAll(stars.select(F.col("centre.first").alias("a"), F.col("first").alias("b")))
+    stars = large.join(centres, "bucket").select("first", "n", "root", F.inline("centres").alias("order", "a", "n_b", "root_b"))
+    return edges.unionAll(stars.where(near).select("a", F.col("first").alias("b")))
 
 
 def _exact_pairs(mixed: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
@@ -227,12 +234,18 @@ def _pairs(rows: DataFrame, percent: int, most: int = COMMON) -> DataFrame:
     sets = sets.where(size >= least)
     rare = F.filter(F.slice("all", F.lit(1), size - least + 1), lambda x: ~x["common"])["shingle"]
     often = F.filter("all", lambda x: x["common"])["shingle"]
-    sets = cut(sets.select("id", "root", "n", size, rare.alias("rare"), F.when(F.size(often) >= least, often).alias("often")))
+    part = F.col("all")["shingle"].alias("part")
+    sets = cut(sets.select("id", "root", "n", size, part, rare.alias("rare"), F.when(F.size(often) >= least, often).alias("often")))
     apart = F.coalesce(F.col("root") != F.col("root_b"), F.lit(True))
     enough = (100 + percent) * F.least("size", "size_b") >= percent * (F.col("n") + F.col("n_b"))
     one = sets.select("n", "size", "root", F.col("id").alias("a"), F.explode("rare").alias("shingle"))
     other = one.toDF("n_b", "size_b", "root_b", "b", "shingle")
     found = one.join(other, "shingle").where((F.col("a") < F.col("b")) & enough & apart).select("a", "b").distinct()
+    # Pairs whose parts share too little go before they stand for the pairs of whole groups.
+    left, right = (sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("part").alias(f"part_{x}")) for x in "ab")
+    shared = F.size(F.array_intersect("part_a", "part_b"))
+    found = found.join(left, "a").join(right, "b")
+    found = found.where((100 + percent) * shared >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
     members = sets.where("often is not null").withColumn("of", F.sha2(F.array_join("often", ","), 256))
     first = F.min(F.struct("n", "id"))
@@ -268,7 +281,7 @@ def _confirmed(edges: DataFrame, firsts: DataFrame, docs: DataFrame, percent: in
     sketch = firsts.select("first", "n", "signature")
     left = sketch.toDF("a", "n_a", "signature_a")
     right = sketch.toDF("b", "n_b", "signature_b")
-    close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    close = _near_size(F.col("n_a"), F.col("n_b"), percent)
     edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     likely = edges.join(left, "a").join(right, "b").where(close)
     likely = cut(likely.where(_agreeing("signature_a", "signature_b") >= LEAST_AGREEING).select("a", "b"))
