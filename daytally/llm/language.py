@@ -44,7 +44,7 @@ REJECTED_SHARE = 0.001
 MARGIN = 1.25
 #: Share of a language's subwords that is spread over all buckets.
 UNSEEN = 0.05
-_SEGMENT = 1 << 19
+_SEGMENT = 1 << 17
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 _MAYBE_LETTER = re.compile(r"[^\W\d_]")
