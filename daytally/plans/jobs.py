@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daytally.functions.lineage import checkpoints
+from daytally.functions.lineage import checkpoints, cut_lineage
 from daytally.functions.normalize import COLUMN_DEFAULTS
 from daytally.functions.periods import Period, run_period, span
 from daytally.operators.activity import (
@@ -34,17 +34,17 @@ from daytally.operators.lifecycle import KINDS, lifecycle
 from daytally.operators.publish import as_accum_stats, as_cohort, as_unique_stats, day_text
 from daytally.operators.retention import curve_by_day, daily_ids, marks, reach_of, retention_by_day
 from daytally.schema import LOG_SCHEMA, NULL_TEXT, Endpoints
-from daytally.sources.logs import (
+from daytally.sources.catalogue import (
+    CATALOGUE_SCHEMA,
     OWN_COLUMNS,
     RAW_PREFIX,
-    MissingDays,
-    absent_columns,
-    column_names,
-    line_quality,
-    list_files,
-    present_days,
-    read_logs,
+    DayLines,
+    catalogue,
+    columns_of,
+    quality_of,
 )
+from daytally.sources.files import list_files, present_days
+from daytally.sources.logs import REST, MissingDays, read_logs, table_columns
 from daytally.sources.tables import read_table, write_partitioned
 
 ROLLUP_SCHEMA = T.StructType(
@@ -55,9 +55,10 @@ ROLLUP_SCHEMA = T.StructType(
 IDS_SCHEMA = T.StructType(
     [LOG_SCHEMA["log_date"], LOG_SCHEMA["id"], T.StructField("signed_up", T.BooleanType())]
 )
+SUBJECT = T.StructField("subject", T.StringType())
 # What the stored rows of a day and subject were made from.
 INPUTS_SCHEMA = T.StructType(
-    [T.StructField("subject", T.StringType()), T.StructField("log_date", T.DateType())]
+    [SUBJECT, T.StructField("log_date", T.DateType())]
     + [T.StructField(name, T.LongType()) for name in ("files", "bytes", "newest")]
 )
 
@@ -80,6 +81,8 @@ class Settings:
     late_days: int = 0
     prior_signups: bool = False
     lags: int = 2
+    quality: bool = False
+    max_malformed: float | None = None
     endpoints: Endpoints = field(default_factory=Endpoints)
 
     def __post_init__(self) -> None:
@@ -92,7 +95,13 @@ class Settings:
         return f"{self.out}/sample" if self.file_glob else self.out
 
 
-def _log(spark: SparkSession, settings: Settings, period: Period, extra: Iterable[str] = ()) -> DataFrame:
+class TooManyMalformed(ValueError):
+    """A day has more malformed lines than the job was told to accept."""
+
+
+def _log(
+    spark: SparkSession, settings: Settings, period: Period, extra: Iterable[str] = (), rest: bool = False
+) -> DataFrame:
     return read_logs(
         spark,
         settings.logs,
@@ -100,12 +109,53 @@ def _log(spark: SparkSession, settings: Settings, period: Period, extra: Iterabl
         fmt=settings.log_format,
         file_glob=settings.file_glob,
         extra=list(extra),
+        rest=rest,
         allow_missing=settings.allow_missing,
     )
 
 
+def _facts(spark: SparkSession, settings: Settings, period: Period) -> DataFrame:
+    """The catalogue of the JSON lines that are read, from one pass; where a rollup is kept, from one pass over new days.
+
+    Tells what the lines are like, and ends the job, before it has written anything, if a day has too many malformed ones.
+    """
+    if settings.rollup:
+        schema = T.StructType([SUBJECT, *CATALOGUE_SCHEMA.fields])
+
+        def make(days: Period) -> DataFrame:
+            return catalogue(spark, settings.logs, days).select(F.lit("lines").alias("subject"), "*")
+
+        lenient = replace(settings, allow_missing=True)
+        facts = _refresh(spark, lenient, period, ("lines",), f"{settings.rollup}-catalogue", schema, make)
+    else:
+        facts = cut_lineage(catalogue(spark, settings.logs, period, settings.file_glob))
+    days = quality_of(facts)
+    _report(days, settings.quality)
+    if settings.max_malformed is not None:
+        bad = [f"{d.log_date}: {d.malformed} of {d.lines}" for d in days if d.malformed > settings.max_malformed * d.lines]
+        if bad:
+            raise TooManyMalformed(", ".join(bad))
+    return facts
+
+
+def _report(days: list[DayLines], each: bool) -> None:
+    for day in days if each else []:
+        print(f"{day.log_date}: {day.lines} lines, {day.malformed} malformed, {day.bad_grades} bad grades")
+    lines, malformed, bad = (sum(getattr(d, name) for d in days) for name in ("lines", "malformed", "bad_grades"))
+    print(f"{len(days)} days read: {lines} lines, {malformed} malformed, {bad} bad grades")
+
+
+def _columns(spark: SparkSession, settings: Settings, period: Period) -> tuple[list[str], bool]:
+    """The columns that any line that is read has, and whether some lines have more."""
+    if settings.log_format != "json":
+        return table_columns(spark, settings.logs, period)
+    return columns_of(_facts(spark, settings, period))
+
+
 def _absent(spark: SparkSession, settings: Settings, period: Period, *names: str) -> set[str]:
-    return absent_columns(spark, settings.logs, period, names, settings.log_format)
+    if not present_days(spark, settings.logs, period, settings.log_format):
+        return set()
+    return set(names) - set(_columns(spark, settings, period)[0])
 
 
 def _activity_log(spark: SparkSession, settings: Settings, period: Period) -> DataFrame:
@@ -147,11 +197,11 @@ def columnar_log(spark: SparkSession, settings: Settings, targets: Period) -> No
 
     The other jobs then read only the columns they need. Columns that are not known are text.
     """
-    names = column_names(spark, settings.logs, targets, settings.log_format)
-    log = _log(spark, settings, targets, names)
+    names, rest = _columns(spark, settings, targets)
+    log = _log(spark, settings, targets, names, rest)
     days = _days(spark, settings, targets)
     # A column that no line has is left out, so that it is still told from one that is empty.
-    log = log.select("event_id", "log_date", *[c for c in log.columns[2:] if c in names]).where(F.col("log_date").isin(days))
+    log = log.select("event_id", "log_date", *[c for c in log.columns[2:] if c in names or c == REST.name]).where(F.col("log_date").isin(days))
     # A file holds one day, so each task writes one file per file it reads: nothing to shuffle.
     write_partitioned(
         log, settings.results, ["log_date"], F.col("log_date").isin(days), compression="zstd", rebalance=False
@@ -164,15 +214,15 @@ def archive(spark: SparkSession, settings: Settings, targets: Period) -> None:
     present = present_days(spark, settings.logs, reads, settings.log_format)
     if not settings.allow_missing and (missing := sorted(set(needed.days()) - present)):
         raise MissingDays(", ".join(map(str, missing)))
-    names = column_names(spark, settings.logs, reads, settings.log_format)
+    names, rest = _columns(spark, settings, reads)
     # Later days may still be to come.
-    log = _log(spark, replace(settings, allow_missing=True), reads, names)
+    log = _log(spark, replace(settings, allow_missing=True), reads, names, rest)
     archived = local_archive(log, targets, settings.late_days)
     days = [day for day in targets.days() if day in present]
     if not days:
         return
     replaces = F.col("kr_date").isin(days)
-    own = {f"{RAW_PREFIX}{name}": name for name in OWN_COLUMNS if name != "kr_date"}
+    own = {f"{RAW_PREFIX}{name}": name for name in OWN_COLUMNS if name not in ("kr_date", REST.name)}
     archived = archived.drop("event_id", "log_date").withColumnsRenamed(own)
     # A file of the log spans at most a few local days, so each task writes few files: nothing to shuffle.
     write_partitioned(
@@ -244,16 +294,22 @@ def _refresh_rollup(spark: SparkSession, settings: Settings, targets: Period, su
 
 def _marked(spark: SparkSession, settings: Settings, reach: Period) -> DataFrame:
     """Sign-ups and activity of ids by day: the stored sets, up to date, where a rollup is kept; else the log itself."""
+    watched = settings.log_format == "json" and (settings.rollup or settings.quality or settings.max_malformed is not None)
     if not settings.rollup:
-        return marks(_log(spark, settings, reach), reach, settings.endpoints)
+        log = _log(spark, settings, reach)
+        if watched:
+            _facts(spark, settings, reach)
+        return marks(log, reach, settings.endpoints)
     # What is a sign-up depends on the addresses, so each pair of them has sets of its own.
     subject = hashlib.sha256(f"{settings.endpoints.www} {settings.endpoints.oauth}".encode()).hexdigest()[:16]
 
     def make(period: Period) -> DataFrame:
+        if watched:
+            _facts(spark, settings, period)
         ids = daily_ids(_log(spark, settings, period), period, settings.endpoints)
         return ids.select(F.lit(subject).alias("subject"), *IDS_SCHEMA.names)
 
-    schema = T.StructType([T.StructField("subject", T.StringType()), *IDS_SCHEMA.fields])
+    schema = T.StructType([SUBJECT, *IDS_SCHEMA.fields])
     return _refresh(spark, settings, reach, (subject,), f"{settings.rollup}-ids", schema, make)
 
 
@@ -393,7 +449,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lags", type=int, default=Settings.lags, help="cohort-curve: months after the sign-ups")
     parser.add_argument("--www", help="address of the service; needed by " + ", ".join(BY_ENDPOINT))
     parser.add_argument("--oauth", help="address of its sign-in; needed by the same")
-    parser.add_argument("--quality", action="store_true", help="print malformed lines and bad grades of the target days")
+    parser.add_argument("--quality", action="store_true", help="print malformed lines and bad grades of every day that is read")
+    parser.add_argument("--max-malformed", type=float, help="fail, with nothing written, if a larger share of a day's lines is malformed")
     args = parser.parse_args(argv)
     if args.job in BY_ENDPOINT and not (args.www and args.oauth):
         parser.error(f"{args.job} needs --www and --oauth")
@@ -409,6 +466,8 @@ def main(argv: list[str] | None = None) -> None:
         late_days=args.late_days,
         prior_signups=args.prior_signups,
         lags=args.lags,
+        quality=args.quality,
+        max_malformed=args.max_malformed,
         endpoints=Endpoints(args.www or Endpoints.www, args.oauth or Endpoints.oauth),
     )
     targets = span(args.start, args.to) if args.to else run_period(args.start, args.num_days)
@@ -418,6 +477,3 @@ def main(argv: list[str] | None = None) -> None:
         .getOrCreate()
     )
     run(spark, args.job, targets, settings)
-    if args.quality and args.log_format == "json" and len(targets):
-        line_quality(spark, args.logs, targets).orderBy("log_date").show(len(targets), truncate=False)
-

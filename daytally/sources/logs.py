@@ -2,106 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from datetime import date
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.functions.periods import Period
 from daytally.schema import LOG_SCHEMA, RAW_SCHEMA
+from daytally.sources.catalogue import OWN_COLUMNS, RAW_PREFIX, catalogue, columns_of
+from daytally.sources.files import day_glob, day_of, lines_of, present_days
 
-# Columns of ours; a raw column of the same name is kept with this prefix.
-OWN_COLUMNS = ("event_id", "log_date", "kr_date")
-RAW_PREFIX = "raw_"
+# Names and values, as text, of what a line has besides the columns of the read.
+REST = T.StructField("more_columns", T.MapType(T.StringType(), T.StringType()))
 
 
 class MissingDays(ValueError):
     """The log lacks days that were asked for."""
 
 
-def _day_glob(root: str, period: Period) -> str:
-    """One pattern for all day directories, `logs_yyyyMMdd`. Days without a directory match nothing."""
-    return f"{root}/logs_{{{','.join(f'{day:%Y%m%d}' for day in period.days())}}}"
-
-
-def _day_of(path: Column) -> Column:
-    return F.to_date(F.regexp_extract(path, r".*/logs_(\d{8})/", 1), "yyyyMMdd")
-
-
-def path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
-def list_files(spark: SparkSession, root: str, period: Period, fmt: str = "json") -> DataFrame | None:
-    """The files of the log by day: log_date, path, length, modificationTime. Nothing is read but the listing."""
-    reader = spark.read.format("binaryFile")
-    try:
-        if fmt == "json":
-            files = reader.load(_day_glob(root, period)).withColumn("log_date", _day_of(F.col("path")))
-        else:
-            files = reader.option("pathGlobFilter", "*.parquet").load(root)
-            if "log_date" not in files.columns:
-                return None
-    except AnalysisException as error:
-        if path_missing(error):
-            return None
-        raise
-    files = files.select(F.col("log_date").cast("date").alias("log_date"), "path", "length", "modificationTime")
-    return files.where(period.contains(F.col("log_date")))
-
-
-def present_days(spark: SparkSession, root: str, period: Period, fmt: str = "json") -> set[date]:
-    """The days of `period` that the log has files for. The cost is one listing; the result has one row per day."""
-    files = list_files(spark, root, period, fmt)
-    return set() if files is None else {row.log_date for row in files.select("log_date").distinct().collect()}
-
-
-def _lines(spark: SparkSession, root: str, period: Period) -> DataFrame:
-    return spark.read.text(_day_glob(root, period))
-
-
 def column_names(spark: SparkSession, root: str, period: Period, fmt: str = "json") -> list[str]:
-    """The names of all columns that any line of the period has, with raw names that are ours prefixed.
+    """The names of the columns that any line of the period has, with raw names that are ours prefixed.
 
-    JSON lines are all looked through, for names only. A Parquet table tells its names in the footers of the period's
-    files.
+    JSON lines are all looked through once, for names only, up to the bound of the catalogue. A Parquet table tells its
+    names in the footers of the period's files.
     """
-    days = sorted(present_days(spark, root, period, fmt))
-    if not days:
-        return []
     if fmt == "json":
-        keys = _lines(spark, root, period).select(F.explode(F.json_object_keys("value")).alias("name")).distinct()
-        names = [row.name for row in keys.collect()]
-        return sorted(RAW_PREFIX + n if n in OWN_COLUMNS else n for n in names if n != "_corrupt_record")
-    paths = [f"{root}/log_date={day}" for day in days]
-    found = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths)
-    return sorted(set(found.columns) - set(OWN_COLUMNS))
+        return columns_of(catalogue(spark, root, period))[0]
+    return table_columns(spark, root, period)[0]
 
 
 def absent_columns(
     spark: SparkSession, root: str, period: Period, names: Iterable[str], fmt: str = "json"
 ) -> set[str]:
-    """Those of `names` that no line of the period has. A name is searched for up to the first line that has it."""
+    """Those of `names` that no line of the period has; none of them where there are no files. One pass for all names."""
+    names = sorted(set(names))
     if fmt != "json":
         return set(names) - set(column_names(spark, root, period, fmt))
-    if not present_days(spark, root, period):
+    if not names or not present_days(spark, root, period):
         return set()
-    lines, value = _lines(spark, root, period), F.col("value")
+    keys = F.json_object_keys("value")
+    met = [F.coalesce(F.bool_or(F.array_contains(keys, name)), F.lit(False)) for name in names]
+    return {name for name, found in zip(names, lines_of(spark, root, period).agg(*met).first(), strict=True) if not found}
 
-    def met(name: str) -> bool:
-        has = F.array_contains(F.json_object_keys(value), name)
-        return not lines.where(value.contains(f'"{name}"') & has).limit(1).isEmpty()
 
-    return {name for name in names if not met(name)}
+def table_columns(spark: SparkSession, root: str, period: Period) -> tuple[list[str], bool]:
+    """The columns that the footers of a Parquet log's files tell of, and whether it has a column for the rest."""
+    days = sorted(present_days(spark, root, period, "parquet"))
+    if not days:
+        return [], False
+    paths = [f"{root}/log_date={day}" for day in days]
+    found = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths).columns
+    return sorted(set(found) - set(OWN_COLUMNS)), REST.name in found
 
 
-def log_schema(extra: Sequence[str] = ()) -> T.StructType:
+def log_schema(extra: Sequence[str] = (), rest: bool = False) -> T.StructType:
     """The columns of the log; those that are not known are text, so that they are the same on every day."""
     more = [T.StructField(name, T.StringType()) for name in extra if name not in LOG_SCHEMA.names]
-    return T.StructType(LOG_SCHEMA.fields + more)
+    return T.StructType(LOG_SCHEMA.fields + more + [REST] * rest)
 
 
 def read_logs(
@@ -112,12 +70,15 @@ def read_logs(
     fmt: str = "json",
     file_glob: str | None = None,
     extra: Sequence[str] = (),
+    rest: bool = False,
     allow_missing: bool = False,
 ) -> DataFrame:
     """The log lines of `period`, with `log_date` and `event_id`, and the columns in `extra` as text.
 
+    With `rest`, a map `more_columns` holds what a line has besides, as text, and is null where that is nothing.
+
     JSON (`fmt="json"`) is read from `root/logs_yyyyMMdd/` under a declared schema of text, so there is no inference
-    pass; nested values are JSON text, and malformed lines are dropped (`line_quality` counts them). `file_glob` limits
+    pass; nested values are JSON text, and malformed lines are dropped (`catalogue` counts them). `file_glob` limits
     the file names, e.g. `*-10_*.gz` for one hour of each day. JSON lines have no number of their own: they get a hash
     of their content, which orders lines that share a stamp in the same way on every run.
 
@@ -131,30 +92,44 @@ def read_logs(
     if not allow_missing and (missing := sorted(set(period.days()) - present)):
         raise MissingDays(", ".join(map(str, missing)))
     if not present:
-        return spark.createDataFrame([], log_schema(extra))
+        return spark.createDataFrame([], log_schema(extra, rest))
     if fmt == "parquet":
-        return spark.read.schema(log_schema(extra)).parquet(root).where(period.contains(F.col("log_date")))
+        return spark.read.schema(log_schema(extra, rest)).parquet(root).where(period.contains(F.col("log_date")))
     known = [*RAW_SCHEMA.names, *(name for name in extra if name not in LOG_SCHEMA.names)]
     in_file = {name: name.removeprefix(RAW_PREFIX) if name.removeprefix(RAW_PREFIX) in OWN_COLUMNS else name for name in known}
     schema = T.StructType([T.StructField(name, T.StringType()) for name in in_file.values()])
+    if rest:
+        return _with_rest(lines_of(spark, root, period, file_glob), in_file, schema)
     reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    raw = reader.json(_day_glob(root, period))
+    raw = reader.json(day_glob(root, period))
     return raw.select(
         F.xxhash64(*in_file.values()).alias("event_id"),
-        _day_of(F.col("_metadata.file_path")).alias("log_date"),
+        day_of(F.col("_metadata.file_path")).alias("log_date"),
         *[F.col(source).alias(name) for name, source in in_file.items()],
     )
 
 
+def _with_rest(lines: DataFrame, in_file: Mapping[str, str], schema: T.StructType) -> DataFrame:
+    """Lines taken apart one by one, as the rest of a line is only known from its text."""
+    value, corrupt = F.col("value"), T.StructField("_corrupt_record", T.StringType())
+    other = F.map_filter(F.from_json(value, REST.dataType), lambda name, _: ~name.isin(*in_file.values()))
+    parsed = lines.select(
+        day_of(F.col("_metadata.file_path")).alias("log_date"),
+        F.from_json(value, T.StructType([*schema.fields, corrupt])).alias("line"),
+        F.when(F.size(other) > 0, other).alias(REST.name),
+    )
+    fields = {name: F.col("line").getField(source) for name, source in in_file.items()}
+    return parsed.where("line._corrupt_record is null").select(
+        F.xxhash64(*fields.values(), F.to_json(REST.name)).alias("event_id"),
+        "log_date",
+        *[column.alias(name) for name, column in fields.items()],
+        REST.name,
+    )
+
+
 def line_quality(spark: SparkSession, root: str, period: Period) -> DataFrame:
     """Per day: lines, malformed lines, and lines whose grade is no number."""
-    schema = T.StructType([RAW_SCHEMA["grade"], T.StructField("_corrupt_record", T.StringType())])
-    raw = spark.read.schema(schema).json(_day_glob(root, period))
-    grade = F.col("grade")
-    return raw.groupBy(_day_of(F.col("_metadata.file_path")).alias("log_date")).agg(
-        F.count("*").alias("lines"),
-        F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed"),
-        F.count_if(grade.isNotNull() & grade.try_cast("decimal(38,18)").isNull()).alias("bad_grades"),
-    )
+    totals = catalogue(spark, root, period).where("name is null")
+    return totals.select("log_date", "lines", "malformed", "bad_grades")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daytally.sources.logs import path_missing
+from daytally.sources.files import path_missing
 
 
 def write_partitioned(

@@ -16,6 +16,7 @@ from daytally.operators.retention import cohort_by_day
 from daytally.plans import jobs
 from daytally.schema import ACCUM_SCHEMA, COHORT_SCHEMA, LOG_SCHEMA, RAW_SCHEMA, UNIQUE_SCHEMA, Endpoints
 from daytally.sources.events_table import log_from_events
+from daytally.sources.catalogue import catalogue, columns_of
 from daytally.sources.logs import MissingDays
 from daytally.sources.tables import read_table
 
@@ -384,3 +385,69 @@ def test_checkpoints_need_a_folder(monkeypatch, spark):
     monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         cut_lineage(spark.range(1))
+
+
+def passes(monkeypatch):
+    """The periods whose lines are looked through for names and quality."""
+    seen = []
+    plain = jobs.catalogue
+    monkeypatch.setattr(jobs, "catalogue", lambda s, root, period, *more: seen.append(period) or plain(s, root, period, *more))
+    return seen
+
+
+def test_names_take_one_pass_and_none_over_known_days(spark, log, raw, tmp_path, monkeypatch):
+    seen = passes(monkeypatch)
+    jobs.accum_all(spark, settings(raw, tmp_path / "plain"), MONTH)
+    assert seen == [MONTH]
+    own = settings(raw, tmp_path / "out", rollup=str(tmp_path / "rollup"))
+    two = run_period("20240129", 2)
+    del seen[:]
+    jobs.accum_all(spark, own, two)
+    jobs.archive(spark, own, run_period("20240129", 1))
+    jobs.accum_class(spark, own, run_period("20240130", 2))
+    assert seen == [two, run_period("20240130", 1)]
+    expected = Counter(r for r in as_accum_stats(lifecycle(log)).collect() if r.date >= "20240128")
+    assert Counter(r for r in stored(spark, tmp_path / "out" / "accum-stats", ACCUM_SCHEMA) if r.date < "20240130") == Counter(
+        r for r in expected if r.date < "20240130"
+    )
+
+
+def test_rewritten_days_are_looked_through_again(spark, tmp_path, monkeypatch):
+    root, seen = tmp_path / "raw", passes(monkeypatch)
+    own = settings(str(root), tmp_path / "out", rollup=str(tmp_path / "rollup"))
+    day = run_period("20240130", 1)
+    write_lines(root, "20240130", [active(1)])
+    jobs.archive(spark, own, day)
+    write_lines(root, "20240130", [active(2, late="x")], name="02_0")
+    jobs.archive(spark, own, day)
+    assert seen == [day, day]
+    assert {r.late for r in jobs.read_archive(spark, str(tmp_path / "out")).collect()} == {None, "x"}
+
+
+@pytest.mark.parametrize("job", ["accum-user", "unique-user", "archive", "cohort", "columnar-log"])
+def test_a_limit_on_malformed_lines_ends_the_job_with_nothing_written(spark, tmp_path, job, capsys):
+    folder = tmp_path / "raw" / "logs_20240130"
+    write_lines(tmp_path / "raw", "20240130", [active(i) for i in range(1, 4)])
+    write_lines(tmp_path / "raw", "20240129", [active(i, "2024-01-29") for i in range(1, 4)])
+    (folder / "20240130-02_0.json").write_text('{"ftime": \n')
+    (tmp_path / "raw" / "logs_20240129" / "20240129-02_0.json").write_text('{"ftime": \n')
+    day = run_period("20240130", 1)
+    with pytest.raises(jobs.TooManyMalformed, match="1 of 4"):
+        jobs.run(spark, job, day, settings(str(tmp_path / "raw"), tmp_path / "out", max_malformed=0.2))
+    assert not every_file(tmp_path / "out")
+    jobs.run(spark, job, day, settings(str(tmp_path / "raw"), tmp_path / "out", max_malformed=0.25, quality=True))
+    assert "4 lines, 1 malformed, 0 bad grades" in capsys.readouterr().out
+
+
+def test_archive_keeps_names_beyond_the_bound_in_a_map(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "catalogue", lambda s, root, period, glob=None: catalogue(s, root, period, glob, 6))
+    monkeypatch.setattr(jobs, "columns_of", lambda facts: columns_of(facts, 6))
+    write_lines(tmp_path / "raw", "20240130", [active(i, **{f"k{i}": i, "often": 1}) for i in range(1, 6)])
+    day = run_period("20240130", 1)
+    # Read from JSON, and from the table that `columnar-log` makes of it.
+    jobs.columnar_log(spark, settings(str(tmp_path / "raw"), tmp_path / "log"), day)
+    for logs, fmt in (("raw", "json"), ("log", "parquet")):
+        jobs.archive(spark, settings(str(tmp_path / logs), tmp_path / fmt, log_format=fmt), day)
+        rows = {r.id: r for r in jobs.read_archive(spark, str(tmp_path / fmt)).collect()}
+        assert rows["u1"].k1 == "1" and rows["u1"].often == "1" and rows["u1"].more_columns is None
+        assert {i: rows[f"u{i}"].more_columns for i in range(2, 6)} == {i: {f"k{i}": str(i)} for i in range(2, 6)}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daytally.functions.periods import Period
 from daytally.schema import LOG_SCHEMA
+from daytally.sources.catalogue import catalogue, columns_of
 from daytally.sources.logs import (
     MissingDays,
     absent_columns,
@@ -166,3 +167,52 @@ def test_codec_and_file_size(spark, tmp_path):
 
 def test_table_that_does_not_exist_is_empty(spark, tmp_path):
     assert contents(spark, str(tmp_path / "nowhere")) == []
+
+
+def day_facts(facts):
+    return {(r.log_date, r.name): tuple(r)[2:] for r in facts.collect()}
+
+
+def test_catalogue_tells_names_and_counts_in_one_pass(spark, root):
+    got = day_facts(catalogue(spark, root, ALL))
+    assert {k: v[0] for k, v in got.items() if k[1]} == {
+        (FIRST, "ftime"): 3, (FIRST, "api"): 3, (FIRST, "code"): 2, (FIRST, "grade"): 2, (FIRST, "extra"): 1,
+        (FIRST, "level"): 1, (THIRD, "ftime"): 1, (THIRD, "api"): 1, (THIRD, "grade"): 1,
+    }
+    assert got[FIRST, None] == (4, 1, 1, 6) and got[THIRD, None] == (1, 0, 0, 3)
+    assert day_facts(catalogue(spark, root, ALL, "*-10_*.gz"))[FIRST, None] == (1, 0, 1, 4)
+    assert catalogue(spark, root, Period(SECOND, SECOND)).collect() == []
+    assert columns_of(catalogue(spark, root, Period(SECOND, SECOND))) == ([], False)
+
+
+def test_catalogue_of_odd_lines(spark, tmp_path):
+    write_lines(tmp_path, FIRST, "09_0", ["", "  ", "7", '"x"', "{}", '{"a": 1, "a": 2}', '{"b": null}', '{"c": 1} trailing {'])
+    write_lines(tmp_path, SECOND, "09_0", [])
+    got = day_facts(catalogue(spark, str(tmp_path), Period(FIRST, SECOND)))
+    assert got[FIRST, "a"][0] == got[FIRST, "b"][0] == 1
+    lines, malformed, bad, names = got[FIRST, None]
+    kept = read_logs(spark, str(tmp_path), Period(FIRST, SECOND)).count()
+    assert lines == 6 and lines - malformed == kept and bad == 0
+    assert not any(day == SECOND for day, _ in got)
+
+
+def test_more_names_than_columns_go_into_a_map(spark, tmp_path):
+    """Ids as keys flood neither the catalogue nor the schema, and no value is lost."""
+    lines = [{"ftime": f"t{i}", "code": 200, "often": i, f"id{i}": {"k": i}, "more_columns": "own"} for i in range(60)]
+    write_lines(tmp_path, FIRST, "09_0", [*lines, '{"broken": '])
+    write_lines(tmp_path, SECOND, "09_0", [{"ftime": "s", "Often": "x", "often": "y"}])
+    period = Period(FIRST, SECOND)
+    facts = catalogue(spark, str(tmp_path), period, max_names=5).cache()
+    assert facts.count() == 6 + 4
+    assert day_facts(facts)[FIRST, None] == (61, 1, 0, 64)
+    names, more = columns_of(facts, max_names=5)
+    # `Often` is among the five names, but the same column as `often`.
+    assert more and names == ["code", "ftime", "often", "raw_more_columns"]
+    rows = {r.ftime: r for r in read_logs(spark, str(tmp_path), period, extra=names, rest=True).collect()}
+    assert len(rows) == 61
+    assert rows["t0"].raw_more_columns == "own"
+    assert all(rows[f"t{i}"].more_columns == {f"id{i}": f'{{"k":{i}}}'} for i in range(60))
+    assert rows["s"].often == "y" and rows["s"].more_columns == {"Often": "x"}
+    assert len({r.event_id for r in rows.values()}) == 61
+    all_names, more = columns_of(catalogue(spark, str(tmp_path), period))
+    assert more and len(all_names) == 64 and "often" in all_names
