@@ -5,7 +5,9 @@ phone number into country code and rest. Every distinct part gets one surrogate,
 kind and value, for the whole table. So a name, address or number is the same person's wherever it comes back, also
 when it is written with other separators or in other case. A surrogate keeps what the part looks like: digits stay
 digits and letters stay letters of their script and case, separators stay in place, given names keep the gender of the
-title, card numbers their first digit and a valid check digit, IP addresses stay addresses.
+title, card numbers their first digit and a valid check digit, IP addresses stay addresses. A name after a title that
+tells no gender is the gendered one's where all other titles of that given name agree. Words of a found name that come
+back later in the text, without a title, get the same surrogate.
 
 Two parts that would get the same surrogate, or one that would get a value that the table itself holds, are hashed again
 until all are distinct; after MORE_AFTER tries the surrogate gets longer, so that a kind whose values are used up still
@@ -14,14 +16,17 @@ ends. Only the table of distinct parts is checked; texts without entities are ne
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.llm.common import cut
 
-KEY = "surrogate key"
+#: The session's setting that holds the key of the surrogates.
+KEY_SETTING = "spark.daytally.surrogateKey"
 MORE_AFTER = 8
 
 # Titles by gender, and the letters that surrogates are made of, by script.
@@ -48,22 +53,46 @@ _ENDINGS = {
     "cyrillic": {"given_m": ["н", "р", "й", "с"], "given_f": ["на", "ла", "я", "ра"], "given_u": ["", "л"], "surname": ["ров", "нин", "к", "рт"]},
 }
 
+# Words that stand between given name and surname, words that announce a card number.
+_PARTICLE = "de|del|della|der|den|di|da|du|la|le|van|von|ter|zu|bin|al"
+_CARD_WORD = "card|visa|mastercard|amex|carte|karte|tarjeta|карта|карты"
+# Letters that initials are made of.
+_INITIALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ")
+
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAME = r"\p{Lu}\p{L}++(?:-\p{Lu}\p{L}++)?"
+_HEX = "[0-9a-fA-F]{1,4}"
+_NAME = r"(?:\p{Lu}['’])?\p{Lu}\p{L}++(?:-\p{Lu}\p{L}++)?"
+# Han names are short and followed by text without a blank; other scripts without case end their words.
+_CASELESS = r"(?:\p{IsHan}{2,4}|(?!\p{IsHan})\p{Lo}{2,20}+)"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![\p{L}\p{N}])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[a-fA-F:]*+\d)(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\p{{L}}\p{{N}}:])",
+    "phone": r"(?<![\d+])(?:\+1(?:[ .\-]?\(?\d\)?){10}(?!\d)|\+1(?:[ .\-]?\d){7}(?![ .\-]?\d)|\+[2-9]\d{0,2}(?:[ .\-]?\(?\d\)?){7,11}(?!\d)"
+    r"|\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|0\d{2,4}[ \-]\d{3,4}[ \-]\d{3,4})(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}.\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2,3}(?:[ \-]\d{1,3})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}])",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_NEUTRAL})\.? {_NAME}(?: {_NAME}){{0,2}}",
+    "card": r"(?<![\p{L}\p{N}.\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}(?:[ \-]\d{1,3})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}])",
+    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_NEUTRAL})\.? (?:(?:\p{{Lu}}\.|{_PARTICLE}|{_NAME}) ){{0,3}}(?:{_NAME}|{_CASELESS})",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What a text with an entity holds at least; cheaper than the patterns.
 _HEADS = r"AKIA|sk-|gh[pousr]_|[a-fA-F]{32}"
-_HINT = rf"[0-9@]|(?<![\p{{L}}\p{{N}}])(?:{_HEADS}|(?:{_MALE}|{_FEMALE}|{_NEUTRAL})\.? \p{{Lu}})"
+_HINT = rf"[0-9@]|(?<![\p{{L}}\p{{N}}])(?:{_HEADS}|(?:{_MALE}|{_FEMALE}|{_NEUTRAL})\.? (?:[\p{{Lu}}\p{{Lo}}]|(?:{_PARTICLE}) ))"
+# A word that may be a found name's, wherever it stands.
+_WORD = rf"(?<![\p{{L}}\p{{N}}]){_NAME}(?![\p{{L}}\p{{N}}])"
+_PLAIN = ("ip", "ipv6", "domain", "given_m", "given_f", "given_u", "surname")
+_NAMES = ("surname", "given_m", "given_f", "given_u")
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names in KEY_SETTING; where it names none, a random one that holds for the session."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
 
 
 def _part(kind: Column | str, value: Column) -> Column:
@@ -74,13 +103,28 @@ def _letters_and_digits(value: Column) -> Column:
     return F.lower(F.regexp_replace(value, r"[^\p{L}\p{N}]", ""))
 
 
-def _kind(found: Column) -> Column:
+def _kind(found: Column, before: Column) -> Column:
+    """The kind of a match, `keep` if it is a number in the shape of a card's that nothing else speaks for.
+
+    For a card speak a valid check digit (unless it is a book's number), a word before it, and 16 digits without blanks.
+    """
     whole = {kind: f"^(?:{PATTERNS[kind]})$" for kind in PATTERNS}
+    digits = F.regexp_replace(found, "[^0-9]", "")
+    announced = F.regexp_like(F.right(before, F.lit(40)), F.lit(rf"(?i)(?:{_CARD_WORD})\P{{N}}{{0,24}}$"))
+    book = F.regexp_like(digits, F.lit(r"^97[89]\d{10}$"))
+    card = announced | F.regexp_like(found, F.lit(r"^\d{16}$")) | (~book & (_luhn(digits) % 10 == 0))
     pairs = [(F.regexp_like(found, F.lit(p)), kind) for kind, p in whole.items()]
-    return F.coalesce(*[F.when(is_kind, F.lit(kind)) for is_kind, kind in pairs])
+    kinds = [F.when(is_kind, F.when(card, kind).otherwise("keep") if kind == "card" else F.lit(kind)) for is_kind, kind in pairs]
+    return F.coalesce(*kinds)
 
 
-def _parts(entity: Column) -> Column:
+def _rotated(key: str) -> str:
+    """The initials, each alphabet turned by a number of places that the key tells, so that no two become one."""
+    turns = [1 + int.from_bytes(hashlib.sha256(f"{key} {x}".encode()).digest()[:8], "big") % (len(x) - 1) for x in _INITIALS]
+    return "".join(x[n:] + x[:n] for x, n in zip(_INITIALS, turns, strict=True))
+
+
+def _parts(entity: Column, key: str) -> Column:
     """A found entity as an array of (kind, value): `keep` for what stays, else the kind and the text as written."""
     kind, found = entity["kind"], entity["found"]
     address = [_part("local", F.substring_index(found, "@", 1)), _part("keep", F.lit("@")), _part("domain", F.substring_index(found, "@", -1))]
@@ -91,7 +135,14 @@ def _parts(entity: Column) -> Column:
     bare = F.regexp_replace(title, r"\.$", "")
     gender = F.when(F.regexp_like(bare, F.lit(f"^(?:{_MALE})$")), "given_m").when(F.regexp_like(bare, F.lit(f"^(?:{_FEMALE})$")), "given_f").otherwise("given_u")
     names = F.split(F.substring(found, F.length(title) + 2, F.length(found)), " ")
-    named = F.transform(names, lambda x, i: F.array(_part("keep", F.lit(" ")), _part(F.when(i == F.size(names) - 1, "surname").otherwise(gender), x)))
+
+    def name(x: Column, i: Column) -> Column:
+        initial = F.regexp_like(x, F.lit(r"^\p{Lu}\.$"))
+        role = F.when(i == F.size(names) - 1, "surname").when(initial | F.regexp_like(x, F.lit(f"^(?:{_PARTICLE})$")), "keep").otherwise(gender)
+        other = F.translate(x, "".join(_INITIALS), _rotated(key))
+        return F.array(_part("keep", F.lit(" ")), _part(role, F.when(initial, other).otherwise(x)))
+
+    named = F.transform(names, name)
     person = F.concat(F.array(_part("keep", title)), F.flatten(named))
     return (
         F.when(kind == "email", F.array(*address))
@@ -104,7 +155,7 @@ def _parts(entity: Column) -> Column:
 
 def _value(kind: Column, written: Column) -> Column:
     """What two ways to write the same part have in common."""
-    plain = kind.isin("ip", "domain", "given_m", "given_f", "given_u", "surname")
+    plain = kind.isin(*_PLAIN)
     return F.when(plain, F.lower(written)).otherwise(_letters_and_digits(written))
 
 
@@ -120,12 +171,12 @@ def _letter(letters: str, n: Column) -> Column:
 
 def _in_kind(value: Column, digest: Column, kind: Column) -> Column:
     """Each digit and letter replaced by another of its sort; a secret's letters stay hexadecimal if they are."""
-    hexadecimal = (kind == "secret") & F.regexp_like(value, F.lit("^[0-9a-f]+$"))
+    hexadecimal = (kind == "ipv6") | ((kind == "secret") & F.regexp_like(value, F.lit("^[0-9a-f]+$")))
 
     def other(i: Column) -> Column:
         c, n = F.substring(value, i, F.lit(1)), _byte(digest, i - 1)
         out = F.when(F.regexp_like(c, F.lit(r"\d")), (n % 10).cast("string"))
-        out = out.when(hexadecimal, _letter("abcdef", n))
+        out = out.when(hexadecimal & F.regexp_like(c, F.lit("[a-f]")), _letter("abcdef", n))
         for script, letters in _SCRIPTS:
             out = out.when(F.regexp_like(c, F.lit(script)), _letter(letters, n))
         return out.otherwise(c)
@@ -166,7 +217,7 @@ def _given(value: Column, digest: Column, kind: Column) -> Column:
 
     return (
         F.when(F.regexp_like(value, F.lit("^[а-яё\\-]+$")), name("cyrillic"))
-        .when(F.regexp_like(value, F.lit("^[\\p{IsLatin}\\-]+$")), name("latin"))
+        .when(F.regexp_like(value, F.lit("^[\\p{IsLatin}\\-'’]+$")), name("latin"))
         .otherwise(_in_kind(value, digest, kind))
     )
 
@@ -184,16 +235,22 @@ def _surrogate(kind: Column, value: Column, tries: Column, digest: Column) -> Co
     made = (
         F.when(kind == "ip", F.array_join(octets, "."))
         .when(kind == "card", _card(value, digest, kind))
-        .when(kind.isin("given_m", "given_f", "given_u", "surname"), _given(value, digest, kind))
+        .when(kind.isin(*_NAMES), _given(value, digest, kind))
         .when(kind == "domain", F.concat(more, domain))
         .otherwise(_in_kind(value, digest, kind))
     )
     return F.when(kind.isin("ip", "domain"), made).otherwise(F.concat(made, more))
 
 
-def surrogates(parts: DataFrame, key: str = KEY) -> DataFrame:
-    """From distinct (kind, value), a surrogate for each: distinct within a kind, and none equal to a value of the kind."""
-    parts = cut(parts)
+def surrogates(parts: DataFrame, key: str | None = None) -> DataFrame:
+    """From distinct (kind, value), a surrogate for each: distinct within a kind, and none equal to a value of the kind.
+
+    Without a key, the session's (`session_key`).
+    """
+    spark = parts.sparkSession
+    key = key or session_key(spark)
+    # Few bytes, but much work for each: dealt to all tasks, however small the table is.
+    parts = cut(parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "kind", "value"))
     values = parts.select(F.col("kind").alias("held_kind"), F.col("value").alias("held"))
     named = parts.withColumn("tries", F.lit(0))
     while True:
@@ -230,44 +287,66 @@ def _written(surrogate: Column, written: Column, kind: Column) -> Column:
 
     filled = F.array_join(F.transform(F.sequence(F.lit(1), F.length(written)), at), "")
     rest = F.substring(surrogate, F.length(_letters_and_digits(written)) + 1, F.length(surrogate))
-    plain = kind.isin("ip", "domain", "given_m", "given_f", "given_u", "surname")
+    plain = kind.isin(*_PLAIN)
     return F.when(plain, words).otherwise(F.concat(filled, rest))
 
 
-def with_surrogates(docs: DataFrame, key: str = KEY, name: str = "n_entities") -> DataFrame:
+def _genders(parts: DataFrame) -> DataFrame:
+    """Distinct (kind, value) with `asked`, the kind whose surrogate it gets: a given name's one gender, if it has one."""
+    gendered = parts.where(F.col("kind").isin("given_m", "given_f")).groupBy(F.col("value").alias("of"))
+    gendered = gendered.agg(F.min("kind").alias("low"), F.max("kind").alias("high")).where("low = high")
+    settled = F.when(F.col("kind") == "given_u", F.col("low"))
+    return parts.join(gendered, F.col("value") == F.col("of"), "left").select(
+        "kind", "value", F.coalesce(settled, "kind").alias("asked")
+    )
+
+
+def with_surrogates(docs: DataFrame, key: str | None = None, name: str = "n_entities") -> DataFrame:
     """The rows of `docs` with entities in `text` replaced and their number in column `name`; other columns stay.
 
     - A null text stays null with 0 entities; texts of any length are searched whole.
     - Rows that repeat, or whose ids are null or repeat, are treated alike; equal parts get equal surrogates everywhere.
     - An empty table gives an empty result. A column called `name` is replaced.
-    - A name counts as a person's where a title stands before it.
+    - A name counts as a person's where a title stands before it; capitalised words of it are then replaced all over the
+      text. These are not entities of their own. A name in a script without case has two letters at least.
+    - A number in the shape of a card's stays where neither its check digit nor a word before it speaks for a card.
+    - Without a key, the session's is taken (`session_key`).
     """
+    key = key or session_key(docs.sparkSession)
     text = F.col("text")
-    found = F.when(F.regexp_like(text, F.lit(_HINT)), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-    marked = docs.withColumn("_texts", F.coalesce(found, F.array().cast("array<string>")))
-    entities = F.transform("_texts", lambda x: F.struct(_kind(x).alias("kind"), x.alias("found")))
-    marked = marked.withColumn("_found", entities).drop("_texts")
-    some = marked.where(F.size("_found") > 0)
+    hinted = F.regexp_like(text, F.lit(_HINT))
+    marked = docs.withColumn("_texts", F.when(hinted, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))))
+    marked = marked.withColumn("_texts", F.coalesce("_texts", F.array().cast("array<string>")))
+    # What stands between the entities, taken apart once.
+    marked = marked.withColumn("_between", F.when(F.size("_texts") > 0, F.split(text, ENTITY, -1)))
+    kinds = F.zip_with("_texts", F.slice("_between", 1, F.size("_texts")), lambda x, b: F.struct(_kind(x, b).alias("kind"), x.alias("found")))
+    nothing = F.array().cast("array<struct<kind: string, found: string>>")
+    marked = marked.withColumn("_found", F.when(F.size("_texts") > 0, kinds).otherwise(nothing)).drop("_texts")
+    marked = marked.withColumn("_n", F.size(F.filter("_found", lambda x: x["kind"] != "keep")).cast("long"))
+    some = marked.where(F.col("_n") > 0)
     # Rows without an id go by their text, so that they are no hot key.
     row = F.coalesce(F.col("doc_id").cast("string"), F.md5(text.cast("binary")))
     pairs = some.select(row.alias("row"), F.explode(F.array_distinct("_found")).alias("found"))
-    pairs = pairs.select("row", F.explode(_parts(F.col("found"))).alias("part")).select("row", "part.kind", "part.value")
+    pairs = pairs.select("row", F.explode(_parts(F.col("found"), key)).alias("part")).select("row", "part.kind", "part.value")
     pairs = pairs.where("kind <> 'keep'").select("row", "kind", _value(F.col("kind"), F.col("value")).alias("value"))
     pairs = cut(pairs.distinct())
-    named = surrogates(pairs.select("kind", "value").distinct(), key)
+    parts = cut(_genders(pairs.select("kind", "value").distinct()))
+    made = surrogates(parts.select(F.col("asked").alias("kind"), "value").distinct(), key)
+    made = made.withColumnsRenamed({"kind": "asked", "value": "of"})
+    named = parts.join(made, (parts["asked"] == made["asked"]) & (F.col("value") == F.col("of"))).select("kind", "value", "surrogate")
     entry = F.struct(F.concat_ws(":", "kind", "value"), "surrogate")
     maps = pairs.join(named, ["kind", "value"]).groupBy(F.col("row").alias("_of")).agg(
         F.map_from_entries(F.collect_set(entry)).alias("_map")
     )
     some = some.withColumn("_row", row).join(maps, F.col("_row") == F.col("_of"))
-    some = some.withColumn("text", _replaced(text, F.col("_found"), F.col("_map")))
-    none = marked.where(F.size("_found") == 0)
+    some = some.withColumn("text", _replaced(F.col("_between"), F.col("_found"), F.col("_map"), key))
+    none = marked.where(F.col("_n") == 0)
     out = [c for c in docs.columns if c != name]
-    n = F.size("_found").cast("long").alias(name)
+    n = F.col("_n").alias(name)
     return none.select(*out, n).unionAll(some.select(*out, n))
 
 
-def _replaced(text: Column, found: Column, names: Column) -> Column:
+def _replaced(between: Column, found: Column, names: Column, key: str) -> Column:
     def looked_up(part: Column) -> Column:
         surrogate = names[F.concat_ws(":", part["kind"], _value(part["kind"], part["value"]))]
         return F.struct(part["kind"].alias("kind"), part["value"].alias("value"), surrogate.alias("surrogate"))
@@ -276,6 +355,16 @@ def _replaced(text: Column, found: Column, names: Column) -> Column:
         written = _written(part["surrogate"], part["value"], part["kind"])
         return F.when(part["kind"] == "keep", part["value"]).otherwise(written)
 
-    between = F.split(text, ENTITY, -1)
-    entities = F.transform(found, lambda x: F.array_join(F.transform(F.transform(_parts(x), looked_up), new), ""))
-    return F.array_join(F.flatten(F.zip_with(between, entities, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    def again(word: Column) -> Column:
+        met = F.coalesce(*[names[F.concat(F.lit(f"{kind}:"), F.lower(word))] for kind in _NAMES])
+        return F.when(met.isNull(), word).otherwise(_written(met, word, F.lit("surname")))
+
+    def woven(gaps: Column, new: Column) -> Column:
+        return F.array_join(F.flatten(F.zip_with(gaps, new, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+
+    def mentions(piece: Column) -> Column:
+        return woven(F.split(piece, _WORD, -1), F.transform(F.regexp_extract_all(piece, F.lit(_WORD), F.lit(0)), again))
+
+    entities = F.transform(found, lambda x: F.array_join(F.transform(F.transform(_parts(x, key), looked_up), new), ""))
+    persons = F.exists(found, lambda x: x["kind"] == "person")
+    return woven(F.when(persons, F.transform(between, mentions)).otherwise(between), entities)

@@ -1,0 +1,108 @@
+"""Texts put together from known words and entities: what is found and what it becomes is known without patterns."""
+
+import random
+import re
+
+import pytest
+
+from daytally.llm.pii import KEY_SETTING, session_key, with_surrogates
+
+CLEAN = "the order of 12 stones 3.14 on 2024-01-30 at 10:30 was late std::vector v1.2.3 Über été 王".split()
+CLEAN += ["Order 1234 5678 9012", "ISBN 9783161484100", "ISBN 978-3-16-148410-0", "no 1234567890123", "aa:bb:cc:dd:ee:ff", "1.234.567"]
+
+
+def replaced(spark, texts, **how):
+    rows = with_surrogates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **how).collect()
+    return [r.text for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def entity(rng):
+    """An entity of a random kind: how it is written, and what tells two of them apart."""
+    d = lambda n: "".join(rng.choices("0123456789", k=n))
+    w = lambda: "".join(rng.choices("bcdfghklmn", k=rng.randrange(5, 9)))
+    kind = rng.choice(["mail", "ip", "ipv6", "phone", "national", "dotted", "ssn", "secret", "card"])
+    if kind == "mail":
+        return f"{w()}@{w()}.com"
+    if kind == "ip":
+        return ".".join(str(rng.randrange(1, 255)) for _ in range(4))
+    if kind == "ipv6":
+        return f"2001:{rng.randrange(1, 9)}b{d(2)}::{rng.randrange(1, 99)}"
+    if kind == "phone":
+        return f"+1 {rng.randrange(200, 999)} {d(3)} {d(4)}"
+    if kind == "national":
+        return f"020 {d(4)} {d(4)}"
+    if kind == "dotted":
+        return rng.choice([f"743.{d(3)}.{d(4)}", f"(743) {d(3)}.{d(4)}"])
+    if kind == "ssn":
+        return f"{d(3)}-{d(2)}-{d(4)}"
+    if kind == "secret":
+        return "AKIA" + "".join(rng.choices("ABCDEFGHJKLMNP", k=16))
+    return f"card {d(4)} {d(4)} {d(4)} {d(4)}"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_entities_of_built_texts(spark, seed):
+    rng = random.Random(seed)
+    known = [entity(rng) for _ in range(80)]
+    built = [[rng.choice(known if rng.random() < 0.4 else CLEAN) for _ in range(rng.randrange(1, 25))] for _ in range(60)]
+    became = {}
+    for pieces, new in zip(built, replaced(spark, [" | ".join(p) for p in built]), strict=True):
+        after = new.split(" | ")
+        assert len(after) == len(pieces)
+        for old, now in zip(pieces, after, strict=True):
+            if old in known:
+                assert now != old and became.setdefault(old, now) == now
+            else:
+                assert now == old
+    assert len(set(became.values())) == len(became) > 50
+    assert not set(became.values()) & set(known)
+
+
+def test_neutral_titles_take_the_gender_that_others_tell(spark):
+    (new,) = replaced(spark, ["Mr Alex Smith met Dr Alex Smith. Smith said so, SMITH too; smith and Smithson did not."])
+    words = new.split()
+    assert words[1] == words[5] and words[2] == words[6].strip(".") == words[7]
+    assert words[10] == words[2].upper() and "Smith " not in new and "SMITH" not in new
+    assert new.endswith("smith and Smithson did not.")
+    # Where titles disagree, the neutral one stays apart.
+    (new,) = replaced(spark, ["Mr Kim Roe, Mrs Kim Roe, Dr Kim Roe"])
+    assert len({x.split()[1] for x in new.split(", ")}) == 3
+
+
+@pytest.mark.parametrize(
+    ("text", "gone"),
+    [
+        ("Dr J. Smith", ["J.", "Smith"]),
+        ("Prof J. R. R. Hale", ["J.", "R.", "Hale"]),
+        ("Mr O'Brien and O'Brien", ["Brien"]),
+        ("Mr de Gaulle", ["Gaulle"]),
+        ("Herr Ludwig van Beeth", ["Ludwig", "Beeth"]),
+        ("Mr. 王小明", ["王小明"]),
+        ("Dr. דוד", ["דוד"]),
+    ],
+)
+def test_names_of_many_shapes(spark, text, gone):
+    (new,) = replaced(spark, [text], key="k")
+    assert not any(x in new for x in gone) and len(new.split()) == len(text.split())
+    for kept in ("de", "van", "and"):
+        assert (kept in text.split()) == (kept in new.split())
+
+
+def test_what_follows_a_number_stays(spark):
+    (new,) = replaced(spark, ["+1 974 555 3436 10 apples, 020 7946 0958 2001:db8::1"], key="k")
+    shape = r"\+1 (\d{3} \d{3} \d{4}) 10 apples, (\d{3} \d{4} \d{4}) (\d{4}:[a-f]{2}\d::\d)"
+    found = re.fullmatch(shape, new)
+    assert found, new
+    assert all(x != y for x, y in zip(found.groups(), ("974 555 3436", "020 7946 0958", "2001:db8::1"), strict=True))
+
+
+def test_the_session_holds_the_key(spark):
+    text = "a.bc@mail.example.com 4012888888881881"
+    spark.conf.unset(KEY_SETTING)
+    key = session_key(spark)
+    assert len(key) == 64 and session_key(spark) == key
+    one = replaced(spark, [text])
+    assert one == replaced(spark, [text], key=key)
+    spark.conf.set(KEY_SETTING, "mine")
+    assert replaced(spark, [text]) == replaced(spark, [text], key="mine") != one
+    spark.conf.unset(KEY_SETTING)
