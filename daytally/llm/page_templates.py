@@ -26,6 +26,9 @@ PARTS = {
     "comments": COMMENTS, "share": SHARE, "footer": FOOTER,
 }
 _SYLLABLES = "ba de ki lo mu ra se ti no pa ge fu li ma or en st th ing er ou é ñ ß ö да ре но".split()
+_SIGNS = "! # * ~ + = % &amp; &lt; &gt; &quot;".split()
+_OPEN = "b i em font strong u".split()
+_TAGS = "p b a div span li td h2".split()
 
 
 class Maker:
@@ -41,9 +44,20 @@ class Maker:
     def prose(self, low: int, high: int) -> str:
         text = " ".join(self.phrase(1, 18) + self.rng.choice("....?!,") for _ in range(self.rng.randint(low, high)))
         if self.rng.random() < 0.15:
-            text = text.replace(" ", self.rng.choice(["%%% ", "!! ", " &amp; ", "&amp;&amp;&amp; "]))
+            text = text.replace(" ", self.noise() + " ")
         return text.upper() if self.rng.random() < 0.05 else text
 
+    def noise(self) -> str:
+        """Signs that are no words, as character references where they have to be."""
+        return "".join(self.rng.choices(_SIGNS, k=self.rng.randint(1, 4)))
+
+    def unseen(self) -> str:
+        """Style and script, which may hold markup as text."""
+        rules = "".join(f"{self.rng.choice(_TAGS)}{{{self.word()}:{self.rng.randrange(99)}px}}" for _ in range(self.rng.randrange(4)))
+        tag = self.rng.choice(_TAGS)
+        calls = "".join(f'{self.word()}("<{tag}>{self.word()}</{tag}>");' for _ in range(self.rng.randrange(4)))
+        return self.maybe(0.6, lambda: f"<style>{rules}</style>") + self.maybe(0.7, lambda: f"<script>{calls}</script>")
+
     def maybe(self, chance: float, make, *args) -> str:
         return make(*args) if self.rng.random() < chance else ""
 
@@ -81,7 +95,8 @@ class Maker:
         if kind < 0.7:
             return f"<p>{text}"
         if kind < 0.8:
-            return f"<p><b>{text}<br>"
+            # Elements that nobody closes.
+            return f"<p>{self.maybe(0.5, lambda: f'<{self.rng.choice(_OPEN)}>')}{text}{self.maybe(0.5, lambda: '<br>')}"
         return f"<div>{text}</div>" if kind < 0.9 else f"<p>{self.phrase(1, 3)}.{MARK}</p>"
 
     def block(self) -> str:
@@ -187,6 +202,6 @@ class Maker:
             self.maybe(0.85, self.footer),
             self.maybe(0.15, self.notice),
         ]
-        head = f"<head><title>{self.phrase(1, 8)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head>"
+        head = f"<head><title>{self.phrase(1, 8)}</title>{self.unseen()}</head>"
         body = "\n".join(parts) if self.rng.random() < 0.3 else "".join(parts)
         return f"<!DOCTYPE html><html>{head}<body>{body}</body></html>"
