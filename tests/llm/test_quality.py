@@ -1,7 +1,10 @@
 import math
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +127,38 @@ def test_other_columns_may_have_any_name(spark):
     docs = spark.createDataFrame([(1, "en", "abc", 2, 3)], SCHEMA + ", gram long, block long")
     labels = spark.createDataFrame([(1, 1, 0, "x")], "doc_id long, quality int, toxic int, text string")
     assert Q.judged(docs, labels).columns == ["doc_id", "lang", "n_bytes", "perplexity", "threshold", "kept"]
+
+
+def test_disk_stays_near_the_size_of_the_texts(spark, medium, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{medium}/{t}.parquet") for t in ("documents", "labels"))
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [*blocks.localDirsString(), spark.conf.get("spark.checkpoint.dir"), spark.conf.get("spark.sql.warehouse.dir")]
+    folders = [Path(f.removeprefix("file:")) for f in folders]
+
+    def used():
+        return sum(p.stat().st_size for f in folders for p in f.rglob("*") if p.is_file())
+
+    def cut(df, real=Q.cut):
+        out = real(df)
+        seen.append(used())
+        return out
+
+    seen = [used()]
+    monkeypatch.setattr(Q, "cut", cut)
+    Q.judged(docs, labels).collect()
+    tables = spark.catalog.listTables()
+    assert max(seen) - seen[0] < 2.5 * docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert not [t for t in tables if t.name.startswith("quality_")]
+
+
+def test_counts_beyond_the_bound_are_sent_in_parts(texts, monkeypatch):
+    monkeypatch.setattr(Q, "HELD", 100)
+    batches = [pa.record_batch({"text": texts[i : i + 5]}) for i in range(0, len(texts), 5)]
+    rows = [r for batch in Q._count(iter(batches)) for r in batch.to_pylist()]
+    assert len(rows) > len({r["shard"] for r in rows})
+    got = Counter()
+    for shard in {r["shard"] for r in rows}:
+        merged = Q._merge(pa.Table.from_pylist([r for r in rows if r["shard"] == shard], Q._COUNTED_ARROW)).to_pylist()[0]
+        keys, counts = (Q._unpacked(merged[c], merged["n"], np.int64) for c in ("keys", "counts"))
+        got |= Counter({int(g).to_bytes(Q.ORDER, "big"): int(n) for g, n in zip(Q._turned(keys), counts, strict=True)})
+    assert got == Plain(texts).counts[Q.ORDER]
